@@ -52,11 +52,11 @@ def load_raw_payments(f: Frames) -> DataFrame:
 @_query
 def load_row_counts(f: Frames) -> DataFrame:
     raw = f.raw
-    orders = raw._table("orders")
+    orders = raw.orders
     return loading.load_row_counts(
         {
-            "dim_brand": raw._table("customer"),
-            "dim_creator": raw._table("supplier"),
+            "dim_brand": raw.customers,
+            "dim_creator": raw.suppliers,
             "raw_campaigns": orders,
             "raw_payments": orders,
             "raw_payouts": raw.payout_requests,
@@ -105,7 +105,7 @@ def resolve_payout_fks(f: Frames) -> DataFrame:
 @_query
 def dim_date(f: Frames) -> DataFrame:
     # Half a year before the first order to 16 months after the last.
-    return calendar.dim_date_around(f.raw._table("orders"), "o_orderdate", 6, 16)
+    return calendar.dim_date_around(f.raw.orders, "o_orderdate", 6, 16)
 
 
 @_query

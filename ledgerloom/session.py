@@ -38,6 +38,9 @@ def local_session(cores: int | str = 8, app: str = "ledgerloom", memory: str = "
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
+        # Small test data still spreads over the cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in REQUIRED.items():
         builder = builder.config(key, value)

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-# An unquoted empty field is NULL, a quoted one is the empty string; blanks
-# around a value belong to it, and a row that does not fit the schema stops the
-# load instead of turning into NULLs.
+# An unquoted empty field is NULL, a quoted one the empty string; blanks around a
+# value belong to it, and a row that does not fit the schema stops the load
+# instead of turning into NULLs.
 _CSV = {
     "header": "false",
     "nullValue": "",
-    "emptyValue": '""',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "escape": '"',
 }
+# Spark would take a quoted empty field for NULL; this mark keeps the two apart.
+_EMPTY = "\u0001"
 
 
 def load_raw(spark: SparkSession, path: str, schema: str, columns: list[str] | None = None) -> DataFrame:
@@ -22,16 +24,23 @@ def load_raw(spark: SparkSession, path: str, schema: str, columns: list[str] | N
 
     Rows stay on one line each, so large files are split between tasks.
     """
-    read_options = {**_CSV, "emptyValue": "", "mode": "FAILFAST"}
-    df = spark.read.schema(schema).options(**read_options).csv(path)
+    df = spark.read.schema(schema).options(**_CSV, emptyValue=_EMPTY, mode="FAILFAST").csv(path)
+    texts = [f.name for f in df.schema if f.dataType.typeName() == "string" and (not columns or f.name in columns)]
+    df = df.withColumns({name: F.when(F.col(name) == _EMPTY, "").otherwise(F.col(name)) for name in texts})
     return df.select(*columns) if columns else df
 
 
 def write_raw(df: DataFrame, path: str) -> None:
     """Write CSV files that :func:`load_raw` reads back unchanged."""
-    df.write.options(**_CSV).mode("errorifexists").csv(path)
-
-
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One parquet table of a folder of tables."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    (
+        df.write.options(**_CSV, emptyValue='""')
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        .mode("errorifexists")
+        .csv(path)
+    )
+
+
+def read_table(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
+    """One parquet table of a folder of tables; a known schema needs no footer read."""
+    return spark.read.schema(schema).parquet(f"{folder.rstrip('/')}/{name}.parquet")

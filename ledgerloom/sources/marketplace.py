@@ -18,6 +18,7 @@ from ledgerloom.functions.money import cents, share
 from ledgerloom.operators.calendar import dim_date
 from ledgerloom.params import DEFAULTS, Params
 from ledgerloom.sources.files import read_table
+from ledgerloom.sources.schemas import SOURCE_TABLES
 
 GHOST = "BRD-GHOST"
 COPY_OFFSET = 1_000_000_000
@@ -35,8 +36,24 @@ class Marketplace:
         self.folder = folder
         self.params = params
 
-    def _table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+    def _source(self, name: str) -> DataFrame:
+        return read_table(self.spark, self.folder, name, SOURCE_TABLES[name])
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._source("customer")
+
+    @cached_property
+    def suppliers(self) -> DataFrame:
+        return self._source("supplier")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._source("orders")
+
+    @cached_property
+    def line_items(self) -> DataFrame:
+        return self._source("lineitem")
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -53,7 +70,7 @@ class Marketplace:
             .when(segment.isin("AUTOMOBILE", "MACHINERY"), "Mid-Market")
             .otherwise("SMB")
         )
-        return self._table("customer").select(
+        return self.customers.select(
             key.alias("brand_id"),
             external_id("BRD-", key, 6).alias("brand_external_id"),
             F.col("c_name").alias("brand_name"),
@@ -71,7 +88,7 @@ class Marketplace:
             .when(nation % 4 == 2, "macro")
             .otherwise("mega")
         )
-        return self._table("supplier").select(
+        return self.suppliers.select(
             key.alias("creator_id"),
             external_id("CRT-", key, 8).alias("creator_external_id"),
             F.col("s_name").alias("creator_name"),
@@ -82,8 +99,8 @@ class Marketplace:
 
     @cached_property
     def _orders_with_creator(self) -> DataFrame:
-        first_supplier = self._table("lineitem").groupBy("l_orderkey").agg(F.min("l_suppkey").alias("_suppkey"))
-        orders = self._table("orders")
+        first_supplier = self.line_items.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("_suppkey"))
+        orders = self.orders
         return orders.join(first_supplier, orders.o_orderkey == first_supplier.l_orderkey, "left").withColumn(
             "creator_external_id", external_id("CRT-", F.col("_suppkey"), 8)
         )
@@ -152,7 +169,7 @@ class Marketplace:
     @cached_property
     def raw_payout_amounts(self) -> DataFrame:
         """Payouts without the creator column, which needs no line items."""
-        return self._payouts_from(self._table("orders"))
+        return self._payouts_from(self.orders)
 
     @cached_property
     def campaign_requests(self) -> DataFrame:
@@ -175,7 +192,7 @@ class Marketplace:
     def payment_requests(self) -> DataFrame:
         """Payments naming their campaign by reference; test payments name none."""
         key = F.col("o_orderkey")
-        return self._table("orders").select(
+        return self.orders.select(
             external_id("PAY-", key, 9).alias("payment_ref"),
             key.alias("payment_id"),
             F.when(~_every(key, 50, 3), external_id("CMP-", key, 9)).alias("campaign_ref"),
@@ -202,7 +219,7 @@ class Marketplace:
         first, again = F.lit(0).cast("bigint"), F.lit(COPY_OFFSET).cast("bigint")
         copies = F.when(_every(key, 50, 7), F.array(first, again)).otherwise(F.array(first))
         return (
-            self._table("orders")
+            self.orders
             .withColumn("_shift", F.explode(copies))
             .select(
                 (key + F.col("_shift")).alias("event_id"),

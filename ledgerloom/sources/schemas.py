@@ -59,3 +59,14 @@ RAW_TABLES = {
     "raw_payments": RAW_PAYMENTS,
     "raw_payouts": RAW_PAYOUTS,
 }
+
+# The folder of source tables, as far as it is read.
+SOURCE_TABLES = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": "l_orderkey BIGINT, l_suppkey BIGINT",
+}

@@ -1,0 +1,230 @@
+import datetime as dt
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+import rows
+from ledgerloom.operators import checks, financials, guards, ledger, payments, quarantine
+from ledgerloom.operators import subscriptions as subs
+
+AS_OF = dt.datetime(2024, 1, 1)
+CREATED, CANCELLED = "subscription_created", "cancellation"
+
+
+def event(event_id, raw=None, brand="BRD-000001", kind=CREATED, plan="starter", period="monthly", cents=5_000,
+          time="2023-01-15", coerced=False):
+    return (event_id, raw or f"raw-{event_id}", brand, kind, plan, period, cents, time, coerced)
+
+
+def staged(spark, events, *brand_ids):
+    resolved = subs.resolved_events(rows.events(spark, events), rows.brands(spark, *(brand_ids or (1,))), AS_OF)
+    return subs.stage_subscriptions(resolved)
+
+
+def test_status_case_is_normalised(spark):
+    raw = [
+        (i, None, None, None, 100_000, 10_000, 2_930, 0, "Succeeded" if i == 3 else " succeeded ", "2023-06-15")
+        for i in range(10)
+    ]
+    df = payments.stage_payments(rows.raw_payments(spark, raw), rows.brands(spark, 1), rows.creators(spark, 1))
+    assert df.count() == 10
+    assert {r.status for r in df.collect()} == {"succeeded"}
+    guards.require(guards.mixed_case_statuses(df), "status")
+
+
+def test_event_without_brand_is_quarantined(spark):
+    raw = rows.events(spark, [event(1, "evt-null-brand-001", brand=None)])
+    brands = rows.brands(spark, 1)
+    assert subs.stage_subscriptions(subs.resolved_events(raw, brands, AS_OF)).isEmpty()
+    (row,) = quarantine.unmatched_rows(
+        raw, rows.raw_payments(spark, [(1, None, None, None, 1, 0, 0, 0, "failed", "2023-01-01")]), brands,
+        rows.creators(spark, 1), AS_OF,
+    ).collect()
+    assert (row.reason, row.source_table, row.source_row_id) == (
+        "missing_brand_external_id", "raw_subscription_events", 1,
+    )
+    assert row.raw_payload == (
+        '{"event_id":1,"raw_event_id":"evt-null-brand-001","brand_external_id":null,"event_type":"subscription_created",'
+        '"plan_name":"starter","billing_period":"monthly","amount_cents":5000,"event_at":"2023-01-15 00:00:00+00:00",'
+        '"_tz_coerced":false}'
+    )
+
+
+def test_test_payments_stay_out_of_the_mart(spark):
+    live = [
+        (i, 1, "BRD-000201", "CRT-00000301", 100_000, 10_000, 2_930, 0, "succeeded", "2023-06-15") for i in range(1, 5)
+    ]
+    test = (5, None, None, None, 999_999, 99_999, 29_030, 0, "succeeded", "2023-06-15")
+    raw = rows.raw_payments(spark, [*live, test])
+    outs = rows.raw_payouts(spark, [(i, i, "CRT-00000301", 87_070, 87_070, "paid", "2023-06-25") for i in range(1, 5)])
+    brands, creators = rows.brands(spark, 201), rows.creators(spark, 301)
+    kept = payments.stage_payments(raw, brands, creators)
+    entries = ledger.ledger_entries(kept, outs)
+    daily = financials.daily_financials(entries)
+    assert daily.agg(F.sum("gmv_cents")).first()[0] == 400_000
+    seen = checks.no_test_in_mart(raw, entries, kept).first()
+    assert (seen.status, seen.test_transaction_raw_gmv_cents) == ("pass", 999_999)
+    assert checks.gmv_completeness(raw, brands, creators, daily).first().status == "pass"
+    # The same charge booked for the test payment is noticed.
+    leak = entries.unionByName(entries.where("entry_type = 'brand_charge'").limit(1).withColumn("payment_id", F.lit(5)))
+    assert checks.no_test_in_mart(raw, leak, kept).first().status == "fail"
+
+
+def test_latest_copy_wins_and_ties_go_to_the_lowest_id(spark):
+    events = rows.events(
+        spark,
+        [
+            event(5, "a", time="2023-01-01"),
+            event(4, "a", time="2023-02-01"),
+            event(3, "a", time=None),
+            event(9, "b"),
+            event(8, "b"),
+            event(7, "c", brand=None),
+        ],
+    )
+    assert sorted(r.event_id for r in subs.dedup_events(events).collect()) == [4, 8]
+
+
+def test_coerced_events_without_time_get_the_given_time(spark):
+    events = rows.events(spark, [event(1, time=None, coerced=True), event(2, time=None), event(3, coerced=True)])
+    got = {r.event_id: r.event_at_utc for r in subs.coerce_event_time(events, AS_OF).collect()}
+    assert got == {1: AS_OF, 2: None, 3: dt.datetime(2023, 1, 15)}
+
+
+def test_missing_start_date_is_kept_and_stops_the_build(spark):
+    df = staged(spark, [event(1, time=None)])
+    (row,) = df.collect()
+    assert row.subscription_id is None and row.start_date is None
+    with pytest.raises(guards.InvariantError):
+        guards.require(guards.missing_start_dates(df), "start")
+
+
+def test_span_id_revenue_and_end(spark):
+    (row,) = staged(
+        spark,
+        [
+            event(1, period="annual", cents=125, time="2023-03-05T10:00:00"),
+            event(2, kind=CANCELLED, time="2023-09-01"),
+            event(3, kind=CANCELLED, time="2023-08-01"),
+            event(4, kind=CANCELLED, time="2023-01-01", plan="growth"),
+            event(5, kind="renewal", cents=999),
+        ],
+    ).collect()
+    assert row.subscription_id == hashlib.sha256(b"1|starter|2023-03-05").hexdigest()
+    assert (row.mrr_cents, str(row.start_date), str(row.end_date)) == (10, "2023-03-05", "2023-08-01")
+
+
+def test_one_cancellation_ends_all_spans_of_the_plan(spark):
+    df = staged(
+        spark,
+        [event(1, time="2023-01-01"), event(2, time="2023-06-01"), event(3, kind=CANCELLED, time="2023-03-01")],
+    )
+    assert {(str(r.start_date), str(r.end_date)) for r in df.collect()} == {
+        ("2023-01-01", "2023-03-01"),
+        ("2023-06-01", "2023-03-01"),
+    }
+
+
+def test_two_offers_on_one_day_keep_the_first_by_period_and_amount(spark):
+    events = [
+        event(1, period="monthly", cents=10),
+        event(2, period="annual", cents=2_400),
+        event(3, period="annual", cents=1_200),
+        event(4, period="annual", cents=1_200),
+    ]
+    (row,) = staged(spark, events).collect()
+    assert (row.billing_period, row.mrr_cents) == ("annual", 100)
+    resolved = subs.resolved_events(rows.events(spark, events), rows.brands(spark, 1), AS_OF)
+    sources = subs.subscription_sources(resolved)
+    assert sorted(r.event_id for r in sources.collect()) == [3, 4]
+    (full,) = subs.with_source_arrays(subs.stage_subscriptions(resolved), sources).collect()
+    assert full._source_event_ids == [3, 4]
+    spans = {(r.billing_period, r.amount_cents): r for r in subs.created_spans(resolved).collect()}
+    assert spans["annual", 1_200].source_event_count == 2 and len(spans) == 3
+    assert (spans["annual", 1_200].first_source_event_id, spans["annual", 1_200].last_source_event_id) == (3, 4)
+
+
+def test_spans_equal_the_step_by_step_rule(spark):
+    """One-pass staging against created spans joined with cancel dates."""
+    import random
+
+    rng = random.Random(3)
+    events = [
+        event(
+            i,
+            raw=f"raw-{rng.randint(0, 500)}",
+            brand=f"BRD-{1 if rng.random() < 0.4 else rng.randint(1, 9):06d}",
+            kind=rng.choice([CREATED, CREATED, CANCELLED, "renewal"]),
+            plan=rng.choice(["starter", "growth"]),
+            period=rng.choice(["monthly", "annual"]),
+            cents=rng.randint(12, 40),
+            time=str(dt.date(2023, 1, 1) + dt.timedelta(days=rng.randint(0, 60))),
+        )
+        for i in range(800)
+    ]
+    resolved = subs.resolved_events(rows.events(spark, events), rows.brands(spark, *range(1, 8)), AS_OF)
+    ends = {(r.brand_id, r.plan_name): r.end_date for r in subs.cancel_dates(resolved).collect()}
+    first = {}
+    for r in sorted(subs.created_spans(resolved).collect(), key=lambda r: (r.billing_period, r.amount_cents)):
+        first.setdefault((r.brand_id, r.plan_name, r.start_date), r)
+    expected = sorted(
+        (b, p, str(d), r.billing_period, str(ends.get((b, p))), r.amount_cents // 12 if r.billing_period == "annual" else r.amount_cents)
+        for (b, p, d), r in first.items()
+    )
+    got = sorted(
+        (r.brand_id, r.plan_name, str(r.start_date), r.billing_period, str(r.end_date), r.mrr_cents)
+        for r in subs.stage_subscriptions(resolved).collect()
+    )
+    assert got == expected
+
+
+def test_doubled_events_do_not_change_the_spans(spark):
+    events = [event(i, time=f"2023-01-{i:02d}") for i in range(1, 20)]
+    twice = events + [(e[0] + 1_000, *e[1:]) for e in events]
+    once = rows.plain(staged(spark, events))
+    assert rows.plain(staged(spark, twice)) == once
+    shuffled = rows.events(spark, twice).repartition(7, F.rand(5))
+    resolved = subs.resolved_events(shuffled, rows.brands(spark, 1), AS_OF)
+    assert rows.plain(subs.stage_subscriptions(resolved)) == once
+
+
+def test_bad_events_are_quarantined_once_per_copy(spark):
+    events = rows.events(spark, [event(1, "x", brand="BRD-GHOST"), event(2, "x", brand="BRD-GHOST"), event(3)])
+    got = quarantine.quarantine_ghost_brand(events, rows.brands(spark, 1))
+    assert sorted(r.source_row_id for r in got.collect()) == [1, 2]
+
+
+def test_payments_without_brand_or_creator_are_quarantined_unless_tests(spark):
+    known = ("BRD-000001", "CRT-00000001")
+    cases = {
+        1: (1, *known),
+        2: (1, "BRD-GHOST", known[1]),
+        3: (1, known[0], None),
+        4: (1, None, known[1]),
+        5: (None, "BRD-GHOST", None),
+    }
+    raw = rows.raw_payments(
+        spark, [(i, *ids, 100, 10, 3, 0, "succeeded", "2023-01-01") for i, ids in cases.items()]
+    )
+    brands, creators = rows.brands(spark, 1), rows.creators(spark, 1)
+    lost = quarantine.quarantine_payments(raw, brands, creators).collect()
+    assert sorted(r.source_row_id for r in lost) == [2, 3, 4]
+    assert {r.reason for r in lost} == {"unresolvable_brand_external_id"}
+    kept = payments.stage_payments(raw, brands, creators).collect()
+    assert sorted((r.payment_id, r.is_test_transaction) for r in kept) == [(1, False), (5, True)]
+
+
+def test_payout_discrepancy(spark):
+    raw = rows.raw_payments(spark, [(1, None, None, None, 100, 10, 3, 0, "succeeded", "2023-01-01")])
+    brands, creators = rows.brands(spark, 1), rows.creators(spark, 7)
+    kept = payments.stage_payments(raw, brands, creators)
+    outs = rows.raw_payouts(
+        spark,
+        [(1, 1, "CRT-00000007", 87, 80, "paid", "2023-01-05"), (2, 1, None, 87, 87, "paid", "2023-01-05"),
+         (3, 2, None, 1, 1, "paid", "2023-01-05")],
+    )
+    got = {r.payout_id: r for r in payments.stage_payouts(outs, kept, creators).collect()}
+    assert set(got) == {1, 2}
+    assert (got[1].has_payout_discrepancy, got[1].discrepancy_cents, got[1].creator_id) == (True, -7, 7)
+    assert (got[2].has_payout_discrepancy, got[2].creator_id) == (False, None)
