@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
-def external_id(prefix: str, number: Column, width: int) -> Column:
-    """``prefix`` and a number padded with zeros to at least ``width`` digits."""
-    digits = number.cast("string")
-    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), "0"))
-
-
 def subscription_id(brand_id: Column, plan_name: Column, start_date: Column) -> Column:
     """SHA-256 hex of brand, plan and start date; NULL if one of them is."""
     bar = F.lit("|")
@@ -48,24 +42,39 @@ def with_dense_key(df: DataFrame, unique_col: str, name: str, hex_digits: int =
     )
 
 
-def with_group_sequence(df: DataFrame, group: str, id_col: str, name: str, chunk: int = 1_000_000) -> DataFrame:
-    """Number rows 1..n inside each group in order of a unique integer id.
+def with_group_sequence(
+    df: DataFrame, group: str, id_col: str, name: str, low_bits: int = 20, high_bits: int = 42
+) -> DataFrame:
+    """Number rows 1..n inside each group in order of a unique 64-bit id.
 
-    A group may hold a large part of the table, so it is cut into id ranges:
-    a range has at most ``chunk`` rows because ids are unique, and each starts
-    after the rows of the ranges before it. ``group`` must not be NULL.
+    A group may hold a large part of the table, so it is never sorted whole. It
+    is cut into id ranges of 2**low_bits, which hold at most that many rows
+    because ids are unique, and every range starts after the rows of the ranges
+    before it. Ranges are counted inside blocks of 2**high_bits ids, so no
+    window sees more than 2**22 of them, however sparse the ids are.
+    ``group`` must not be NULL.
     """
-    cut = df.withColumn("_range", F.floor(F.col(id_col) / F.lit(chunk)))
-    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(group, "_range")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(group, "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    cut = df.withColumns(
+        {"_low": F.shiftright(id_col, low_bits), "_high": F.shiftright(id_col, high_bits)}
+    )
+
+    def before(*keys: str, order: str) -> WindowSpec:
+        return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    def rows_before(window: WindowSpec) -> Column:
+        return F.coalesce(F.sum("_rows").over(window), F.lit(0))
+
+    ranges = cut.groupBy(group, "_high", "_low").agg(F.count(F.lit(1)).alias("_rows"))
+    blocks = ranges.groupBy(group, "_high").agg(F.sum("_rows").alias("_rows"))
+    starts = (
+        ranges.select(group, "_high", "_low", rows_before(before(group, "_high", order="_low")).alias("_inside"))
+        .join(blocks.select(group, "_high", rows_before(before(group, order="_high")).alias("_outside")), [group, "_high"])
+        .select(group, "_low", (F.col("_inside") + F.col("_outside")).alias("_offset"))
     )
-    inside = Window.partitionBy(group, "_range").orderBy(id_col)
+    inside = Window.partitionBy(group, "_low").orderBy(id_col)
     return (
         cut.withColumn("_position", F.row_number().over(inside))
-        .join(offsets, [group, "_range"])
+        .join(starts, [group, "_low"])
         .withColumn(name, F.col("_offset") + F.col("_position"))
-        .drop("_range", "_offset", "_position")
+        .drop("_low", "_high", "_offset", "_position")
     )

@@ -125,7 +125,7 @@ DESCRIPTIONS = {
     "V4": "Payout discrepancy rate between 3% and 7%",
     "V5": "stg_unmatched_events is non-empty (quarantine pipeline ran)",
     "V6": "No test transactions in mart GMV",
-    "V7": "take_rate_gross in [0.05, 0.20]",
+    "V7": "take_rate_gross in [0.05, 0.20] for all rows",
 }
 # ------------------------------------------------------------------------------
 

@@ -44,11 +44,11 @@ def _payload(df: DataFrame, names: tuple[str, ...]) -> Column:
     return F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
 
 
-def _quarantined(df: DataFrame, table: str, id_col: str, reason: str, payload: tuple[str, ...]) -> DataFrame:
+def _quarantined(df: DataFrame, table: str, id_col: str, reason: Column, payload: tuple[str, ...]) -> DataFrame:
     return df.select(
         F.lit(table).alias("source_table"),
         F.col(id_col).alias("source_row_id"),
-        F.lit(reason).alias("reason"),
+        reason.alias("reason"),
         _payload(df, payload).alias("raw_payload"),
     )
 
@@ -56,32 +56,36 @@ def _quarantined(df: DataFrame, table: str, id_col: str, reason: str, payload: t
 def quarantine_missing_brand(events: DataFrame) -> DataFrame:
     """Events without a brand id."""
     missing = events.where(F.col("brand_external_id").isNull())
-    return _quarantined(missing, "raw_subscription_events", "event_id", REASON_MISSING_BRAND, _EVENT_PAYLOAD)
+    return _quarantined(missing, "raw_subscription_events", "event_id", F.lit(REASON_MISSING_BRAND), _EVENT_PAYLOAD)
 
 
 def quarantine_ghost_brand(events: DataFrame, brands: DataFrame) -> DataFrame:
     """Events with a brand id no brand has; copies of a bad event each count."""
     named = events.where(F.col("brand_external_id").isNotNull())
     ghosts = named.join(brands.select("brand_external_id"), "brand_external_id", "left_anti")
-    return _quarantined(ghosts, "raw_subscription_events", "event_id", REASON_UNRESOLVED, _EVENT_PAYLOAD)
+    return _quarantined(ghosts, "raw_subscription_events", "event_id", F.lit(REASON_UNRESOLVED), _EVENT_PAYLOAD)
 
 
 def quarantine_payments(payments: DataFrame, brands: DataFrame, creators: DataFrame) -> DataFrame:
     """Non-test payments whose brand or creator is missing or unknown."""
     live = payments.where(F.col("campaign_id").isNotNull())
     lost = with_entity_keys(live, brands, creators).where(F.col("brand_id").isNull() | F.col("creator_id").isNull())
-    return _quarantined(lost, "raw_payments", "payment_id", REASON_UNRESOLVED, _PAYMENT_PAYLOAD)
+    return _quarantined(lost, "raw_payments", "payment_id", F.lit(REASON_UNRESOLVED), _PAYMENT_PAYLOAD)
+
+
+def unmatched_events(events: DataFrame, brands: DataFrame) -> DataFrame:
+    """Events without a known brand, both reasons in one pass over the events."""
+    # A NULL id matches no brand, so the anti join keeps it.
+    bad = events.join(brands.select("brand_external_id"), "brand_external_id", "left_anti")
+    reason = F.when(F.col("brand_external_id").isNull(), REASON_MISSING_BRAND).otherwise(REASON_UNRESOLVED)
+    return _quarantined(bad, "raw_subscription_events", "event_id", reason, _EVENT_PAYLOAD)
 
 
 def unmatched_rows(
     events: DataFrame, payments: DataFrame, brands: DataFrame, creators: DataFrame, as_of: dt.datetime | None = None
 ) -> DataFrame:
     """All quarantined rows; with ``as_of`` they also carry the time of quarantine."""
-    rows = (
-        quarantine_missing_brand(events)
-        .unionByName(quarantine_ghost_brand(events, brands))
-        .unionByName(quarantine_payments(payments, brands, creators))
-    )
+    rows = unmatched_events(events, brands).unionByName(quarantine_payments(payments, brands, creators))
     return rows if as_of is None else rows.withColumn("quarantined_at", F.lit(as_of))
 
 

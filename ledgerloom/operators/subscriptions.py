@@ -168,11 +168,18 @@ def subscription_sources(resolved: DataFrame) -> DataFrame:
     )
 
 
-def with_source_arrays(subscriptions: DataFrame, sources: DataFrame) -> DataFrame:
-    """Add ``_source_event_ids`` as one sorted array per subscription.
+def with_source_arrays(subscriptions: DataFrame, sources: DataFrame, limit: int = 100_000) -> DataFrame:
+    """Add the source event ids of every subscription as a sorted array, and their number.
 
-    An array is one value in one row. Where a single span may gather more
-    events than a row can hold, keep the long form of ``subscription_sources``.
+    A span may gather any number of events, and an array is one value in one
+    row. So spans with more than ``limit`` events get no array; all their ids
+    are in ``sources``, the long form.
     """
-    arrays = sources.groupBy("subscription_id").agg(F.sort_array(F.collect_list("event_id")).alias("_source_event_ids"))
-    return subscriptions.join(arrays, "subscription_id")
+    counts = sources.groupBy("subscription_id").agg(F.count(F.lit(1)).alias("source_event_count"))
+    few = counts.where(F.col("source_event_count") <= limit).select("subscription_id")
+    arrays = (
+        sources.join(few, "subscription_id", "left_semi")
+        .groupBy("subscription_id")
+        .agg(F.sort_array(F.collect_list("event_id")).alias("_source_event_ids"))
+    )
+    return subscriptions.join(counts, "subscription_id", "left").join(arrays, "subscription_id", "left")

@@ -13,6 +13,7 @@ from ledgerloom.sources.tables import RunFolder
 
 PUBLIC_TABLES = [
     "stg_subscriptions",
+    "stg_subscription_sources",
     "stg_payments",
     "stg_payouts",
     "stg_unmatched_events",
@@ -32,13 +33,12 @@ class RawTables:
     calendar: DataFrame
 
 
-def stage(run: RunFolder, raw: RawTables, params: Params = DEFAULTS, source_arrays: bool = True) -> None:
+def stage(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> None:
     """Write the staging tables and the ledger; stop on a broken invariant."""
     resolved = run.keep("resolved_events", subscriptions.resolved_events(raw.events, raw.brands, params.as_of))
+    sources = run.keep("stg_subscription_sources", subscriptions.subscription_sources(resolved))
     spans = subscriptions.stage_subscriptions(resolved)
-    if source_arrays:
-        spans = subscriptions.with_source_arrays(spans, subscriptions.subscription_sources(resolved))
-    spans = run.keep("stg_subscriptions", spans)
+    spans = run.keep("stg_subscriptions", subscriptions.with_source_arrays(spans, sources))
     guards.require(guards.missing_brands(spans), "subscriptions without a brand")
     guards.require(guards.missing_start_dates(spans), "subscriptions without a start date")
 
@@ -82,11 +82,11 @@ def check_plans(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> di
 
 
 def build(
-    spark: SparkSession, raw: RawTables, root: str, params: Params = DEFAULTS, source_arrays: bool = True
+    spark: SparkSession, raw: RawTables, root: str, params: Params = DEFAULTS
 ) -> RunFolder:
     """Stage and build all tables under ``root``; publish them with ``RunFolder.publish``."""
     run = RunFolder(spark, root)
-    stage(run, raw, params, source_arrays)
+    stage(run, raw, params)
     build_marts(run, raw, params)
     return run
 

@@ -10,22 +10,22 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.keys import external_id
 from ledgerloom.functions.money import cents, share
 from ledgerloom.operators.calendar import dim_date
 from ledgerloom.params import DEFAULTS, Params
 from ledgerloom.sources.files import read_table
 from ledgerloom.sources.schemas import SOURCE_TABLES
 
-GHOST = "BRD-GHOST"
-COPY_OFFSET = 1_000_000_000
 
+def _external_id(prefix: str, number: str, width: int) -> str:
+    """SQL for a prefix and a number padded with zeros to at least ``width`` digits."""
+    return f"'{prefix}' || lpad({number}, greatest(length({number}), {width}), '0')"
 
-def _every(key: Column, modulus: int, *remainders: int) -> Column:
-    return (key % modulus).isin(*remainders)
+
+_BRAND = f"CASE WHEN o_orderkey % 100 = 11 THEN 'BRD-GHOST' ELSE {_external_id('BRD-', 'o_custkey', 6)} END"
 
 
 class Marketplace:
@@ -35,6 +35,7 @@ class Marketplace:
         self.spark = spark
         self.folder = folder
         self.params = params
+        self._opened = f"timestamp_ntz'{params.calendar_start}' AS created_at"
 
     def _source(self, name: str) -> DataFrame:
         return read_table(self.spark, self.folder, name, SOURCE_TABLES[name])
@@ -49,7 +50,7 @@ class Marketplace:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self._source("orders")
+        return self._source("orders").withColumn("gross", cents(F.col("o_totalprice")))
 
     @cached_property
     def line_items(self) -> DataFrame:
@@ -59,107 +60,78 @@ class Marketplace:
     def dim_date(self) -> DataFrame:
         return dim_date(self.spark, self.params.calendar_start, self.params.calendar_end)
 
-    def _opened(self) -> Column:
-        return F.lit(self.params.calendar_start).cast("timestamp_ntz")
-
     @cached_property
     def dim_brand(self) -> DataFrame:
-        key, segment = F.col("c_custkey"), F.col("c_mktsegment")
-        tier = (
-            F.when(segment == "BUILDING", "Enterprise")
-            .when(segment.isin("AUTOMOBILE", "MACHINERY"), "Mid-Market")
-            .otherwise("SMB")
-        )
-        return self.customers.select(
-            key.alias("brand_id"),
-            external_id("BRD-", key, 6).alias("brand_external_id"),
-            F.col("c_name").alias("brand_name"),
-            F.lower(segment).alias("industry"),
-            tier.alias("tier"),
-            self._opened().alias("created_at"),
+        return self.customers.selectExpr(
+            "c_custkey AS brand_id",
+            f"{_external_id('BRD-', 'c_custkey', 6)} AS brand_external_id",
+            "c_name AS brand_name",
+            "lower(c_mktsegment) AS industry",
+            """CASE WHEN c_mktsegment = 'BUILDING' THEN 'Enterprise'
+                WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'Mid-Market' ELSE 'SMB' END AS tier""",
+            self._opened,
         )
 
     @cached_property
     def dim_creator(self) -> DataFrame:
-        key, nation = F.col("s_suppkey"), F.col("s_nationkey")
-        tier = (
-            F.when(nation % 4 == 0, "nano")
-            .when(nation % 4 == 1, "micro")
-            .when(nation % 4 == 2, "macro")
-            .otherwise("mega")
-        )
-        return self.suppliers.select(
-            key.alias("creator_id"),
-            external_id("CRT-", key, 8).alias("creator_external_id"),
-            F.col("s_name").alias("creator_name"),
-            tier.alias("follower_tier"),
-            F.concat(F.lit("category-"), nation.cast("string")).alias("category"),
-            self._opened().alias("created_at"),
+        return self.suppliers.selectExpr(
+            "s_suppkey AS creator_id",
+            f"{_external_id('CRT-', 's_suppkey', 8)} AS creator_external_id",
+            "s_name AS creator_name",
+            "element_at(array('nano', 'micro', 'macro', 'mega'), s_nationkey % 4 + 1) AS follower_tier",
+            "'category-' || s_nationkey AS category",
+            self._opened,
         )
 
     @cached_property
     def _orders_with_creator(self) -> DataFrame:
-        first_supplier = self.line_items.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("_suppkey"))
-        orders = self.orders
-        return orders.join(first_supplier, orders.o_orderkey == first_supplier.l_orderkey, "left").withColumn(
-            "creator_external_id", external_id("CRT-", F.col("_suppkey"), 8)
+        """Orders with their lowest supplier as creator, NULL without line items."""
+        first_supplier = self.line_items.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+            F.min("l_suppkey").alias("_suppkey")
+        )
+        return self.orders.join(first_supplier, "o_orderkey", "left").selectExpr(
+            "*", f"{_external_id('CRT-', '_suppkey', 8)} AS creator_external_id"
         )
 
-    def _money(self, orders: DataFrame) -> DataFrame:
-        """Gross amount, regular fees, refund and expected payout of each order."""
-        fees, key = self.params.fees, F.col("o_orderkey")
-        gross = orders.withColumn("_gross", cents(F.col("o_totalprice")))
-        split = gross.withColumns(
+    def _with_money(self, orders: DataFrame) -> DataFrame:
+        """Regular fees, refund and expected payout of each order."""
+        fees, gross = self.params.fees, F.col("gross")
+        split = orders.withColumns(
             {
-                "_platform": share(F.col("_gross"), fees.platform_rate),
-                "_processor": share(F.col("_gross"), fees.processor_rate) + fees.processor_fixed_cents,
-                "_refund": F.when(_every(key, 20, 5), F.expr("_gross div 5")).otherwise(F.lit(0).cast("bigint")),
+                "_platform": share(gross, fees.platform_rate),
+                "_processor": share(gross, fees.processor_rate) + fees.processor_fixed_cents,
+                "_refund": F.expr("CASE WHEN o_orderkey % 20 = 5 THEN gross div 5 ELSE 0L END"),
             }
         )
-        return split.withColumn("_expected", F.col("_gross") - F.col("_platform") - F.col("_processor"))
-
-    @staticmethod
-    def _payment_brand() -> Column:
-        key = F.col("o_orderkey")
-        return F.when(_every(key, 100, 11), GHOST).otherwise(external_id("BRD-", F.col("o_custkey"), 6))
+        return split.withColumn("_expected", F.expr("gross - _platform - _processor"))
 
     @cached_property
     def raw_payments(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        status = (
-            F.when(_every(key, 10, 7), "Succeeded")
-            .when(_every(key, 25, 9), "failed")
-            .when(_every(key, 100, 45), "refunded")
-            .otherwise(" succeeded ")
-        )
-        # One cent too much on some rows, for the fee audit to find.
-        overcharge = F.when(_every(key, 200, 9), F.lit(1)).otherwise(F.lit(0))
-        return self._money(self._orders_with_creator).select(
-            key.alias("payment_id"),
-            F.when(~_every(key, 50, 3), key).alias("campaign_id"),
-            self._payment_brand().alias("brand_external_id"),
+        return self._with_money(self._orders_with_creator).selectExpr(
+            "o_orderkey AS payment_id",
+            "CASE WHEN o_orderkey % 50 <> 3 THEN o_orderkey END AS campaign_id",
+            f"{_BRAND} AS brand_external_id",
             "creator_external_id",
-            F.col("_gross").alias("amount_gross_cents"),
-            (F.col("_platform") + overcharge).alias("platform_fee_cents"),
-            F.col("_processor").alias("stripe_fee_cents"),
-            F.col("_refund").alias("amount_refunded_cents"),
-            status.alias("status"),
-            F.col("o_orderdate").alias("paid_at"),
+            "gross AS amount_gross_cents",
+            # One cent too much on some rows, for the fee audit to find.
+            "_platform + CASE WHEN o_orderkey % 200 = 9 THEN 1 ELSE 0 END AS platform_fee_cents",
+            "_processor AS stripe_fee_cents",
+            "_refund AS amount_refunded_cents",
+            """CASE WHEN o_orderkey % 10 = 7 THEN 'Succeeded' WHEN o_orderkey % 25 = 9 THEN 'failed'
+                WHEN o_orderkey % 100 = 45 THEN 'refunded' ELSE ' succeeded ' END AS status""",
+            "o_orderdate AS paid_at",
         )
 
     def _payouts_from(self, orders: DataFrame, *extra: str) -> DataFrame:
-        key = F.col("o_orderkey")
-        underpaid = (F.col("_refund") > 0) & ~_every(key, 100, 5)
-        paid = F.greatest(F.col("_expected") - F.when(underpaid, F.col("_refund")).otherwise(0), F.lit(0))
-        status = F.when(key % 100 < 3, "failed").when(key % 100 < 8, "pending").otherwise("paid")
-        return self._money(orders).select(
-            key.alias("payout_id"),
-            key.alias("payment_id"),
+        return self._with_money(orders).selectExpr(
+            "o_orderkey AS payout_id",
+            "o_orderkey AS payment_id",
             *extra,
-            F.col("_expected").alias("expected_payout_cents"),
-            paid.alias("amount_paid_cents"),
-            status.alias("status"),
-            (F.col("o_orderdate") + F.make_dt_interval(days=(key % 45 + 1).cast("int"))).alias("payout_at"),
+            "_expected AS expected_payout_cents",
+            "greatest(_expected - CASE WHEN o_orderkey % 100 <> 5 THEN _refund ELSE 0 END, 0) AS amount_paid_cents",
+            """CASE WHEN o_orderkey % 100 < 3 THEN 'failed' WHEN o_orderkey % 100 < 8 THEN 'pending'
+                ELSE 'paid' END AS status""",
+            "o_orderdate + make_dt_interval(int(o_orderkey % 45 + 1)) AS payout_at",
         )
 
     @cached_property
@@ -174,62 +146,52 @@ class Marketplace:
     @cached_property
     def campaign_requests(self) -> DataFrame:
         """Campaigns as submitted, with external ids still to be resolved."""
-        key, placed = F.col("o_orderkey"), F.col("o_orderdate")
-        done = F.col("o_orderstatus") == "F"
-        status = F.when(done, "completed").when(F.col("o_orderstatus") == "O", "active").otherwise("cancelled")
-        return self._orders_with_creator.select(
-            external_id("CMP-", key, 9).alias("campaign_ref"),
-            key.alias("campaign_id"),
-            self._payment_brand().alias("brand_external_id"),
+        return self._orders_with_creator.selectExpr(
+            f"{_external_id('CMP-', 'o_orderkey', 9)} AS campaign_ref",
+            "o_orderkey AS campaign_id",
+            f"{_BRAND} AS brand_external_id",
             "creator_external_id",
-            cents(F.col("o_totalprice")).alias("agreed_budget_cents"),
-            status.alias("status"),
-            placed.alias("created_at"),
-            F.when(done, placed + F.make_dt_interval(days=(key % 30 + 1).cast("int"))).alias("completed_at"),
+            "gross AS agreed_budget_cents",
+            """CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'active'
+                ELSE 'cancelled' END AS status""",
+            "o_orderdate AS created_at",
+            """CASE WHEN o_orderstatus = 'F' THEN o_orderdate + make_dt_interval(int(o_orderkey % 30 + 1)) END
+                AS completed_at""",
         )
 
     @cached_property
     def payment_requests(self) -> DataFrame:
         """Payments naming their campaign by reference; test payments name none."""
-        key = F.col("o_orderkey")
-        return self.orders.select(
-            external_id("PAY-", key, 9).alias("payment_ref"),
-            key.alias("payment_id"),
-            F.when(~_every(key, 50, 3), external_id("CMP-", key, 9)).alias("campaign_ref"),
-            cents(F.col("o_totalprice")).alias("amount_gross_cents"),
+        return self.orders.selectExpr(
+            f"{_external_id('PAY-', 'o_orderkey', 9)} AS payment_ref",
+            "o_orderkey AS payment_id",
+            f"CASE WHEN o_orderkey % 50 <> 3 THEN {_external_id('CMP-', 'o_orderkey', 9)} END AS campaign_ref",
+            "gross AS amount_gross_cents",
         )
 
     @cached_property
     def payout_requests(self) -> DataFrame:
         """Payouts naming their payment by reference; some name one that does not exist."""
-        key = F.col("o_orderkey")
-        ref = F.when(_every(key, 500, 13), F.lit("PAY-UNKNOWN")).otherwise(external_id("PAY-", key, 9))
-        return self.raw_payout_amounts.withColumnRenamed("payment_id", "o_orderkey").select(
-            "payout_id", ref.alias("payment_ref"), "expected_payout_cents", "amount_paid_cents", "status"
+        ref = f"CASE WHEN payment_id % 500 = 13 THEN 'PAY-UNKNOWN' ELSE {_external_id('PAY-', 'payment_id', 9)} END"
+        return self.raw_payout_amounts.selectExpr(
+            "payout_id", f"{ref} AS payment_ref", "expected_payout_cents", "amount_paid_cents", "status"
         )
 
     @cached_property
     def raw_subscription_events(self) -> DataFrame:
-        key, state = F.col("o_orderkey"), F.col("o_orderstatus")
-        event_type = (
-            F.when(state == "O", "subscription_created").when(state == "F", "cancellation").otherwise("renewal")
+        """Events of all orders; some come twice, with the same raw id and a new event id."""
+        copies = self.orders.selectExpr(
+            "*", "explode(CASE WHEN o_orderkey % 50 = 7 THEN array(0L, 1000000000L) ELSE array(0L) END) AS _shift"
         )
-        brand = F.when(~_every(key, 33, 2), self._payment_brand())
-        period = F.when(_every(key, 4, 0), "annual").otherwise("monthly")
-        first, again = F.lit(0).cast("bigint"), F.lit(COPY_OFFSET).cast("bigint")
-        copies = F.when(_every(key, 50, 7), F.array(first, again)).otherwise(F.array(first))
-        return (
-            self.orders
-            .withColumn("_shift", F.explode(copies))
-            .select(
-                (key + F.col("_shift")).alias("event_id"),
-                F.concat(F.lit("evt-"), key.cast("string")).alias("raw_event_id"),
-                brand.alias("brand_external_id"),
-                event_type.alias("event_type"),
-                F.lower(F.split_part(F.col("o_orderpriority"), F.lit("-"), F.lit(2))).alias("plan_name"),
-                period.alias("billing_period"),
-                cents(F.col("o_totalprice")).cast("int").alias("amount_cents"),
-                F.col("o_orderdate").alias("event_at"),
-                _every(key, 20, 11).alias("_tz_coerced"),
-            )
+        return copies.selectExpr(
+            "o_orderkey + _shift AS event_id",
+            "'evt-' || o_orderkey AS raw_event_id",
+            f"CASE WHEN o_orderkey % 33 <> 2 THEN {_BRAND} END AS brand_external_id",
+            """CASE o_orderstatus WHEN 'O' THEN 'subscription_created' WHEN 'F' THEN 'cancellation'
+                ELSE 'renewal' END AS event_type""",
+            "lower(split_part(o_orderpriority, '-', 2)) AS plan_name",
+            "CASE WHEN o_orderkey % 4 = 0 THEN 'annual' ELSE 'monthly' END AS billing_period",
+            "int(gross) AS amount_cents",
+            "o_orderdate AS event_at",
+            "o_orderkey % 20 = 11 AS _tz_coerced",
         )

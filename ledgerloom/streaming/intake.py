@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom.operators.quarantine import quarantine_ghost_brand, quarantine_missing_brand
+from ledgerloom.operators import quarantine
 from ledgerloom.operators.subscriptions import dedup_events
 from ledgerloom.sources.schemas import RAW_SUBSCRIPTION_EVENTS
 
@@ -31,7 +31,7 @@ def start_intake(events: DataFrame, brands: DataFrame, out: str, checkpoint: str
 
     def sort_batch(batch: DataFrame, batch_id: int) -> None:
         accepted = dedup_events(batch).join(known, "brand_external_id", "left_semi")
-        unmatched = quarantine_missing_brand(batch).unionByName(quarantine_ghost_brand(batch, brands))
+        unmatched = quarantine.unmatched_events(batch, brands)
         accepted.write.mode("overwrite").parquet(f"{out}/accepted/batch_id={batch_id}")
         unmatched.write.mode("overwrite").parquet(f"{out}/unmatched/batch_id={batch_id}")
 

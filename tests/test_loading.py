@@ -48,12 +48,16 @@ def test_dense_keys_are_one_to_n(spark):
     assert rows.plain(with_dense_key(df.repartition(3), "ext", "key")) == rows.plain(keys)
 
 
-def test_group_sequence_is_cut_without_a_seam(spark):
-    df = spark.range(3_000).select(F.when(F.col("id") % 10 < 6, "hot").otherwise("cold").alias("g"), "id")
-    got = with_group_sequence(df, "g", "id", "n", chunk=64).collect()
+@pytest.mark.parametrize("spread", [1, 1_000_003, -(2**49) - 1])
+def test_group_sequence_is_cut_without_a_seam(spark, spread):
+    df = spark.range(3_000).select(
+        F.when(F.col("id") % 10 < 6, "hot").otherwise("cold").alias("g"), (F.col("id") * spread).alias("id")
+    )
+    got = with_group_sequence(df, "g", "id", "n", low_bits=6, high_bits=10 if spread == 1 else 42).collect()
     for group in ("hot", "cold"):
         ordered = sorted((r.id, r.n) for r in got if r.g == group)
         assert [n for _, n in ordered] == list(range(1, len(ordered) + 1))
+        assert len(ordered) == (1_800 if group == "hot" else 1_200)
 
 
 def test_event_ids_follow_the_text_rule(spark):
