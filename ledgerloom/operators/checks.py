@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import total
-from ledgerloom.operators.mrr import continuity_breaks
+from ledgerloom.operators.mrr import with_next_opening
 from ledgerloom.operators.payments import with_entity_keys
 from ledgerloom.params import BRAND_CHARGE, LIVE_STATUSES, PAYOUT, PLATFORM_FEE, PROCESSOR_FEE, Band
 
@@ -53,9 +53,9 @@ def ledger_balance(ledger: DataFrame, daily: DataFrame) -> DataFrame:
 
 def mrr_invariant(waterfall: DataFrame) -> DataFrame:
     """No brand-month may close on another level than the next one opens on."""
-    breaks = continuity_breaks(waterfall).agg(F.count(F.lit(1)).alias("n"))
-    counted = waterfall.agg(F.count(F.lit(1)).alias("total_waterfall_rows")).select(
-        breaks.scalar().alias("violation_count"), "total_waterfall_rows"
+    counted = with_next_opening(waterfall).agg(
+        F.count_if(F.col("mrr_end_cents") != F.col("next_start_cents")).alias("violation_count"),
+        F.count(F.lit(1)).alias("total_waterfall_rows"),
     )
     return counted.select("*", _status(F.col("violation_count") == 0))
 

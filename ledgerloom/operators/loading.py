@@ -62,13 +62,9 @@ def attach_campaign_keys(payments: DataFrame, campaigns: DataFrame) -> DataFrame
     """Payments with the key of the campaign they name.
 
     A payment that names none, or one that was not loaded, keeps a NULL
-    campaign and so counts as a test payment. Payments without a reference skip
-    the join: they may be many and would all meet on one key.
+    campaign and so counts as a test payment.
     """
-    known = campaigns.select("campaign_ref", "campaign_id")
-    named = payments.where(F.col("campaign_ref").isNotNull()).join(known, "campaign_ref", "left")
-    unnamed = payments.where(F.col("campaign_ref").isNull()).withColumn("campaign_id", F.lit(None).cast("bigint"))
-    return named.unionByName(unnamed).drop("campaign_ref")
+    return payments.join(campaigns.select("campaign_ref", "campaign_id"), "campaign_ref", "left").drop("campaign_ref")
 
 
 def attach_payment_keys(payouts: DataFrame, payments: DataFrame) -> DataFrame:

@@ -116,12 +116,18 @@ def mrr_waterfall(subscriptions: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
+def with_next_opening(waterfall: DataFrame) -> DataFrame:
+    """Add the opening revenue of the brand's next month, NULL in its last."""
+    by_month = Window.partitionBy("brand_id").orderBy("month_start_date")
+    return waterfall.select("brand_id", "month_start_date", "mrr_start_cents", "mrr_end_cents").withColumn(
+        "next_start_cents", F.lead("mrr_start_cents").over(by_month)
+    )
+
+
 def continuity_breaks(waterfall: DataFrame) -> DataFrame:
     """Brand-months whose closing revenue is not the next month's opening revenue."""
-    by_month = Window.partitionBy("brand_id").orderBy("month_start_date")
     return (
-        waterfall.select("brand_id", "month_start_date", "mrr_start_cents", "mrr_end_cents")
-        .withColumn("next_start_cents", F.lead("mrr_start_cents").over(by_month))
+        with_next_opening(waterfall)
         .where(F.col("mrr_end_cents") != F.col("next_start_cents"))
         .select("brand_id", "month_start_date", "mrr_end_cents", "next_start_cents")
     )

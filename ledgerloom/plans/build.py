@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +33,14 @@ class RawTables:
     calendar: DataFrame
 
 
+def load(run: RunFolder, raw: RawTables) -> RawTables:
+    """Store raw tables that are still expensive plans, so that every step reads files.
+
+    Not needed where the raw tables are files already.
+    """
+    return RawTables(**{f.name: run.keep(f"raw_{f.name}", getattr(raw, f.name)) for f in fields(raw)})
+
+
 def stage(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> None:
     """Write the staging tables and the ledger; stop on a broken invariant."""
     resolved = run.keep("resolved_events", subscriptions.resolved_events(raw.events, raw.brands, params.as_of))

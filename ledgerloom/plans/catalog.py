@@ -15,6 +15,7 @@ from ledgerloom.plans.frames import Frames
 from ledgerloom.session import scratch_path
 from ledgerloom.sources.files import load_raw, write_raw
 from ledgerloom.sources.schemas import RAW_PAYMENTS
+from ledgerloom.sources.tables import RunFolder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -296,8 +297,11 @@ def check_take_rate_range(f: Frames) -> DataFrame:
 
 @_query
 def validation_report(f: Frames) -> DataFrame:
-    run = full_build.build(f.spark, f.raw_tables, scratch_path(f.spark, "build"), f.params)
-    report = full_build.validate(f.spark, run, f.raw_tables, f.params)
+    run = RunFolder(f.spark, scratch_path(f.spark, "build"))
+    raw = full_build.load(run, f.raw_tables)
+    full_build.stage(run, raw, f.params)
+    full_build.build_marts(run, raw, f.params)
+    report = full_build.validate(f.spark, run, raw, f.params)
     return report.select(
         "name",
         "status",

@@ -17,6 +17,9 @@ REQUIRED = {
     # are broadcast, both by measured size.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also where the next step could have used the join's partitioning: another
+    # shuffle is cheaper than one task with a third of the rows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 

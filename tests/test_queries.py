@@ -68,3 +68,39 @@ def test_joins_work_without_broadcasts(spark, folder):
     finally:
         for key in keys:
             spark.conf.unset(key)
+
+
+def test_hot_keys_are_split(spark):
+    """A brand with half of the payments, and as many without a brand, do not meet in one task."""
+    from ledgerloom.operators.payments import with_entity_keys
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    payments = spark.range(0, 200_000, numPartitions=16).selectExpr(
+        "id AS payment_id",
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE 'b' || id % 5000 END AS brand_external_id",
+        "'c' || id % 700 AS creator_external_id",
+    )
+    brands = spark.range(4_000).selectExpr("id AS brand_id", "CASE id WHEN 0 THEN 'hot' ELSE 'b' || id END AS brand_external_id")
+    creators = spark.range(700).selectExpr("id AS creator_id", "'c' || id AS creator_external_id")
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = with_entity_keys(payments, brands, creators)
+        got = df.selectExpr("count(*) AS n", "count(brand_id) AS known").collect()[0]
+        seen = df.groupBy("brand_id").count()
+        seen.collect()
+        assert "skew=true" in seen._jdf.queryExecution().executedPlan().toString()
+        # Brands b4000 to b4999 are unknown; b0 is the hot one under its other name.
+        wanted = sum(1 for i in range(200_000) if i % 3 == 0 or (i % 3 == 2 and 0 < i % 5000 < 4000))
+        assert tuple(got) == (200_000, wanted)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
