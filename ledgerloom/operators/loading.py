@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.payments import with_entity_keys
+
 
 def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
@@ -42,19 +44,12 @@ def resolve_campaign_keys(campaigns: DataFrame, brands: DataFrame, creators: Dat
 
 def campaign_load_summary(campaigns: DataFrame, brands: DataFrame, creators: DataFrame) -> DataFrame:
     """How many campaigns were loaded and how many skipped."""
-    known_brand = brands.select("brand_external_id", F.lit(True).alias("_b"))
-    known_creator = creators.select("creator_external_id", F.lit(True).alias("_c"))
-    both = F.col("_b").isNotNull() & F.col("_c").isNotNull()
-    # Campaigns are counted per pair of ids first, so hot pairs shrink before the joins.
-    pairs = campaigns.groupBy("brand_external_id", "creator_external_id").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        pairs.join(known_brand, "brand_external_id", "left")
-        .join(known_creator, "creator_external_id", "left")
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("total_campaigns"),
-            F.coalesce(F.sum(F.when(both, F.col("n"))), F.lit(0)).alias("loaded_campaigns"),
-            F.coalesce(F.sum(F.when(~both, F.col("n"))), F.lit(0)).alias("skipped_campaigns"),
-        )
+    placed = with_entity_keys(campaigns, brands, creators)
+    both = F.col("brand_id").isNotNull() & F.col("creator_id").isNotNull()
+    return placed.agg(
+        F.count(F.lit(1)).alias("total_campaigns"),
+        F.count_if(both).alias("loaded_campaigns"),
+        F.count_if(~both).alias("skipped_campaigns"),
     )
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.operators import checks, financials, guards, ledger, mrr, payments, quarantine, subscriptions
+from ledgerloom.operators.calendar import dim_date
 from ledgerloom.params import DEFAULTS, Params
+from ledgerloom.sources.files import load_raw
+from ledgerloom.sources.schemas import RAW_TABLES
 from ledgerloom.sources.tables import RunFolder
 
 PUBLIC_TABLES = [
@@ -33,12 +36,34 @@ class RawTables:
     calendar: DataFrame
 
 
-def load(run: RunFolder, raw: RawTables) -> RawTables:
-    """Store raw tables that are still expensive plans, so that every step reads files.
+def read_raw(spark: SparkSession, folder: str, params: Params = DEFAULTS) -> RawTables:
+    """The raw tables of a folder with one subfolder of CSV files for each."""
 
-    Not needed where the raw tables are files already.
+    def table(name: str) -> DataFrame:
+        return load_raw(spark, f"{folder.rstrip('/')}/{name}", RAW_TABLES[name])
+
+    return RawTables(
+        table("raw_subscription_events"),
+        table("raw_payments"),
+        table("raw_payouts"),
+        table("dim_brand"),
+        table("dim_creator"),
+        dim_date(spark, params.calendar_start, params.calendar_end),
+    )
+
+
+def load(run: RunFolder, raw: RawTables, expected: Mapping[str, int] | None = None) -> RawTables:
+    """Store the raw tables as parquet, so that every step reads typed columns.
+
+    ``expected`` may give the rows a table must have received; the stored files
+    know their row counts, so comparing costs no scan.
     """
-    return RawTables(**{f.name: run.keep(f"raw_{f.name}", getattr(raw, f.name)) for f in fields(raw)})
+    stored = RawTables(**{f.name: run.keep(f"raw_{f.name}", getattr(raw, f.name)) for f in fields(raw)})
+    for name, rows in (expected or {}).items():
+        loaded = getattr(stored, name).count()
+        if loaded != rows:
+            raise guards.InvariantError(f"{name}: {loaded} rows loaded, {rows} expected")
+    return stored
 
 
 def stage(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> None:

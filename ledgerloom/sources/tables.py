@@ -25,7 +25,7 @@ class RunFolder:
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         """Write a table and return it as read from its files."""
         df.write.mode("errorifexists").parquet(self.location(name))
-        self.tables[name] = self.spark.read.parquet(self.location(name))
+        self.tables[name] = self.spark.read.schema(df.schema).parquet(self.location(name))
         return self.tables[name]
 
     def publish(self, database: str, names: list[str] | None = None) -> None:

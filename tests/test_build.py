@@ -7,6 +7,7 @@ from ledgerloom.operators.quarantine import quarantine_ghost_brand, quarantine_m
 from ledgerloom.operators.subscriptions import dedup_events
 from ledgerloom.plans import build as plans
 from ledgerloom.plans.frames import Frames
+from ledgerloom.sources.files import write_raw
 from ledgerloom.sources.tables import RunFolder
 from ledgerloom.streaming import intake
 
@@ -34,6 +35,30 @@ def test_build_publishes_and_a_failed_build_changes_nothing(spark, folder, tmp_p
     assert rows.plain(spark.table("finance.mart_daily_financials")) == before
 
 
+def test_build_from_csv_files_gives_the_same_marts(spark, folder, tmp_path):
+    frames = Frames(spark, folder)
+    raw, files = frames.raw_tables, str(tmp_path / "csv")
+    by_name = {
+        "raw_subscription_events": raw.events,
+        "raw_payments": raw.payments,
+        "raw_payouts": raw.payouts,
+        "dim_brand": raw.brands,
+        "dim_creator": raw.creators,
+    }
+    for name, df in by_name.items():
+        write_raw(df, f"{files}/{name}")
+    run = RunFolder(spark, str(tmp_path / "out"))
+    loaded = plans.load(run, plans.read_raw(spark, files), {"payments": 1_500, "events": 1_530})
+    plans.stage(run, loaded)
+    plans.build_marts(run, loaded)
+    assert rows.plain(run.tables["mart_daily_financials"]) == rows.plain(frames.daily)
+    assert rows.plain(run.tables["mart_monthly_subscriptions"]) == rows.plain(frames.waterfall)
+    spans = run.tables["stg_subscriptions"]
+    assert spans.where("size(_source_event_ids) <> source_event_count").isEmpty()
+    with pytest.raises(guards.InvariantError, match="1501 expected"):
+        plans.load(RunFolder(spark, str(tmp_path / "again")), plans.read_raw(spark, files), {"payments": 1_501})
+
+
 def test_empty_ledger_stops_the_build(spark, folder, tmp_path):
     raw = Frames(spark, folder).raw_tables
     none_live = raw.payments.withColumn("status", F.lit("failed"))
