@@ -42,8 +42,13 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
     catalog, seconds = queries(), {}
-    # Start the JVM's threads and compilers on a table scan before timing.
-    spark.read.parquet(f"{folder}/orders.parquet").write.format("noop").mode("overwrite").save()
+    # Load Spark's join, window and aggregate code before timing; no query is run twice.
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    orders.createOrReplaceTempView("o")
+    spark.sql(
+        """SELECT c, count(*), max(r) FROM (SELECT o_custkey AS c, row_number() OVER
+        (PARTITION BY o_custkey ORDER BY o_orderdate) AS r FROM o) JOIN o ON c = o_custkey GROUP BY c"""
+    ).write.format("noop").mode("overwrite").save()
     for name in sys.argv[1:] or HEADLINE:
         start = time.perf_counter()
         # Every row and column is computed; nothing is kept or sent to Python.

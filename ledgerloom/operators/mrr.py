@@ -57,7 +57,7 @@ def _levels(subscriptions: DataFrame, calendar: DataFrame) -> DataFrame:
     mrr = F.col("mrr_cents")
     start, end = month_of(F.col("start_date")), month_of(F.col("end_date"))
     # Months, not days: a span that ends before it starts counts in that month.
-    ever_active = end.isNull() | (end >= start)
+    ever_active = start.isNotNull() & (end.isNull() | (end >= start))
     changes = F.array(
         _change(first, F.lit(0).cast("bigint")),
         F.when(ever_active, _change(F.greatest(start, first), mrr)),

@@ -99,6 +99,13 @@ def test_no_subscriptions_give_no_rows(spark):
     assert mrr.mrr_waterfall(empty, calendar).isEmpty()
 
 
+def test_span_without_start_counts_nowhere(spark):
+    subs = rows.subscriptions(spark, [(1, "2023-01-01", "2023-03-31", 10), (2, "2023-01-01", None, 7)])
+    lost = subs.withColumn("start_date", F.when(F.col("brand_id") == 1, F.col("start_date")))
+    got = by_month(mrr.mrr_waterfall(lost, rows.calendar(spark)))
+    assert {v[-1] for (brand, _), v in got.items() if brand == 2} == {0}
+
+
 def test_continuity_break_is_found_and_stops(spark):
     df = waterfall(spark, [(1, "2023-01-01", "2023-03-31", 50)])
     broken = df.withColumn(
