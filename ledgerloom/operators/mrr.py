@@ -21,15 +21,14 @@ def spine_bounds(subscriptions: DataFrame, calendar: DataFrame) -> DataFrame:
     From the month of the earliest start to the month after the latest end (or
     the latest start while nothing has ended), as far as the calendar reaches.
     """
-    days = calendar.agg(F.min("date_day").alias("lo"), F.max("date_day").alias("hi"))
+    days = calendar.agg(F.struct(F.min("date_day").alias("lo"), F.max("date_day").alias("hi")).alias("days"))
     span = subscriptions.agg(
         F.min("start_date").alias("_start"),
         month_after(F.coalesce(F.max("end_date"), F.max("start_date"))).alias("_stop"),
-    )
-    lo, hi = days.select("lo").scalar(), days.select("hi").scalar()
+    ).select("_start", "_stop", days.scalar().alias("_days"))
     return span.select(
-        month_of(F.greatest("_start", lo)).alias("first_month"),
-        month_of(F.least("_stop", hi)).alias("last_month"),
+        month_of(F.greatest("_start", "_days.lo")).alias("first_month"),
+        month_of(F.least("_stop", "_days.hi")).alias("last_month"),
     ).where(F.col("first_month") <= F.col("last_month"))
 
 
@@ -53,29 +52,45 @@ def _change(month: Column, cents: Column) -> Column:
 def _levels(subscriptions: DataFrame, calendar: DataFrame) -> DataFrame:
     """Change months of every brand: month, last month before the next change, level, level before."""
     bounds = spine_bounds(subscriptions, calendar)
-    first, last = _bound(bounds, "first_month"), _bound(bounds, "last_month")
-    mrr = F.col("mrr_cents")
-    start, end = month_of(F.col("start_date")), month_of(F.col("end_date"))
+    spans = subscriptions.select(
+        "brand_id",
+        month_of(F.col("start_date")).alias("_start"),
+        month_of(F.col("end_date")).alias("_end"),
+        F.col("mrr_cents").alias("_mrr"),
+        _bound(bounds, "first_month").alias("_first"),
+    )
+    first, start, end, mrr = F.col("_first"), F.col("_start"), F.col("_end"), F.col("_mrr")
     # Months, not days: a span that ends before it starts counts in that month.
     ever_active = start.isNotNull() & (end.isNull() | (end >= start))
     changes = F.array(
+        # Every brand's series begins with the spine.
         _change(first, F.lit(0).cast("bigint")),
         F.when(ever_active, _change(F.greatest(start, first), mrr)),
         F.when(ever_active & end.isNotNull(), _change(F.greatest(month_after(end), first), -mrr)),
     )
     per_month = (
-        subscriptions.select("brand_id", last.alias("_last"), F.inline(changes))
-        .where(F.col("month") <= F.col("_last"))
+        spans.select("brand_id", F.inline(changes))
+        .where(F.col("month").isNotNull())
         .groupBy("brand_id", "month")
         .agg(F.sum("delta").alias("delta"))
     )
     by_month = Window.partitionBy("brand_id").orderBy("month")
-    level = F.sum("delta").over(by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (
-        per_month.withColumns({"level": level, "_next": F.lead("month").over(by_month)})
-        .withColumn("until", F.coalesce(F.add_months("_next", -1), last))
-        .withColumn("prior", F.when(F.col("month") > first, F.col("level") - F.col("delta")))
-        .select("brand_id", "month", "until", "level", "prior")
+    last, level = F.col("_last"), F.col("level")
+    levels = per_month.select(
+        "brand_id",
+        "month",
+        "delta",
+        F.sum("delta").over(by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("level"),
+        F.lead("month").over(by_month).alias("_next"),
+        F.lag("month").over(by_month).alias("_previous"),
+        _bound(bounds, "last_month").alias("_last"),
+    )
+    return levels.where(F.col("month") <= last).select(
+        "brand_id",
+        "month",
+        F.least(F.coalesce(F.add_months("_next", -1), last), last).alias("until"),
+        "level",
+        F.when(F.col("_previous").isNotNull(), level - F.col("delta")).alias("prior"),
     )
 
 

@@ -166,6 +166,13 @@ def subscription_sources(f: Frames) -> DataFrame:
     return subs.subscription_sources(f.resolved)
 
 
+@_query
+def subscription_source_arrays(f: Frames) -> DataFrame:
+    spans = subs.with_source_arrays(f.subscriptions, subs.subscription_sources(f.resolved))
+    listed = F.array_join("_source_event_ids", ",").alias("source_event_ids")
+    return spans.select("subscription_id", "source_event_count", listed)
+
+
 @_query
 def stg_payments(f: Frames) -> DataFrame:
     return f.payments

@@ -524,6 +524,10 @@ def statements() -> dict[str, str]:
         "cancel_dates": _columns("*", "cancelled"),
         "stg_subscriptions": _columns("* EXCLUDE (sources, amount_cents)", "subscriptions"),
         "subscription_sources": _columns("subscription_id, unnest(sources) AS event_id", "subscriptions"),
+        "subscription_source_arrays": _columns(
+            "subscription_id, len(sources) AS source_event_count, array_to_string(sources, ',') AS source_event_ids",
+            "subscriptions",
+        ),
         "stg_payments": _columns(f"* REPLACE ({_text('paid_at')} AS paid_at)", "payments"),
         "stg_payouts": _columns(f"* REPLACE ({_text('payout_at')} AS payout_at)", "payouts"),
         "quarantine_missing_brand": _statement(

@@ -230,3 +230,19 @@ def test_payout_discrepancy(spark):
     assert set(got) == {1, 2}
     assert (got[1].has_payout_discrepancy, got[1].discrepancy_cents, got[1].creator_id) == (True, -7, 7)
     assert (got[2].has_payout_discrepancy, got[2].creator_id) == (False, None)
+
+
+def test_payouts_of_test_payments_count_in_the_discrepancy_rate(spark):
+    from ledgerloom.params import Band
+
+    raw = rows.raw_payments(
+        spark,
+        [(i, None if i == 1 else 1, "BRD-000001", "CRT-00000001", 100, 10, 3, 0, "succeeded", "2023-01-01") for i in range(4)],
+    )
+    outs = rows.raw_payouts(
+        spark, [(i, i, "CRT-00000001", 87, 87 - (i == 1), "paid", "2023-01-05") for i in range(4)]
+    )
+    creators = rows.creators(spark, 1)
+    kept = payments.stage_payments(raw, rows.brands(spark, 1), creators)
+    seen = checks.payout_discrepancy_rate(payments.stage_payouts(outs, kept, creators), Band(0.03, 0.07)).first()
+    assert (seen.mismatch_rows, seen.total_rows, seen.rate, seen.status) == (1, 4, 0.25, "fail")
