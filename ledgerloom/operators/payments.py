@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,27 +17,39 @@ def with_entity_keys(payments: DataFrame, brands: DataFrame, creators: DataFrame
     )
 
 
+def _is_test() -> Column:
+    return F.col("campaign_id").isNull()
+
+
+def _resolves() -> Column:
+    return F.col("brand_id").isNotNull() & F.col("creator_id").isNotNull()
+
+
+def unresolved(keyed: DataFrame) -> DataFrame:
+    """Payments :func:`stage_keyed_payments` leaves out."""
+    return keyed.where(~_is_test() & ~_resolves())
+
+
+def stage_keyed_payments(keyed: DataFrame) -> DataFrame:
+    """Normalised payments out of :func:`with_entity_keys`; tests are kept and flagged."""
+    return keyed.where(_is_test() | _resolves()).select(
+        "payment_id",
+        "campaign_id",
+        "brand_id",
+        "creator_id",
+        "amount_gross_cents",
+        "platform_fee_cents",
+        "stripe_fee_cents",
+        "amount_refunded_cents",
+        F.lower(F.trim("status")).alias("status"),
+        "paid_at",
+        _is_test().alias("is_test_transaction"),
+    )
+
+
 def stage_payments(payments: DataFrame, brands: DataFrame, creators: DataFrame) -> DataFrame:
     """Normalised payments: test payments are kept and flagged, others must resolve."""
-    is_test = F.col("campaign_id").isNull()
-    resolved = F.col("brand_id").isNotNull() & F.col("creator_id").isNotNull()
-    return (
-        with_entity_keys(payments, brands, creators)
-        .where(is_test | resolved)
-        .select(
-            "payment_id",
-            "campaign_id",
-            "brand_id",
-            "creator_id",
-            "amount_gross_cents",
-            "platform_fee_cents",
-            "stripe_fee_cents",
-            "amount_refunded_cents",
-            F.lower(F.trim("status")).alias("status"),
-            "paid_at",
-            is_test.alias("is_test_transaction"),
-        )
-    )
+    return stage_keyed_payments(with_entity_keys(payments, brands, creators))
 
 
 def stage_payouts(payouts: DataFrame, staged_payments: DataFrame, creators: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import spaced_text
-from ledgerloom.operators.payments import with_entity_keys
+from ledgerloom.operators.payments import unresolved, with_entity_keys
 from ledgerloom.params import REASON_MISSING_BRAND, REASON_UNRESOLVED
 
 _EVENT_PAYLOAD = (
@@ -66,11 +66,14 @@ def quarantine_ghost_brand(events: DataFrame, brands: DataFrame) -> DataFrame:
     return _quarantined(ghosts, "raw_subscription_events", "event_id", F.lit(REASON_UNRESOLVED), _EVENT_PAYLOAD)
 
 
+def quarantine_keyed_payments(keyed: DataFrame) -> DataFrame:
+    """Like :func:`quarantine_payments`, for payments that went through ``with_entity_keys`` already."""
+    return _quarantined(unresolved(keyed), "raw_payments", "payment_id", F.lit(REASON_UNRESOLVED), _PAYMENT_PAYLOAD)
+
+
 def quarantine_payments(payments: DataFrame, brands: DataFrame, creators: DataFrame) -> DataFrame:
     """Non-test payments whose brand or creator is missing or unknown."""
-    live = payments.where(F.col("campaign_id").isNotNull())
-    lost = with_entity_keys(live, brands, creators).where(F.col("brand_id").isNull() | F.col("creator_id").isNull())
-    return _quarantined(lost, "raw_payments", "payment_id", F.lit(REASON_UNRESOLVED), _PAYMENT_PAYLOAD)
+    return quarantine_keyed_payments(with_entity_keys(payments, brands, creators))
 
 
 def unmatched_events(events: DataFrame, brands: DataFrame) -> DataFrame:
@@ -81,12 +84,13 @@ def unmatched_events(events: DataFrame, brands: DataFrame) -> DataFrame:
     return _quarantined(bad, "raw_subscription_events", "event_id", reason, _EVENT_PAYLOAD)
 
 
-def unmatched_rows(
-    events: DataFrame, payments: DataFrame, brands: DataFrame, creators: DataFrame, as_of: dt.datetime | None = None
-) -> DataFrame:
-    """All quarantined rows; with ``as_of`` they also carry the time of quarantine."""
-    rows = unmatched_events(events, brands).unionByName(quarantine_payments(payments, brands, creators))
-    return rows if as_of is None else rows.withColumn("quarantined_at", F.lit(as_of))
+def unmatched_rows(events: DataFrame, keyed_payments: DataFrame, brands: DataFrame) -> DataFrame:
+    """All quarantined rows; payments come with the keys they resolved to."""
+    return unmatched_events(events, brands).unionByName(quarantine_keyed_payments(keyed_payments))
+
+
+def with_quarantine_time(unmatched: DataFrame, as_of: dt.datetime) -> DataFrame:
+    return unmatched.withColumn("quarantined_at", F.lit(as_of))
 
 
 def stage_row_counts(staged: Mapping[str, DataFrame]) -> DataFrame:

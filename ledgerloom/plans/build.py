@@ -75,14 +75,14 @@ def stage(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> None:
     guards.require(guards.missing_brands(spans), "subscriptions without a brand")
     guards.require(guards.missing_start_dates(spans), "subscriptions without a start date")
 
-    staged = run.keep("stg_payments", payments.stage_payments(raw.payments, raw.brands, raw.creators))
+    # Staging and quarantine both need the keys, so the two joins run once.
+    keyed = run.keep("keyed_payments", payments.with_entity_keys(raw.payments, raw.brands, raw.creators))
+    staged = run.keep("stg_payments", payments.stage_keyed_payments(keyed))
     guards.require(guards.mixed_case_statuses(staged), "payment statuses that are not lower case")
 
     run.keep("stg_payouts", payments.stage_payouts(raw.payouts, staged, raw.creators))
-    run.keep(
-        "stg_unmatched_events",
-        quarantine.unmatched_rows(raw.events, raw.payments, raw.brands, raw.creators, params.as_of),
-    )
+    unmatched = quarantine.unmatched_rows(raw.events, keyed, raw.brands)
+    run.keep("stg_unmatched_events", quarantine.with_quarantine_time(unmatched, params.as_of))
     entries = run.keep("stg_ledger_entries", ledger.ledger_entries(staged, raw.payouts))
     guards.require_rows(entries, "the ledger is empty: no live payment was staged")
 

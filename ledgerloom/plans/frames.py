@@ -62,9 +62,8 @@ class Frames:
     @cached_property
     def unmatched(self) -> DataFrame:
         raw = self.raw
-        return quarantine.unmatched_rows(
-            raw.raw_subscription_events, raw.raw_payments, raw.dim_brand, raw.dim_creator
-        )
+        keyed = payments.with_entity_keys(raw.raw_payments, raw.dim_brand, raw.dim_creator)
+        return quarantine.unmatched_rows(raw.raw_subscription_events, keyed, raw.dim_brand)
 
     @cached_property
     def ledger(self) -> DataFrame:

@@ -37,10 +37,10 @@ def test_event_without_brand_is_quarantined(spark):
     raw = rows.events(spark, [event(1, "evt-null-brand-001", brand=None)])
     brands = rows.brands(spark, 1)
     assert subs.stage_subscriptions(subs.resolved_events(raw, brands, AS_OF)).isEmpty()
-    (row,) = quarantine.unmatched_rows(
-        raw, rows.raw_payments(spark, [(1, None, None, None, 1, 0, 0, 0, "failed", "2023-01-01")]), brands,
-        rows.creators(spark, 1), AS_OF,
-    ).collect()
+    unmatched = quarantine.with_quarantine_time(quarantine.unmatched_events(raw, brands), AS_OF)
+    assert rows.plain(unmatched.drop("quarantined_at")) == rows.plain(quarantine.quarantine_missing_brand(raw))
+    (row,) = unmatched.collect()
+    assert row.quarantined_at == AS_OF
     assert (row.reason, row.source_table, row.source_row_id) == (
         "missing_brand_external_id", "raw_subscription_events", 1,
     )
