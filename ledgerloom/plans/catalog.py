@@ -54,6 +54,7 @@ def load_raw_payments(f: Frames) -> DataFrame:
 def load_row_counts(f: Frames) -> DataFrame:
     raw = f.raw
     orders = raw.orders
+    copied = orders.where("o_orderkey % 50 = 7")
     return loading.load_row_counts(
         {
             "dim_brand": raw.customers,
@@ -61,6 +62,7 @@ def load_row_counts(f: Frames) -> DataFrame:
             "raw_campaigns": orders,
             "raw_payments": orders,
             "raw_payouts": raw.payout_requests,
+            "raw_subscription_events": orders.unionByName(copied),
         },
         {
             "dim_brand": raw.dim_brand,
@@ -68,6 +70,7 @@ def load_row_counts(f: Frames) -> DataFrame:
             "raw_campaigns": f.campaigns,
             "raw_payments": raw.raw_payments,
             "raw_payouts": loading.attach_payment_keys(raw.payout_requests, raw.payment_requests),
+            "raw_subscription_events": raw.raw_subscription_events,
         },
     )
 

@@ -463,14 +463,16 @@ def statements() -> dict[str, str]:
     return {
         "load_raw": _columns(f"* REPLACE ({_text('paid_at')} AS paid_at)", "raw_payments"),
         "load_row_counts": _statement(
-            ("dim_brand", "dim_creator", "raw_campaigns", "raw_payments", "payout_requests"),
+            ("dim_brand", "dim_creator", "raw_campaigns", "raw_payments", "payout_requests", "raw_events"),
             """SELECT *, expected_rows = loaded_rows AS is_complete FROM (
             SELECT 'dim_brand' AS table_name, (SELECT count(*) FROM customer) AS expected_rows,
                 (SELECT count(*) FROM dim_brand) AS loaded_rows
             UNION ALL SELECT 'dim_creator', (SELECT count(*) FROM supplier), (SELECT count(*) FROM dim_creator)
             UNION ALL SELECT 'raw_campaigns', (SELECT count(*) FROM orders), (SELECT count(*) FROM raw_campaigns)
             UNION ALL SELECT 'raw_payments', (SELECT count(*) FROM orders), (SELECT count(*) FROM raw_payments)
-            UNION ALL SELECT 'raw_payouts', (SELECT count(*) FROM orders), (SELECT count(payment_id) FROM payout_requests))
+            UNION ALL SELECT 'raw_payouts', (SELECT count(*) FROM orders), (SELECT count(payment_id) FROM payout_requests)
+            UNION ALL SELECT 'raw_subscription_events',
+                (SELECT count(*) + count(*) FILTER (o_orderkey % 50 = 7) FROM orders), (SELECT count(*) FROM raw_events))
             """,
         ),
         "assign_surrogate_keys": _statement(

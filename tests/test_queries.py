@@ -53,6 +53,18 @@ def test_scans_read_only_what_they_need(spark, folder):
     assert "lineitem" not in plan(spark, folder, "stg_subscriptions")
 
 
+def test_month_series_is_spread_out_after_the_last_shuffle(spark, folder):
+    text = plan(spark, folder, "mrr_waterfall")
+    assert "Exchange" not in text.split("Generate posexplode", 1)[0]
+
+
+def test_month_bounds_reuse_the_stages_of_the_waterfall(spark, folder):
+    df = catalog.queries()["mrr_waterfall"](spark, folder)
+    df.collect()
+    # Adaptive execution finds the equal stages while it runs.
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_joins_work_without_broadcasts(spark, folder):
     """The same rows come out when no dimension fits into a broadcast."""
     names = ["stg_payments", "stg_payouts", "stg_unmatched_events", "stg_subscriptions", "check_no_test_in_mart"]
