@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import language, quality, simhash
+from ledgerloom.llm import language, licenses, mixing, multiset, packing, pivots, quality, simhash, tokens, urls, vocabularies
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,14 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(_table(spark, folder, "documents"))
+
+
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.token_counts(_table(spark, folder, "documents"), vocabularies.path("piece_bpe_32k.model"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
@@ -23,12 +31,43 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(_table(spark, folder, "documents"))
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), *vocabularies.byte_bpe())
+
+
+def op6_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return multiset.edited_fingerprints(_table(spark, folder, "documents"))
+
+
+def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(_table(spark, folder, "pages"))
+
+
+def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(_table(spark, folder, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
 def queries() -> dict[str, Query]:
-    found = (op3_simhash_near_dedup, op4_language_id, op10_quality_classifier)
+    found = (
+        op1_license_scan,
+        op2_token_counts,
+        op3_simhash_near_dedup,
+        op4_language_id,
+        op5_packing,
+        op6_document_fingerprints,
+        op7_embedding_near_dedup,
+        op8_url_filter,
+        op9_source_mixing,
+        op10_quality_classifier,
+    )
     return {f.__name__: f for f in found}
 
 
