@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import language, quality, simhash
+from ledgerloom.llm import language, mixing, packing, quality, simhash, vocabularies
 from ledgerloom.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,10 +27,22 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.one_of_each(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in training order, repeated or left out as the weights of their sources ask."""
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 tokens."""
+    return packing.pack(docs, *vocabularies.byte_bpe())
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", language_id),
     ("quality_classifier", quality_classifier),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("mix_sources", mix_sources),
+    ("pack_sequences", pack_sequences),
 ]
 
 # The stages learn models and hash texts, which SQL cannot express.

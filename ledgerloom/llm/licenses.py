@@ -182,8 +182,9 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     long_widths = sorted({width for width, window in classes if _bands(window) > 1})
     rows = rows.withColumns({f"p{w}": _permuted(F.col(f"h{w}")) for w in long_widths})
     hits = [_places(width, window, group) for (width, window), group in sorted(classes.items())]
-    candidates = rows.select("doc_id", "row_no", F.concat(*hits).alias("hits")).filter(F.size("hits") > 0)
-    candidates = candidates.select("doc_id", "row_no", F.explode("hits").alias("hit")).select("doc_id", "row_no", "hit.*")
+    # Outer: for an inner explode Spark would make the array once more to leave out empty ones first.
+    candidates = rows.select("doc_id", "row_no", F.explode_outer(F.concat(*hits)).alias("hit")).filter(F.col("hit").isNotNull())
+    candidates = candidates.select("doc_id", "row_no", "hit.*")
     known = spark.createDataFrame(
         [(t["license"], t["width"], t["window"], t["words"], t["bands"]) for t in table],
         "license string, of_width int, of_window int, template array<string>, bands array<bigint>",
@@ -191,7 +192,7 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     runs = lambda words, width: F.transform(
         F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - width + 1)), lambda at: F.array_join(F.slice(words, at, width), " ")
     )
-    met = candidates.join(known, (F.col("width") == F.col("of_width")) & (F.col("window") == F.col("of_window"))).filter(
+    met = candidates.join(F.broadcast(known), (F.col("width") == F.col("of_width")) & (F.col("window") == F.col("of_window"))).filter(
         F.exists(F.zip_with("sketch", "bands", lambda a, b: a == b), lambda same: same)
     )
     met = met.withColumns({"own": F.array_distinct(runs(F.col("template"), F.col("width"))), "seen": runs(F.col("part"), F.col("width"))})

@@ -78,7 +78,8 @@ def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
         "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.xxhash64(text).alias("digest"), found.alias("found")
     )
     path = scratch_path(spark, "pre_tokens")
-    words = rows.select(F.explode("found").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("uses"))
+    # Outer: an inner explode would match the pattern twice, once to leave out rows without a match.
+    words = rows.select(F.explode_outer("found").alias("w")).filter(F.col("w").isNotNull()).groupBy("w").agg(F.count(F.lit(1)).alias("uses"))
     with_pieces(words, model).write.parquet(path)
     counted = spark.read.parquet(path)
     # The smallest power of two that at most FREQUENT pre-tokens reach in uses.
