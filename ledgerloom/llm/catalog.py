@@ -71,5 +71,40 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in found}
 
 
+MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS place,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), w AS (
+  SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM s
+), l AS (
+  SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER fuller, 0))::DOUBLE
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER fuller, 0))::DOUBLE AS level
+  FROM w WINDOW fuller AS (ORDER BY 3 * source_size / weight, source NULLS LAST
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), t AS (
+  SELECT source, source_size, weight, least(weight * max(level) OVER (), (3 * source_size)::DOUBLE) AS target FROM l
+), p AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, d.source, t.weight,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY place, d.doc_id, d.size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before,
+         CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3)::BIGINT ELSE 0 END AS whole
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), q AS (
+  SELECT *, CASE WHEN whole < 3 THEN greatest(0, least(size, round(target - whole * source_size)::BIGINT - before)) ELSE 0 END AS part,
+         least(1.0::DOUBLE, before / target) AS share, CASE weight WHEN 1 THEN -0.5 WHEN 2 THEN 0.0 ELSE 0.5 END::DOUBLE AS tilt
+  FROM p
+)
+SELECT doc_id, size, source_size, target, (whole * size + part)::BIGINT AS taken, source,
+       CASE WHEN target > 0 AND (whole > 0 OR part > 0)
+            THEN 2 * share / ((1 - tilt) + sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * share)) END AS position
+FROM q
+"""
+
+
 def statements() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of the queries it can express: the others hash, learn or encode."""
+    return {"op9_source_mixing": MIXING}

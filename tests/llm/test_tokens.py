@@ -1,0 +1,38 @@
+import collections
+
+import sentencepiece
+
+from helpers import documents
+from ledgerloom.llm import tokens, vocabularies
+
+MODEL = vocabularies.path("piece_bpe_32k.model")
+TEXTS = [
+    None, "", " ", "  ", "\n", "\n\n a", "a", " a", "a ", "a  b", "a \n b\n", "\tb", "<s>hi</s><unk>", "▁a▁▁b", "é ① 日本 🙂", "x" * 5000, "\x00",
+    "a\r\nb", "the " * 5000, "don't", "   indented\n      more   ", "\u3000wide", "\u00a0", "word" + " " * 40 + "word", "\n\nheader",
+]
+
+
+def wanted(texts):
+    processor = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    return [len(processor.encode(t or "")) for t in texts]
+
+
+def test_tricky_texts_equal_the_library(spark):
+    rows = list(enumerate(TEXTS)) + [(3, TEXTS[3]), (500, TEXTS[18]), (500, TEXTS[18]), (None, "no id")]
+    found = collections.Counter(tuple(r) for r in tokens.token_counts(documents(spark, rows, "w pieces digest n_tokens copies found"), MODEL).collect())
+    sizes = wanted([t for _, t in rows])
+    assert found == collections.Counter((i, len((t or "").encode()), n, n > 4096) for (i, t), n in zip(rows, sizes))
+
+
+def test_with_and_without_frequent_words(spark, folder, monkeypatch):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    truth = dict(zip(texts, wanted(texts.values())))
+    for most in (0, 500, 1 << 18):
+        monkeypatch.setattr(tokens, "FREQUENT", most)
+        found = {r["doc_id"]: r["n_tokens"] for r in tokens.token_counts(docs, MODEL).collect()}
+        assert found == truth
+
+
+def test_empty_table(spark):
+    assert tokens.token_counts(documents(spark, []), MODEL).count() == 0
