@@ -92,6 +92,7 @@ NOT_NULL: dict[str, tuple[str, ...]] = {
         "start_date",
         "mrr_cents",
     ),
+    "stg_subscription_source_arrays": ("subscription_id", "part_no", "event_ids"),
     "stg_unmatched_events": ("source_table", "source_row_id", "reason", "raw_payload"),
     "stg_ledger_entries": ("payment_id", "entry_type", "amount_cents", "entry_date"),
     "mart_daily_financials": (
@@ -150,6 +151,7 @@ UNIQUE: dict[str, tuple[tuple[str, ...], ...]] = {
     "raw_payments": (("payment_id",),),
     "raw_payouts": (("payout_id",),),
     "stg_subscriptions": (("subscription_id",),),
+    "stg_subscription_source_arrays": (("subscription_id", "part_no"),),
     "mart_daily_financials": (("entry_date",),),
     "mart_monthly_subscriptions": (("brand_id", "month_start_date"),),
 }

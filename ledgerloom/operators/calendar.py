@@ -44,6 +44,12 @@ def dim_date_around(facts: DataFrame, at: str, months_before: int, months_after:
     return _describe(_spread(bounds.where(F.col("lo").isNotNull()), first, last))
 
 
+def calendar_of(spans: DataFrame, months_before: int, months_after: int) -> DataFrame:
+    """A calendar that holds every start and end of the spans."""
+    days = spans.select(F.explode(F.array("start_date", "end_date")).alias("day"))
+    return dim_date_around(days, "day", months_before, months_after)
+
+
 def missing_days(days: DataFrame, existing: DataFrame) -> DataFrame:
     """Days not yet in the calendar, for a load that may be repeated."""
     return days.join(existing.select("date_day"), "date_day", "left_anti")

@@ -117,33 +117,38 @@ def take_rate_range(daily: DataFrame, band: Band) -> DataFrame:
     )
 
 
-# --- Fixed values: check names and the descriptions shown with them. ----------
-DESCRIPTIONS = {
-    "V1": "GMV completeness: resolvable raw_payments sum == mart_daily_financials sum",
-    "V2": "Ledger balance: margin entries sum == mart gross_margin_cents sum",
-    "V3": "MRR invariant: mrr_end[t] == mrr_start[t+1] for all consecutive months",
-    "V4": "Payout discrepancy rate between 3% and 7%",
-    "V5": "stg_unmatched_events is non-empty (quarantine pipeline ran)",
-    "V6": "No test transactions in mart GMV",
-    "V7": "take_rate_gross in [0.05, 0.20] for all rows",
-}
-# ------------------------------------------------------------------------------
+def descriptions(payout_discrepancy: Band, take_rate: Band) -> dict[str, str]:
+    """Check names and what is shown with them, the limits as they are set."""
+    low, high = (f"{100 * x:g}%" for x in (payout_discrepancy.low, payout_discrepancy.high))
+    # Check names and texts.
+    return {
+        "V1": "GMV completeness: resolvable raw_payments sum == mart_daily_financials sum",
+        "V2": "Ledger balance: margin entries sum == mart gross_margin_cents sum",
+        "V3": "MRR invariant: mrr_end[t] == mrr_start[t+1] for all consecutive months",
+        "V4": f"Payout discrepancy rate between {low} and {high}",
+        "V5": "stg_unmatched_events is non-empty (quarantine pipeline ran)",
+        "V6": "No test transactions in mart GMV",
+        "V7": f"take_rate_gross in [{take_rate.low:.2f}, {take_rate.high:.2f}] for all rows",
+    }
+
 
 RESULT_SCHEMA = "name STRING, status STRING, detail MAP<STRING,STRING>"
 
 
-def as_result(name: str, checked: DataFrame) -> DataFrame:
+def as_result(name: str, checked: DataFrame, description: str) -> DataFrame:
     """A check's row as name, status and a map of its figures; NULL figures are left out."""
     figures = [c for c in checked.columns if c != "status"]
     pairs = F.array(
-        F.struct(F.lit("description").alias("key"), F.lit(DESCRIPTIONS.get(name, name)).alias("value")),
+        F.struct(F.lit("description").alias("key"), F.lit(description).alias("value")),
         *(F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("value")) for c in figures),
     )
     detail = F.map_from_entries(F.filter(pairs, lambda pair: pair["value"].isNotNull()))
     return checked.select(F.lit(name).alias("name"), "status", detail.alias("detail"))
 
 
-def run_checks(spark: SparkSession, checks: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
+def run_checks(
+    spark: SparkSession, checks: Mapping[str, Callable[[], DataFrame]], texts: Mapping[str, str] | None = None
+) -> DataFrame:
     """Run every check, whatever the others do; an exception is a failed check.
 
     Only the one row of each check reaches the driver.
@@ -151,7 +156,7 @@ def run_checks(spark: SparkSession, checks: Mapping[str, Callable[[], DataFrame]
     rows = []
     for name, check in checks.items():
         try:
-            rows.append(tuple(as_result(name, check()).first()))
+            rows.append(tuple(as_result(name, check(), (texts or {}).get(name, name)).first()))
         except Exception as error:  # noqa: BLE001 - any failure is a result here
             rows.append((name, "fail", {"error": str(error)}))
     return spark.createDataFrame(rows, RESULT_SCHEMA)

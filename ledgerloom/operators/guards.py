@@ -13,6 +13,10 @@ class InvariantError(RuntimeError):
     """A table breaks a rule that everything after it relies on."""
 
 
+class CheckError(InvariantError):
+    """A reconciliation check of a build failed, or was not run."""
+
+
 class ContinuityError(InvariantError):
     """A month does not open on the revenue the month before closed with."""
 
@@ -30,6 +34,18 @@ def missing_start_dates(subscriptions: DataFrame) -> DataFrame:
     return subscriptions.agg(F.count_if(F.col("start_date").isNull()).alias("violations"))
 
 
+def spans_outside(subscriptions: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Spans that start or end on a day the calendar does not reach: their months would be cut off."""
+    days = calendar.agg(F.struct(F.min("date_day").alias("lo"), F.max("date_day").alias("hi")).alias("days"))
+    seen = subscriptions.agg(
+        F.min("start_date").alias("first_day"),
+        F.greatest(F.max("start_date"), F.max("end_date")).alias("last_day"),
+    ).select("*", days.scalar().alias("_days"))
+    outside = (F.col("first_day") < F.col("_days.lo")) | (F.col("last_day") > F.col("_days.hi"))
+    unknown = F.col("first_day").isNotNull() & F.col("_days.lo").isNull()
+    return seen.select("first_day", "last_day", (F.coalesce(outside, F.lit(False)) | unknown).cast("int").alias("violations"))
+
+
 def take_rate_extremes(daily: DataFrame, band: Band) -> DataFrame:
     """Smallest and largest gross take rate and whether both lie in the band.
 

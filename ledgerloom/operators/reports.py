@@ -62,7 +62,7 @@ def net_revenue_retention(waterfall: DataFrame) -> DataFrame:
     return months.select("month", "active_brands", percent.cast("double").alias("nrr_pct"))
 
 
-def cohort_retention(waterfall: DataFrame) -> DataFrame:
+def cohort_retention(waterfall: DataFrame, max_age: int = MAX_COHORT_AGE) -> DataFrame:
     """Share of each cohort's brands with revenue, by months since its first.
 
     A cohort is the first month with revenue. Months before it have negative
@@ -80,7 +80,7 @@ def cohort_retention(waterfall: DataFrame) -> DataFrame:
     # A brand has one row per month, so rows count brands.
     sizes = (
         placed.withColumn("month_index", age)
-        .where(F.col("month_index") <= MAX_COHORT_AGE)
+        .where(F.col("month_index") <= max_age)
         .groupBy("cohort_month", "month_index")
         .agg(F.count_if(active).alias("retained"), F.count(F.lit(1)).alias("cohort_size"))
     )
@@ -90,9 +90,9 @@ def cohort_retention(waterfall: DataFrame) -> DataFrame:
     )
 
 
-def cohort_matrix(retention: DataFrame) -> DataFrame:
-    """Retention with one row per cohort and one column per age 0 to 11."""
-    ages = list(range(MAX_COHORT_AGE + 1))
+def cohort_matrix(retention: DataFrame, max_age: int = MAX_COHORT_AGE) -> DataFrame:
+    """Retention with one row per cohort and one column per age from 0 to ``max_age``."""
+    ages = list(range(max_age + 1))
     wide = (
         retention.withColumn("cohort", F.date_format("cohort_month", "yyyy-MM"))
         .groupBy("cohort")

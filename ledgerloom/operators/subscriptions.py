@@ -11,6 +11,9 @@ from ledgerloom.functions.keys import event_fingerprint, subscription_id, with_g
 from ledgerloom.functions.dates import iso_text
 from ledgerloom.params import EVENT_CANCELLED, EVENT_CREATED, PERIOD_ANNUAL
 
+# Event ids in one stored array at most.
+PART_EVENTS = 10_000
+
 
 def raw_event_ids(events: DataFrame) -> DataFrame:
     """Number every brand's events in id order and derive their deterministic ids."""
@@ -168,18 +171,20 @@ def subscription_sources(resolved: DataFrame) -> DataFrame:
     )
 
 
-def with_source_arrays(subscriptions: DataFrame, sources: DataFrame, limit: int = 100_000) -> DataFrame:
-    """Add the source event ids of every subscription as a sorted array, and their number.
+def source_array_parts(sources: DataFrame, part_size: int = PART_EVENTS) -> DataFrame:
+    """The source events of every subscription as sorted arrays: (subscription_id, part_no, event_ids).
 
-    A span may gather any number of events, and an array is one value in one
-    row. So spans with more than ``limit`` events get no array; all their ids
-    are in ``sources``, the long form.
+    An array is one value in one row, and a span may gather any number of
+    events. So the ids of a span are numbered in order and cut into parts of at
+    most ``part_size``: every span has all its ids, and no value is larger than
+    a part. ``sources`` is the long form, with unique event ids.
     """
+    numbered = with_group_sequence(sources.where(F.col("subscription_id").isNotNull()), "subscription_id", "event_id", "_seq")
+    part = F.expr(f"(_seq - 1) div {part_size}").alias("part_no")
+    return numbered.groupBy("subscription_id", part).agg(F.sort_array(F.collect_list("event_id")).alias("event_ids"))
+
+
+def with_source_counts(subscriptions: DataFrame, sources: DataFrame) -> DataFrame:
+    """Add the number of source events of every subscription."""
     counts = sources.groupBy("subscription_id").agg(F.count(F.lit(1)).alias("source_event_count"))
-    few = counts.where(F.col("source_event_count") <= limit).select("subscription_id")
-    arrays = (
-        sources.join(few, "subscription_id", "left_semi")
-        .groupBy("subscription_id")
-        .agg(F.sort_array(F.collect_list("event_id")).alias("_source_event_ids"))
-    )
-    return subscriptions.join(counts, "subscription_id", "left").join(arrays, "subscription_id", "left")
+    return subscriptions.join(counts, "subscription_id", "left")

@@ -56,9 +56,13 @@ class Params:
     fees: Fees = field(default_factory=Fees)
     take_rate: Band = Band(0.05, 0.20)
     payout_discrepancy: Band = Band(0.03, 0.07)
-    calendar_start: dt.date = dt.date(1994, 7, 1)
-    calendar_end: dt.date = dt.date(2002, 12, 31)
-    # Stands in for the clock: the time given to coerced events that have none.
+    # Both or none: without them the calendar follows from the facts.
+    calendar_start: dt.date | None = None
+    calendar_end: dt.date | None = None
+    # Months of the calendar before the first and after the last fact.
+    months_before: int = 6
+    months_after: int = 16
+    # Stands in for the clock of the queries: the time given to coerced events that have none. A build asks for its own.
     as_of: dt.datetime = dt.datetime(2002, 12, 31)
 
 

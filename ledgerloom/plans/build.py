@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.operators import checks, financials, guards, ledger, mrr, payments, quarantine, subscriptions
-from ledgerloom.operators.calendar import dim_date
+from ledgerloom.operators.calendar import calendar_of, dim_date
 from ledgerloom.params import DEFAULTS, Params
+from ledgerloom.session import prepare
 from ledgerloom.sources.files import load_raw
 from ledgerloom.sources.schemas import RAW_TABLES
 from ledgerloom.sources.tables import RunFolder
@@ -17,6 +20,7 @@ from ledgerloom.sources.tables import RunFolder
 PUBLIC_TABLES = [
     "stg_subscriptions",
     "stg_subscription_sources",
+    "stg_subscription_source_arrays",
     "stg_payments",
     "stg_payouts",
     "stg_unmatched_events",
@@ -33,11 +37,13 @@ class RawTables:
     payouts: DataFrame
     brands: DataFrame
     creators: DataFrame
-    calendar: DataFrame
+    # None: the calendar follows from the spans.
+    calendar: DataFrame | None = None
 
 
 def read_raw(spark: SparkSession, folder: str, params: Params = DEFAULTS) -> RawTables:
     """The raw tables of a folder with one subfolder of CSV files for each."""
+    prepare(spark)
 
     def table(name: str) -> DataFrame:
         return load_raw(spark, f"{folder.rstrip('/')}/{name}", RAW_TABLES[name])
@@ -48,7 +54,7 @@ def read_raw(spark: SparkSession, folder: str, params: Params = DEFAULTS) -> Raw
         table("raw_payouts"),
         table("dim_brand"),
         table("dim_creator"),
-        dim_date(spark, params.calendar_start, params.calendar_end),
+        dim_date(spark, params.calendar_start, params.calendar_end) if params.calendar_start and params.calendar_end else None,
     )
 
 
@@ -58,7 +64,9 @@ def load(run: RunFolder, raw: RawTables, expected: Mapping[str, int] | None = No
     ``expected`` may give the rows a table must have received; the stored files
     know their row counts, so comparing costs no scan.
     """
-    stored = RawTables(**{f.name: run.keep(f"raw_{f.name}", getattr(raw, f.name)) for f in fields(raw)})
+    prepare(run.spark)
+    given = {f.name: getattr(raw, f.name) for f in fields(raw) if getattr(raw, f.name) is not None}
+    stored = RawTables(**{name: run.keep(f"raw_{name}", df) for name, df in given.items()})
     for name, rows in (expected or {}).items():
         loaded = getattr(stored, name).count()
         if loaded != rows:
@@ -68,10 +76,12 @@ def load(run: RunFolder, raw: RawTables, expected: Mapping[str, int] | None = No
 
 def stage(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> None:
     """Write the staging tables and the ledger; stop on a broken invariant."""
+    prepare(run.spark)
     resolved = run.keep("resolved_events", subscriptions.resolved_events(raw.events, raw.brands, params.as_of))
     sources = run.keep("stg_subscription_sources", subscriptions.subscription_sources(resolved))
     spans = subscriptions.stage_subscriptions(resolved)
-    spans = run.keep("stg_subscriptions", subscriptions.with_source_arrays(spans, sources))
+    spans = run.keep("stg_subscriptions", subscriptions.with_source_counts(spans, sources))
+    run.keep("stg_subscription_source_arrays", subscriptions.source_array_parts(sources))
     guards.require(guards.missing_brands(spans), "subscriptions without a brand")
     guards.require(guards.missing_start_dates(spans), "subscriptions without a start date")
 
@@ -93,9 +103,12 @@ def build_marts(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> No
     guards.require_rows(daily, "the daily mart is empty")
     guards.require(guards.take_rate_extremes(daily, params.take_rate), "gross take rate outside its band")
 
-    waterfall = run.keep(
-        "mart_monthly_subscriptions", mrr.mrr_waterfall(run.tables["stg_subscriptions"], raw.calendar)
-    )
+    spans = run.tables["stg_subscriptions"]
+    calendar = raw.calendar
+    if calendar is None:
+        calendar = calendar_of(spans, params.months_before, params.months_after)
+    guards.require(guards.spans_outside(spans, calendar), "subscriptions outside the calendar")
+    waterfall = run.keep("mart_monthly_subscriptions", mrr.mrr_waterfall(spans, calendar))
     guards.require_rows(waterfall, "the monthly mart is empty")
     guards.require(guards.broken_months(waterfall), "months that do not continue each other", guards.ContinuityError)
 
@@ -115,17 +128,38 @@ def check_plans(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> di
 
 
 def build(
-    spark: SparkSession, raw: RawTables, root: str, params: Params = DEFAULTS
+    spark: SparkSession, raw: RawTables, root: str, as_of: dt.datetime, params: Params = DEFAULTS
 ) -> RunFolder:
-    """Stage and build all tables under ``root``; publish them with ``RunFolder.publish``."""
+    """Stage and build all tables under ``root``; ``as_of`` is the time of the run.
+
+    Check them with :func:`validate`, then show them with ``RunFolder.publish``.
+    """
+    prepare(spark)
+    params = replace(params, as_of=as_of)
     run = RunFolder(spark, root)
     stage(run, raw, params)
     build_marts(run, raw, params)
     return run
 
 
-def validate(spark: SparkSession, run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> DataFrame:
-    """Run all checks over a build and file the report next to it."""
-    results = checks.run_checks(spark, check_plans(run, raw, params))
-    checks.write_report(results, run.location("reports"), params.as_of)
-    return checks.latest_report(spark, run.location("reports"))
+def reports_of(run: RunFolder) -> str:
+    """The folder with the reports of all runs under one root."""
+    return f"{run.root}/reports"
+
+
+def validate(
+    spark: SparkSession, run: RunFolder, raw: RawTables, generated_at: dt.datetime, params: Params = DEFAULTS
+) -> DataFrame:
+    """Run all checks over a build and file the report with those of earlier runs.
+
+    The report is filed either way; a failed check raises and leaves the run unpublishable.
+    """
+    prepare(spark)
+    texts = checks.descriptions(params.payout_discrepancy, params.take_rate)
+    results = checks.run_checks(spark, check_plans(run, raw, params), texts)
+    checks.write_report(results, reports_of(run), generated_at)
+    failed = [r["name"] for r in results.where(F.col("status") != "pass").orderBy("name").collect()]
+    if failed:
+        raise guards.CheckError(f"checks failed: {', '.join(failed)}")
+    run.checked = True
+    return checks.latest_report(spark, reports_of(run))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from ledgerloom.functions.keys import with_dense_key
 from ledgerloom.operators import audits, calendar, checks, guards, loading, mrr, quarantine, reports
 from ledgerloom.operators import subscriptions as subs
 from ledgerloom.plans import build as full_build
-from ledgerloom.plans.frames import Frames
+from ledgerloom.plans.frames import Frames, StoredFrames
 from ledgerloom.session import scratch_path
 from ledgerloom.sources.files import load_raw, write_raw
 from ledgerloom.sources.schemas import RAW_PAYMENTS
@@ -138,7 +139,7 @@ def dedup_events(f: Frames) -> DataFrame:
 @_query
 def coerce_event_time(f: Frames) -> DataFrame:
     # Some coerced events lose their time altogether, as a stripped zone can do.
-    at = F.when(F.col("event_id") % 100 != 31, F.col("event_at"))
+    at = F.when(F.expr("event_id div 2 % 100 <> 31"), F.col("event_at"))
     lost = f.raw.raw_subscription_events.withColumn("event_at", at)
     timed = subs.coerce_event_time(lost, f.params.as_of)
     return timed.select("event_id", "_tz_coerced", "event_at", "event_at_utc")
@@ -154,6 +155,11 @@ def created_spans(f: Frames) -> DataFrame:
     return subs.created_spans(f.resolved)
 
 
+@_query
+def created_span_events(f: Frames) -> DataFrame:
+    return subs.span_source_events(f.resolved)
+
+
 @_query
 def cancel_dates(f: Frames) -> DataFrame:
     return subs.cancel_dates(f.resolved)
@@ -171,9 +177,7 @@ def subscription_sources(f: Frames) -> DataFrame:
 
 @_query
 def subscription_source_arrays(f: Frames) -> DataFrame:
-    spans = subs.with_source_arrays(f.subscriptions, subs.subscription_sources(f.resolved))
-    listed = F.array_join("_source_event_ids", ",").alias("source_event_ids")
-    return spans.select("subscription_id", "source_event_count", listed)
+    return f.source_arrays.select("subscription_id", "part_no", F.array_join("event_ids", ",").alias("event_ids"))
 
 
 @_query
@@ -308,10 +312,10 @@ def check_take_rate_range(f: Frames) -> DataFrame:
 @_query
 def validation_report(f: Frames) -> DataFrame:
     run = RunFolder(f.spark, scratch_path(f.spark, "build"))
-    raw = full_build.load(run, f.raw_tables)
+    raw = f.raw_tables
     full_build.stage(run, raw, f.params)
     full_build.build_marts(run, raw, f.params)
-    report = full_build.validate(f.spark, run, raw, f.params)
+    report = full_build.validate(f.spark, run, raw, dt.datetime.now(dt.timezone.utc), f.params)
     return report.select(
         "name",
         "status",
@@ -380,6 +384,7 @@ def _all_tables(f: Frames) -> dict[str, DataFrame]:
         "raw_payments": raw.raw_payments,
         "raw_payouts": raw.raw_payout_amounts,
         "stg_subscriptions": f.subscriptions,
+        "stg_subscription_source_arrays": f.source_arrays,
         "stg_unmatched_events": f.unmatched,
         "stg_ledger_entries": f.ledger,
         "mart_daily_financials": f.daily,
@@ -424,12 +429,24 @@ def fee_audit(f: Frames) -> DataFrame:
 
 
 _NAMES = {"load_raw_payments": "load_raw"}
+# Queries over many tables that share their inputs.
+_WIDE = {
+    "stage_row_counts",
+    "check_gmv_completeness",
+    "check_ledger_balance",
+    "check_no_test_in_mart",
+    "audit_not_null",
+    "audit_domain",
+    "audit_unique",
+    "audit_foreign_keys",
+}
 
 
 def queries() -> dict[str, Query]:
     """Every query by name, each taking a session and a folder."""
 
-    def bound(build: Callable[[Frames], DataFrame]) -> Query:
-        return lambda spark, folder: _flat(build(Frames(spark, folder)))
+    def bound(name: str, build: Callable[[Frames], DataFrame]) -> Query:
+        frames = StoredFrames if name in _WIDE else Frames
+        return lambda spark, folder: _flat(build(frames(spark, folder)))
 
-    return {_NAMES.get(name, name): bound(build) for name, build in _QUERIES.items()}
+    return {_NAMES.get(name, name): bound(name, build) for name, build in _QUERIES.items()}

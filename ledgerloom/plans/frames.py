@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.operators import financials, ledger, loading, mrr, payments, quarantine, subscriptions
 from ledgerloom.params import DEFAULTS, Params
 from ledgerloom.plans.build import RawTables
-from ledgerloom.session import prepare
+from ledgerloom.session import prepare, scratch_path
 from ledgerloom.sources.marketplace import Marketplace
+from ledgerloom.sources.tables import RunFolder
 
 
 class Frames:
@@ -51,6 +52,10 @@ class Frames:
     def subscriptions(self) -> DataFrame:
         return subscriptions.stage_subscriptions(self.resolved)
 
+    @cached_property
+    def source_arrays(self) -> DataFrame:
+        return subscriptions.source_array_parts(subscriptions.subscription_sources(self.resolved))
+
     @cached_property
     def payments(self) -> DataFrame:
         return payments.stage_payments(self.raw.raw_payments, self.raw.dim_brand, self.raw.dim_creator)
@@ -76,3 +81,54 @@ class Frames:
     @cached_property
     def waterfall(self) -> DataFrame:
         return mrr.mrr_waterfall(self.subscriptions, self.raw.dim_date)
+
+
+class StoredFrames(Frames):
+    """The same tables, each derived once, on first use, and read back from its files by all that need it.
+
+    For results over many tables: what they share is then computed once. The
+    files lie in one folder under the shared scratch root, to be removed by its owner.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, params: Params = DEFAULTS):
+        super().__init__(spark, folder, params)
+        self.run = RunFolder(spark, scratch_path(spark, "stored"))
+
+    def _stored(self, name: str) -> DataFrame:
+        return self.run.keep(name, getattr(Frames, name).func(self))
+
+    @cached_property
+    def campaigns(self) -> DataFrame:
+        return self._stored("campaigns")
+
+    @cached_property
+    def resolved(self) -> DataFrame:
+        return self._stored("resolved")
+
+    @cached_property
+    def subscriptions(self) -> DataFrame:
+        return self._stored("subscriptions")
+
+    @cached_property
+    def source_arrays(self) -> DataFrame:
+        return self._stored("source_arrays")
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        return self._stored("payments")
+
+    @cached_property
+    def unmatched(self) -> DataFrame:
+        return self._stored("unmatched")
+
+    @cached_property
+    def ledger(self) -> DataFrame:
+        return self._stored("ledger")
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return self._stored("daily")
+
+    @cached_property
+    def waterfall(self) -> DataFrame:
+        return self._stored("waterfall")

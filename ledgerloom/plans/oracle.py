@@ -7,8 +7,9 @@ gets the WITH list of what it names.
 from __future__ import annotations
 
 from ledgerloom.operators.audits import DOMAINS, FOREIGN_KEYS, LENGTHS, NOT_NULL, UNIQUE
-from ledgerloom.operators.checks import DESCRIPTIONS
-from ledgerloom.params import EXTERNAL_ID_LENGTHS
+from ledgerloom.operators.checks import descriptions
+from ledgerloom.operators.subscriptions import PART_EVENTS
+from ledgerloom.params import DEFAULTS, EXTERNAL_ID_LENGTHS
 
 
 def _ext(prefix: str, number: str, width: int) -> str:
@@ -111,14 +112,14 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "raw_events": (
         (),
-        f"""SELECT o_orderkey + shift AS event_id, 'evt-' || o_orderkey AS raw_event_id,
+        f"""SELECT o_orderkey * 2 + copy AS event_id, 'evt-' || o_orderkey AS raw_event_id,
         CASE WHEN o_orderkey % 33 <> 2 THEN {_BRAND} END AS brand_external_id,
         CASE o_orderstatus WHEN 'O' THEN 'subscription_created' WHEN 'F' THEN 'cancellation' ELSE 'renewal' END
             AS event_type,
         lower(split_part(o_orderpriority, '-', 2)) AS plan_name,
         CASE WHEN o_orderkey % 4 = 0 THEN 'annual' ELSE 'monthly' END AS billing_period,
         CAST({_CENTS} AS INTEGER) AS amount_cents, o_orderdate AS event_at, o_orderkey % 20 = 11 AS _tz_coerced
-        FROM orders JOIN (VALUES (0), (1000000000)) AS copies(shift) ON shift = 0 OR o_orderkey % 50 = 7""",
+        FROM orders JOIN (VALUES (0), (1)) AS copies(copy) ON copy = 0 OR o_orderkey % 50 = 7""",
     ),
     "deduped": (
         ("raw_events",),
@@ -149,6 +150,12 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM spans s LEFT JOIN cancelled USING (brand_id, plan_name)
         QUALIFY row_number() OVER (PARTITION BY subscription_id ORDER BY billing_period, amount_cents) = 1""",
     ),
+    "source_parts": (
+        ("subscriptions",),
+        f"""SELECT subscription_id, (n - 1) // {PART_EVENTS} AS part_no, list(event_id ORDER BY event_id) AS event_ids
+        FROM (SELECT *, row_number() OVER (PARTITION BY subscription_id ORDER BY event_id) AS n
+            FROM (SELECT subscription_id, unnest(sources) AS event_id FROM subscriptions)) GROUP BY ALL""",
+    ),
     "payments": (
         ("raw_payments", "dim_brand", "dim_creator"),
         """SELECT payment_id, campaign_id, brand_id, creator_id, amount_gross_cents, platform_fee_cents,
@@ -340,6 +347,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
 _AUDITED = {
     "raw_subscription_events": "raw_events",
     "stg_subscriptions": "subscriptions",
+    "stg_subscription_source_arrays": "source_parts",
     "stg_unmatched_events": "unmatched",
     "stg_ledger_entries": "ledger",
     "mart_daily_financials": "daily",
@@ -441,9 +449,9 @@ def _report() -> str:
         "v6": ("test_transaction_raw_gmv_cents", "test_transaction_ledger_gmv_cents"),
         "v7": ("min_take_rate_gross", "max_take_rate_gross", "non_null_rows", "expected_min", "expected_max"),
     }
-    parts = []
+    texts, parts = descriptions(DEFAULTS.payout_discrepancy, DEFAULTS.take_rate), []
     for view, names in figures.items():
-        values = {"description": f"'{DESCRIPTIONS[view.upper()]}'", **{n: f"CAST({n} AS VARCHAR)" for n in names}}
+        values = {"description": f"'{texts[view.upper()]}'", **{n: f"CAST({n} AS VARCHAR)" for n in names}}
         pairs = ", ".join(f"'{n}': {values[n]}" for n in sorted(values))
         parts.append(
             f"SELECT '{view.upper()}' AS name, status, CAST(to_json({{{pairs}}}) AS VARCHAR) AS detail FROM {view}"
@@ -515,7 +523,7 @@ def statements() -> dict[str, str]:
             ("raw_events",),
             f"""SELECT event_id, _tz_coerced, {_text("kept_at")} AS event_at,
             {_text("CASE WHEN _tz_coerced THEN coalesce(kept_at, TIMESTAMP '2002-12-31') ELSE kept_at END")} AS event_at_utc
-            FROM (SELECT *, CASE WHEN event_id % 100 <> 31 THEN event_at END AS kept_at FROM raw_events)""",
+            FROM (SELECT *, CASE WHEN event_id // 2 % 100 <> 31 THEN event_at END AS kept_at FROM raw_events)""",
         ),
         "resolve_brands": _columns("event_id, brand_id, event_type, plan_name, event_date", "resolved"),
         "created_spans": _columns(
@@ -523,12 +531,13 @@ def statements() -> dict[str, str]:
             "list_max(sources) AS last_source_event_id",
             "spans",
         ),
+        "created_span_events": _columns("* EXCLUDE (sources), unnest(sources) AS source_event_id", "spans"),
         "cancel_dates": _columns("*", "cancelled"),
         "stg_subscriptions": _columns("* EXCLUDE (sources, amount_cents)", "subscriptions"),
         "subscription_sources": _columns("subscription_id, unnest(sources) AS event_id", "subscriptions"),
         "subscription_source_arrays": _columns(
-            "subscription_id, len(sources) AS source_event_count, array_to_string(sources, ',') AS source_event_ids",
-            "subscriptions",
+            "subscription_id, part_no, array_to_string(event_ids, ',') AS event_ids",
+            "source_parts",
         ),
         "stg_payments": _columns(f"* REPLACE ({_text('paid_at')} AS paid_at)", "payments"),
         "stg_payouts": _columns(f"* REPLACE ({_text('payout_at')} AS payout_at)", "payouts"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,23 +17,34 @@ _CSV = {
     "ignoreTrailingWhiteSpace": "false",
     "escape": '"',
 }
-# Spark would take a quoted empty field for NULL; this mark keeps the two apart.
-_EMPTY = "\u0001"
 
 
-def load_raw(spark: SparkSession, path: str, schema: str, columns: list[str] | None = None) -> DataFrame:
+def load_raw(
+    spark: SparkSession, path: str, schema: str, columns: list[str] | None = None, multi_line: bool = False
+) -> DataFrame:
     """Read headerless CSV files with a fixed column order and fixed types.
 
-    Rows stay on one line each, so large files are split between tasks.
+    Rows stay on one line each, so large files are split between tasks. With
+    ``multi_line`` texts may hold line breaks, and a file is read by one task.
     """
-    df = spark.read.schema(schema).options(**_CSV, emptyValue=_EMPTY, mode="FAILFAST").csv(path)
+    # Spark would take a quoted empty field for NULL; a mark that no file can hold, since it is drawn
+    # anew for every read, keeps the two apart.
+    mark = f"\u0001{uuid.uuid4().hex}"
+    df = spark.read.schema(schema).options(**_CSV, emptyValue=mark, multiLine=multi_line, mode="FAILFAST").csv(path)
     texts = [f.name for f in df.schema if f.dataType.typeName() == "string" and (not columns or f.name in columns)]
-    df = df.withColumns({name: F.when(F.col(name) == _EMPTY, "").otherwise(F.col(name)) for name in texts})
+    df = df.withColumns({name: F.when(F.col(name) == mark, "").otherwise(F.col(name)) for name in texts})
     return df.select(*columns) if columns else df
 
 
-def write_raw(df: DataFrame, path: str) -> None:
-    """Write CSV files that :func:`load_raw` reads back unchanged."""
+def write_raw(df: DataFrame, path: str, multi_line: bool = False) -> None:
+    """Write CSV files that :func:`load_raw` reads back unchanged.
+
+    Texts with line breaks are refused unless ``multi_line`` is set here and when reading.
+    """
+    if not multi_line:
+        refused = F.raise_error(F.lit("a text holds a line break: write and read with multi_line")).cast("string")
+        texts = [f.name for f in df.schema if f.dataType.typeName() == "string"]
+        df = df.withColumns({n: F.when(F.col(n).rlike("[\r\n]"), refused).otherwise(F.col(n)) for n in texts})
     (
         df.write.options(**_CSV, emptyValue='""')
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")

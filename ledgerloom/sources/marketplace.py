@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import cents, share
-from ledgerloom.operators.calendar import dim_date
+from ledgerloom.operators.calendar import dim_date, dim_date_around
 from ledgerloom.params import DEFAULTS, Params
 from ledgerloom.sources.files import read_table
 from ledgerloom.sources.schemas import SOURCE_TABLES
@@ -35,7 +35,7 @@ class Marketplace:
         self.spark = spark
         self.folder = folder
         self.params = params
-        self._opened = f"timestamp_ntz'{params.calendar_start}' AS created_at"
+        self._opened = "timestamp_ntz'1994-07-01' AS created_at"
 
     def _source(self, name: str) -> DataFrame:
         return read_table(self.spark, self.folder, name, SOURCE_TABLES[name])
@@ -58,7 +58,10 @@ class Marketplace:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dim_date(self.spark, self.params.calendar_start, self.params.calendar_end)
+        p = self.params
+        if p.calendar_start and p.calendar_end:
+            return dim_date(self.spark, p.calendar_start, p.calendar_end)
+        return dim_date_around(self.orders, "o_orderdate", p.months_before, p.months_after)
 
     @cached_property
     def dim_brand(self) -> DataFrame:
@@ -181,10 +184,10 @@ class Marketplace:
     def raw_subscription_events(self) -> DataFrame:
         """Events of all orders; some come twice, with the same raw id and a new event id."""
         copies = self.orders.selectExpr(
-            "*", "explode(CASE WHEN o_orderkey % 50 = 7 THEN array(0L, 1000000000L) ELSE array(0L) END) AS _shift"
+            "*", "explode(CASE WHEN o_orderkey % 50 = 7 THEN array(0L, 1L) ELSE array(0L) END) AS _copy"
         )
         return copies.selectExpr(
-            "o_orderkey + _shift AS event_id",
+            "o_orderkey * 2 + _copy AS event_id",
             "'evt-' || o_orderkey AS raw_event_id",
             f"CASE WHEN o_orderkey % 33 <> 2 THEN {_BRAND} END AS brand_external_id",
             """CASE o_orderstatus WHEN 'O' THEN 'subscription_created' WHEN 'F' THEN 'cancellation'

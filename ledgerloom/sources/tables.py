@@ -10,17 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 class RunFolder:
     """The tables of one build, each written once and read back.
 
-    Writing cuts the lineage, and the files outlive any executor. The folder
-    must be one that all executors share.
+    Writing cuts the lineage, and the files outlive any executor. The root must
+    be a folder that all executors share. A table's runs lie side by side in its
+    folder, so that one name of a run selects the files of all tables.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.path = f"{root.rstrip('/')}/run-{uuid.uuid4().hex}"
+        self.root = root.rstrip("/")
+        self.run_id = uuid.uuid4().hex
         self.tables: dict[str, DataFrame] = {}
+        self.checked = False
 
     def location(self, name: str) -> str:
-        return f"{self.path}/{name}"
+        return f"{self.root}/{name}/run_id={self.run_id}"
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         """Write a table and return it as read from its files."""
@@ -29,13 +32,29 @@ class RunFolder:
         return self.tables[name]
 
     def publish(self, database: str, names: list[str] | None = None) -> None:
-        """Point the public views at this run.
+        """Show this run in the public views, all of them at once.
 
-        Replacing a view is one catalog step and copies no data, so readers see
-        the old run or the new one, and a build that raised changes nothing.
+        The views read the run that the view ``current_run`` names. Replacing
+        that one view is a single catalog step, so a reader sees all tables of
+        the old run or all of the new one, wherever a publish breaks off. The
+        views themselves are made once and stay as they are.
         """
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        if not self.checked:
+            raise RuntimeError("only a run whose checks passed can be published")
+        sql = self.spark.sql
+        sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        current = f"{database}.current_run"
+        first = not self.spark.catalog.tableExists(current)
+        if first:
+            self._point(current)
         for name in names or list(self.tables):
-            self.spark.sql(
-                f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM parquet.`{self.location(name)}`"
+            columns = ", ".join(f"`{c}`" for c in self.tables[name].columns)
+            sql(
+                f"CREATE VIEW IF NOT EXISTS {database}.{name} AS SELECT {columns} FROM parquet.`{self.root}/{name}` "
+                f"WHERE run_id = (SELECT run_id FROM {current})"
             )
+        if not first:
+            self._point(current)
+
+    def _point(self, current: str) -> None:
+        self.spark.sql(f"CREATE OR REPLACE VIEW {current} AS SELECT '{self.run_id}' AS run_id")

@@ -1,8 +1,10 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 import rows
-from ledgerloom.operators import guards
+from ledgerloom.operators import checks, guards
 from ledgerloom.operators.quarantine import quarantine_ghost_brand, quarantine_missing_brand
 from ledgerloom.operators.subscriptions import dedup_events
 from ledgerloom.plans import build as plans
@@ -11,30 +13,94 @@ from ledgerloom.sources.files import write_raw
 from ledgerloom.sources.tables import RunFolder
 from ledgerloom.streaming import intake
 
+UTC = dt.timezone.utc
+AS_OF = dt.datetime(2002, 12, 31, tzinfo=UTC)
+
 
 def test_build_publishes_and_a_failed_build_changes_nothing(spark, folder, tmp_path):
     raw = Frames(spark, folder).raw_tables
-    run = plans.build(spark, raw, str(tmp_path / "out"))
+    root = str(tmp_path / "out")
+    run = plans.build(spark, raw, root, AS_OF)
+    with pytest.raises(RuntimeError, match="checks"):
+        run.publish("finance", plans.PUBLIC_TABLES)
+    results = plans.validate(spark, run, raw, dt.datetime(2024, 1, 1, tzinfo=UTC))
+    assert {(r.name, r.status) for r in results.collect()} == {(f"V{i}", "pass") for i in range(1, 8)}
     run.publish("finance", plans.PUBLIC_TABLES)
     assert spark.table("finance.stg_subscriptions").count() == 492
     assert spark.table("finance.stg_payments").count() == 1_461
     assert spark.table("finance.mart_monthly_subscriptions").count() == 11_840
-    assert "_source_event_ids" in spark.table("finance.stg_subscriptions").columns
+    listed = spark.table("finance.stg_subscription_source_arrays").agg(F.sum(F.size("event_ids"))).first()[0]
+    assert listed == spark.table("finance.stg_subscription_sources").count()
     before = rows.plain(spark.table("finance.mart_daily_financials"))
 
-    results = plans.validate(spark, run, raw)
-    assert {(r.name, r.status) for r in results.collect()} == {(f"V{i}", "pass") for i in range(1, 8)}
-
     greedy = raw.payments.withColumn("platform_fee_cents", F.col("platform_fee_cents") * 3)
     with pytest.raises(guards.InvariantError, match="take rate"):
-        plans.build(spark, plans.RawTables(**{**raw.__dict__, "payments": greedy}), str(tmp_path / "out"))
+        plans.build(spark, plans.RawTables(**{**raw.__dict__, "payments": greedy}), root, AS_OF)
     assert rows.plain(spark.table("finance.mart_daily_financials")) == before
 
-    again = plans.build(spark, raw, str(tmp_path / "out"))
+    # Nothing unmatched: V5 fails, its report is filed, and every table stays with the old run.
+    failing = plans.build(spark, raw, root, AS_OF)
+    failing.tables["stg_unmatched_events"] = failing.tables["stg_unmatched_events"].limit(0)
+    with pytest.raises(guards.CheckError, match="V5"):
+        plans.validate(spark, failing, raw, dt.datetime(2024, 1, 3, tzinfo=UTC))
+    with pytest.raises(RuntimeError, match="checks"):
+        failing.publish("finance", plans.PUBLIC_TABLES)
+    assert spark.table("finance.current_run").first()["run_id"] == run.run_id
+    latest = checks.latest_report(spark, plans.reports_of(run)).collect()
+    assert {r.name for r in latest if r.status == "fail"} == {"V5"}
+
+    again = plans.build(spark, raw, root, AS_OF)
+    latest = plans.validate(spark, again, raw, dt.datetime(2024, 1, 2, tzinfo=UTC)).collect()
+    assert {r.generated_at.year for r in latest} == {2024} and any(r.status == "fail" for r in latest)  # that of January 3
     again.publish("finance", plans.PUBLIC_TABLES)
+    assert spark.table("finance.current_run").first()["run_id"] == again.run_id
     assert rows.plain(spark.table("finance.mart_daily_financials")) == before
 
 
+def test_a_publish_that_breaks_off_mixes_no_runs(spark, folder, tmp_path):
+    root = str(tmp_path / "out")
+    old, new = RunFolder(spark, root), RunFolder(spark, root)
+    for run, value in ((old, 1), (new, 2)):
+        for name in ("a", "b"):
+            run.keep(name, spark.range(1).select(F.lit(value).alias("v")))
+        run.checked = True
+    old.publish("halves")
+    new._point = lambda current: (_ for _ in ()).throw(OSError("stopped"))
+    with pytest.raises(OSError):
+        new.publish("halves")
+    assert [spark.table(f"halves.{n}").first()["v"] for n in "ab"] == [1, 1]
+    del new._point
+    new.publish("halves")
+    assert [spark.table(f"halves.{n}").first()["v"] for n in "ab"] == [2, 2]
+
+
+def test_events_far_from_the_others_keep_their_months(spark, folder, tmp_path):
+    raw = Frames(spark, folder).raw_tables
+    late = raw.events.where("event_type = 'subscription_created' AND brand_external_id <> 'BRD-GHOST'").limit(1)
+    late = late.withColumn("event_id", F.lit(10**12)).withColumn("raw_event_id", F.lit("late"))
+    late = late.withColumn("plan_name", F.lit("late")).withColumn("event_at", F.to_timestamp(F.lit("2030-05-10 00:00:00")).cast(raw.events.schema["event_at"].dataType))
+    tables = {**raw.__dict__, "events": raw.events.unionByName(late), "calendar": None}
+    run = RunFolder(spark, str(tmp_path))
+    plans.stage(run, plans.RawTables(**tables))
+    plans.build_marts(run, plans.RawTables(**tables))
+    starts = run.tables["stg_subscriptions"].agg(F.max("start_date")).first()[0]
+    assert starts == dt.date(2030, 5, 10)
+    fixed = plans.RawTables(**{**tables, "calendar": raw.calendar})
+    other = RunFolder(spark, str(tmp_path))
+    other.tables = dict(run.tables)
+    with pytest.raises(guards.InvariantError, match="calendar"):
+        plans.build_marts(other, fixed)
+
+
+def test_the_build_sets_the_zone_itself(spark, folder, tmp_path):
+    raw = Frames(spark, folder).raw_tables
+    expected = rows.plain(Frames(spark, folder).daily)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    run = plans.build(spark, raw, str(tmp_path), AS_OF)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert rows.plain(run.tables["mart_daily_financials"]) == expected
+
+
 def test_build_from_csv_files_gives_the_same_marts(spark, folder, tmp_path):
     frames = Frames(spark, folder)
     raw, files = frames.raw_tables, str(tmp_path / "csv")
@@ -54,7 +120,8 @@ def test_build_from_csv_files_gives_the_same_marts(spark, folder, tmp_path):
     assert rows.plain(run.tables["mart_daily_financials"]) == rows.plain(frames.daily)
     assert rows.plain(run.tables["mart_monthly_subscriptions"]) == rows.plain(frames.waterfall)
     spans = run.tables["stg_subscriptions"]
-    assert spans.where("size(_source_event_ids) <> source_event_count").isEmpty()
+    listed = run.tables["stg_subscription_source_arrays"].groupBy("subscription_id").agg(F.sum(F.size("event_ids")).alias("n"))
+    assert spans.join(listed, "subscription_id").where("n = source_event_count").count() == spans.count()
     with pytest.raises(guards.InvariantError, match="1501 expected"):
         plans.load(RunFolder(spark, str(tmp_path / "again")), plans.read_raw(spark, files), {"payments": 1_501})
 

@@ -138,10 +138,12 @@ def test_two_offers_on_one_day_keep_the_first_by_period_and_amount(spark):
     resolved = subs.resolved_events(rows.events(spark, events), rows.brands(spark, 1), AS_OF)
     sources = subs.subscription_sources(resolved)
     assert sorted(r.event_id for r in sources.collect()) == [3, 4]
-    (full,) = subs.with_source_arrays(subs.stage_subscriptions(resolved), sources).collect()
-    assert (full._source_event_ids, full.source_event_count) == ([3, 4], 2)
-    (long_form_only,) = subs.with_source_arrays(subs.stage_subscriptions(resolved), sources, limit=1).collect()
-    assert (long_form_only._source_event_ids, long_form_only.source_event_count) == (None, 2)
+    (full,) = subs.with_source_counts(subs.stage_subscriptions(resolved), sources).collect()
+    assert full.source_event_count == 2
+    (whole,) = subs.source_array_parts(sources).collect()
+    assert (whole.subscription_id, whole.part_no, whole.event_ids) == (full.subscription_id, 0, [3, 4])
+    parts = subs.source_array_parts(sources, part_size=1).collect()
+    assert sorted((r.part_no, r.event_ids) for r in parts) == [(0, [3]), (1, [4])]
     spans = {(r.billing_period, r.amount_cents): r for r in subs.created_spans(resolved).collect()}
     assert spans["annual", 1_200].source_event_count == 2 and len(spans) == 3
     assert (spans["annual", 1_200].first_source_event_id, spans["annual", 1_200].last_source_event_id) == (3, 4)
