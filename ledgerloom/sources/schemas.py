@@ -70,3 +70,16 @@ SOURCE_TABLES = {
     ),
     "lineitem": "l_orderkey BIGINT, l_suppkey BIGINT",
 }
+
+# Exports name other rows by external ids and references; keys are given when they are loaded.
+EXPORTS = {
+    "brands": DIM_BRAND.removeprefix("brand_id BIGINT, "),
+    "creators": DIM_CREATOR.removeprefix("creator_id BIGINT, "),
+    "events": RAW_SUBSCRIPTION_EVENTS.removeprefix("event_id BIGINT, "),
+    "campaigns": (
+        "campaign_ref STRING, brand_external_id STRING, creator_external_id STRING, agreed_budget_cents BIGINT, "
+        "status STRING, created_at TIMESTAMP, completed_at TIMESTAMP"
+    ),
+    "payments": RAW_PAYMENTS.replace("payment_id BIGINT, campaign_id BIGINT", "payment_ref STRING, campaign_ref STRING"),
+    "payouts": RAW_PAYOUTS.replace("payout_id BIGINT, payment_id BIGINT", "payout_ref STRING, payment_ref STRING"),
+}
