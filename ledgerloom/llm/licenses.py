@@ -3,7 +3,8 @@
 Documents and templates are words; a shingle is five words, and a template of fewer words is one shingle of its
 own length. For every template length there is a window length, and a document's windows overlap by three quarters.
 A window's sketch is the least of its shingle hashes under several permutations, each a band of its own, so one
-agreement retrieves the template. Templates of up to four shingles have windows of exactly their length at every
+agreement retrieves the template. A window can only agree in a band if it holds the template's least shingle of that
+band, so sketches are made around those shingles, which is the same as making all and keeping those that agree. Templates of up to four shingles have windows of exactly their length at every
 place: a full match has the same set of shingles and is retrieved for certain. Longer ones have 16 bands: a verbatim
 template shares at least half the shingles of the best window, and is missed with probability below 2^-16; one that
 barely holds four fifths of its shingles shares at least 0.45, and is missed with probability below 10^-4.
@@ -72,12 +73,21 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), NOT_WORD), lambda w: w != "")
 
 
+def _between(first: Column, last: Column) -> Column:
+    """The whole numbers from first to last; none if last is below."""
+    return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+
+def _stretch(values: Column, first: Column, length: Column) -> Column:
+    """``length`` values from place ``first`` (from 1), as far as there are any; reads nothing else of a long array."""
+    last = F.least(first + length - 1, F.size(values))
+    return F.transform(_between(first, last), lambda at: F.get(values, at - 1))
+
+
 def shingle_hashes(words: Column, width: int) -> Column:
     """A hash for every run of ``width`` words."""
-    n = F.size(words) - (width - 1)
     return F.transform(
-        F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")),
-        lambda at: F.xxhash64(F.slice(words, at, F.lit(width))),
+        _between(F.lit(0), F.size(words) - width), lambda at: F.xxhash64(*(F.get(words, at + i) for i in range(width)))
     )
 
 
@@ -99,46 +109,47 @@ def _bands(window: int) -> int:
     return 1 if window <= EXACT_WINDOWS else BANDS
 
 
-def _permuted(hashes: Column) -> Column:
-    """The hashes under each permutation."""
-    return F.transform(
-        F.array(*(F.lit(x).cast("long") for x in permutations())), lambda number: F.transform(hashes, lambda h: h.bitwiseXOR(number))
-    )
+def _sketch(hashes: Column, bands: int) -> Column:
+    """The hash that is least under each permutation."""
+    numbers = F.array(*(F.lit(x).cast("long") for x in permutations()[:bands]))
+    return F.transform(numbers, lambda number: F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(number))).bitwiseXOR(number))
 
 
 def _places(width: int, window: int, group: list[dict]) -> Column:
     """The windows of a document that agree with a template of the group in a band, each with its sketch and words.
 
-    Reads the columns words, h<width> (shingle hashes) and p<width> (the same under each permutation).
+    Reads the columns words, h<width> (shingle hashes) and s<width> (places of shingles that are least in a band of a
+    template). Only a window that holds such a shingle can agree, so no sketch of another window is made.
     """
-    step, hashes = max(1, window // 4), F.col(f"h{width}")
-    last = F.size(hashes)
-    starts = F.when(last > 0, F.sequence(F.lit(1), F.greatest(F.lit(1), last - window + step), F.lit(step)))
-    starts = F.coalesce(starts, F.array().cast("array<int>"))
-    sought = F.array(*(F.array(*map(F.lit, sorted({t["bands"][n] for t in group}))) for n in range(_bands(window))))
-
-    def sketch(at: Column) -> Column:
-        if _bands(window) == 1:
-            return F.array(F.array_min(F.slice(hashes, at, F.lit(window))))
-        return F.transform(F.col(f"p{width}"), lambda p: F.array_min(F.slice(p, at, F.lit(window))))
-
-    def agrees(at: Column) -> Column:
-        if _bands(window) == 1:
-            return F.array_contains(sought.getItem(0), F.array_min(F.slice(hashes, at, F.lit(window))))
-        return F.exists(F.zip_with(sketch(at), sought, lambda value, values: F.array_contains(values, value)), lambda same: same)
+    step, bands, hashes = max(1, window // 4), _bands(window), F.col(f"h{width}")
+
+    def around(spot: Column) -> Column:
+        first = F.greatest(F.lit(0), F.ceil((spot - window) / step).cast("int"))
+        return F.transform(F.sequence(first, F.floor((spot - 1) / step).cast("int")), lambda n: n * step + 1)
+
+    starts = F.array_distinct(F.flatten(F.transform(F.col(f"s{width}"), around)))
+    sought = F.array(*(F.array(*map(F.lit, sorted({t["bands"][n] for t in group}))) for n in range(bands)))
+
+    def agrees(found: Column) -> Column:
+        return F.exists(F.zip_with(found["sketch"], sought, lambda value, values: F.array_contains(values, value)), lambda same: same)
 
     def place(at: Column) -> Column:
         begin = F.greatest(F.lit(1), at - window)
         return F.struct(
             F.lit(width).alias("width"),
             F.lit(window).alias("window"),
-            sketch(at).alias("sketch"),
+            _sketch(_stretch(hashes, at, F.lit(window)), bands).alias("sketch"),
             # With a window on either side, the place holds the whole template wherever it was cut.
             begin.alias("from"),
-            F.slice(F.col("words"), begin, F.lit(3 * window + width - 1)).alias("part"),
+            _stretch(F.col("words"), begin, F.lit(3 * window + width - 1)).alias("part"),
         )
 
-    return F.transform(F.filter(starts, agrees), place)
+    return F.filter(F.transform(starts, place), agrees)
+
+
+def _spots(hashes: Column, values: list[int]) -> Column:
+    """Places of the hashes that are among the values."""
+    return F.filter(_between(F.lit(1), F.size(hashes)), lambda at: F.get(hashes, at - 1).isin(values))
 
 
 def template_table(spark: SparkSession, templates) -> list[dict]:
@@ -155,7 +166,7 @@ def template_table(spark: SparkSession, templates) -> list[dict]:
         made = spark.createDataFrame(group, "license string, words array<string>")
         hashes = F.array_distinct(shingle_hashes(F.col("words"), width))
         made = made.select("license", "words", hashes.alias("hashes")).select(
-            "license", "words", F.size("hashes").alias("n"), F.transform(_permuted(F.col("hashes")), F.array_min).alias("bands")
+            "license", "words", F.size("hashes").alias("n"), _sketch(F.col("hashes"), BANDS).alias("bands")
         )
         for r in made.collect():
             window = window_of(r["n"])
@@ -179,8 +190,8 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
         classes[(t["width"], t["window"])].append(t)
     widths = sorted({width for width, _ in classes})
     rows = rows.withColumns({f"h{w}": shingle_hashes(F.col("words"), w) for w in widths})
-    long_widths = sorted({width for width, window in classes if _bands(window) > 1})
-    rows = rows.withColumns({f"p{w}": _permuted(F.col(f"h{w}")) for w in long_widths})
+    least = {w: sorted({v for t in table if t["width"] == w for v in t["bands"]}) for w in widths}
+    rows = rows.withColumns({f"s{w}": _spots(F.col(f"h{w}"), least[w]) for w in widths})
     hits = [_places(width, window, group) for (width, window), group in sorted(classes.items())]
     # Outer: for an inner explode Spark would make the array once more to leave out empty ones first.
     candidates = rows.select("doc_id", "row_no", F.explode_outer(F.concat(*hits)).alias("hit")).filter(F.col("hit").isNotNull())
@@ -190,7 +201,7 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
         "license string, of_width int, of_window int, template array<string>, bands array<bigint>",
     )
     runs = lambda words, width: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - width + 1)), lambda at: F.array_join(F.slice(words, at, width), " ")
+        _between(F.lit(1), F.size(words) - width + 1), lambda at: F.array_join(_stretch(words, at, width), " ")
     )
     met = candidates.join(F.broadcast(known), (F.col("width") == F.col("of_width")) & (F.col("window") == F.col("of_window"))).filter(
         F.exists(F.zip_with("sketch", "bands", lambda a, b: a == b), lambda same: same)
