@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -373,48 +373,63 @@ def mrr_kpis(f: Frames) -> DataFrame:
 # Audits
 
 
-def _all_tables(f: Frames) -> dict[str, DataFrame]:
-    raw = f.raw
-    return {
-        "dim_date": raw.dim_date,
-        "dim_brand": raw.dim_brand,
-        "dim_creator": raw.dim_creator,
-        "raw_subscription_events": raw.raw_subscription_events,
-        "raw_campaigns": f.campaigns,
-        "raw_payments": raw.raw_payments,
-        "raw_payouts": raw.raw_payout_amounts,
-        "stg_subscriptions": f.subscriptions,
-        "stg_subscription_source_arrays": f.source_arrays,
-        "stg_unmatched_events": f.unmatched,
-        "stg_ledger_entries": f.ledger,
-        "mart_daily_financials": f.daily,
-        "mart_monthly_subscriptions": f.waterfall,
-    }
+class _Tables(Mapping):
+    """The audited tables by name; a table is derived when it is asked for."""
+
+    def __init__(self, f: Frames):
+        raw = f.raw
+        self._plans: dict[str, Callable[[], DataFrame]] = {
+            "dim_date": lambda: raw.dim_date,
+            "dim_brand": lambda: raw.dim_brand,
+            "dim_creator": lambda: raw.dim_creator,
+            "raw_subscription_events": lambda: raw.raw_subscription_events,
+            "raw_campaigns": lambda: f.campaigns,
+            "raw_payments": lambda: raw.raw_payments,
+            "raw_payouts": lambda: raw.raw_payout_amounts,
+            "stg_subscriptions": lambda: f.subscriptions,
+            "stg_subscription_source_arrays": lambda: f.source_arrays,
+            "stg_unmatched_events": lambda: f.unmatched,
+            "stg_ledger_entries": lambda: f.ledger,
+            "mart_daily_financials": lambda: f.daily,
+            "mart_monthly_subscriptions": lambda: f.waterfall,
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._plans[name]()
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._plans
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._plans)
+
+    def __len__(self) -> int:
+        return len(self._plans)
 
 
 @_query
 def audit_not_null(f: Frames) -> DataFrame:
-    return audits.audit_not_null(_all_tables(f))
+    return audits.audit_not_null(_Tables(f))
 
 
 @_query
 def audit_domain(f: Frames) -> DataFrame:
-    return audits.audit_domain(_all_tables(f))
+    return audits.audit_domain(_Tables(f))
 
 
 @_query
 def audit_unique(f: Frames) -> DataFrame:
-    return audits.audit_unique(_all_tables(f))
+    return audits.audit_unique(_Tables(f))
 
 
 @_query
 def audit_length(f: Frames) -> DataFrame:
-    return audits.audit_length(_all_tables(f))
+    return audits.audit_length(_Tables(f))
 
 
 @_query
 def audit_foreign_keys(f: Frames) -> DataFrame:
-    return audits.audit_foreign_keys(_all_tables(f))
+    return audits.audit_foreign_keys(_Tables(f))
 
 
 @_query
