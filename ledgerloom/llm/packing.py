@@ -31,8 +31,9 @@ GROUP_RESTS = 4096
 CACHE_WORDS = 700_000
 # In these characters both libraries agree on what letters, digits and white space are.
 UNUSUAL = re.compile("[^\x00-\x1b\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-ɏ]")
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row_no long"
-PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+# Ids travel as text: pandas would turn numbers next to NULLs into inexact ones.
+PIECES = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, row_no long"
+PACKED = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 class Encoder:
@@ -156,14 +157,12 @@ def pieces(docs: DataFrame, vocabulary: str, ranks: str, pattern: str) -> DataFr
                     out = []
             yield _frame(out, names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(encode, PIECES)
+    return docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text").mapInPandas(encode, PIECES)
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
     columns = list(zip(*rows)) or [()] * len(names)
-    return pd.DataFrame(
-        {n: pd.array([None if x is pd.NA or x != x else x for x in c] if n == "doc_id" else c, "Int64") for n, c in zip(names, columns)}
-    )
+    return pd.DataFrame({n: pd.Series(c, dtype=object if n == "doc_id" else "int64") for n, c in zip(names, columns)})
 
 
 def pack(docs: DataFrame, vocabulary: str, ranks: str, pattern: str) -> DataFrame:
@@ -180,9 +179,10 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str, pattern: str) -> DataFram
     groups = max(1, -(-rests.count() // GROUP_RESTS))
     dealt = rests.withColumn("group_no", F.pmod(F.xxhash64("row_no"), F.lit(groups)))
     packed = dealt.groupBy("group_no").applyInPandas(_pack_group, PACKED)
-    return full.select(
+    alone = full.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("row_no") * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
-    ).unionByName(packed)
+    )
+    return alone.unionByName(packed).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 ship(__name__)

@@ -2,29 +2,31 @@
 
 The vocabulary has no piece with a space behind another character and none with a line break, so the pieces of a
 text are those of its pre-tokens: a run of spaces with the characters up to the next space or line break, or a
-line break. Every distinct pre-token is counted once; documents carry only how often they hold each.
+line break. Every distinct pre-token is counted once and joined to the documents' pre-tokens; only sums remain.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import settle, ship
-from ledgerloom.session import scratch_path
+from ledgerloom.llm.common import cut, settle, ship
 
 TOKEN_LIMIT = 4096
 SPACE_MARK = "▁"  # what the vocabulary writes for a space
 PRE_TOKEN = r"[ ]*[^ \n]+|[ ]+|\n"
 # No pre-token: it stands for the row itself, so that rows without tokens are counted too.
 ROW = "\n\n"
-# The most frequent pre-tokens are joined by broadcast: at most so many, of at most so many bytes each.
-FREQUENT = 1 << 18
-FREQUENT_BYTES = 48
+# Pre-tokens that are frequent in a sample of about so many documents are counted first and joined by broadcast:
+# at most so many short ones of at most so many bytes, and so many long ones. All others are joined by shuffle.
+SAMPLE_DOCUMENTS = 20_000
+FREQUENT, FREQUENT_BYTES = 1 << 18, 48
+FREQUENT_LONG, LONG_BYTES = 1 << 10, 1 << 14
+KEYS = ("doc_id", "n_bytes", "digest")
 
 
 def count_pieces(words: list[str], processor: sentencepiece.SentencePieceProcessor) -> list[int]:
@@ -45,28 +47,59 @@ def check_vocabulary(processor: sentencepiece.SentencePieceProcessor) -> None:
 
 
 def with_pieces(words: DataFrame, model: bytes) -> DataFrame:
-    """``words`` (column w) with the number of pieces of each."""
+    """``words`` (column w) with the number of pieces of each; equal words that follow each other are counted once."""
     sent = words.sparkSession.sparkContext.broadcast(model)
     kept: dict[str, sentencepiece.SentencePieceProcessor] = {}
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema)
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if "it" not in kept:
             kept["it"] = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
-        for frame in frames:
-            yield frame.assign(pieces=count_pieces(list(frame["w"]), kept["it"]))
+        last, last_pieces = None, 0
+        for batch in batches:
+            words = batch.column("w").dictionary_encode()
+            distinct = words.dictionary.to_pylist()
+            begun = len(distinct) > 0 and distinct[0] == last
+            pieces = [last_pieces] * begun + count_pieces(distinct[int(begun) :], kept["it"])
+            if distinct:
+                last, last_pieces = distinct[-1], pieces[-1]
+            yield batch.append_column("pieces", pa.array(pieces, pa.int64()).take(words.indices))
+
+    return words.mapInArrow(count, f"{fields}, pieces long")
+
+
+def _at_most(counted: DataFrame, most: int) -> DataFrame:
+    """The rows of ``counted`` with at least 2^k uses, for the least k that leaves at most ``most``."""
+    sizes = counted.groupBy(F.floor(F.log2("uses")).cast("int").alias("power")).count().orderBy(F.desc("power")).collect()
+    least, total = None, 0
+    for power, n in sizes:
+        total += n
+        if total > most:
+            break
+        least = power
+    return counted.limit(0) if least is None else counted.filter(F.col("uses") >= (1 << least))
+
 
-    return words.mapInPandas(count, f"{fields}, pieces long")
+def frequent_words(rows: DataFrame, documents: int) -> DataFrame:
+    """Frequent pre-tokens of a sample of ``rows`` (digest, found), chosen by a hash of the text."""
+    buckets = 1 << 30
+    bound = min(buckets, -(-buckets * SAMPLE_DOCUMENTS // max(1, documents)))
+    sample = rows.filter(F.pmod(F.xxhash64("digest"), F.lit(buckets)) < bound)
+    words = sample.select(F.explode_outer("found").alias("w")).filter(F.col("w").isNotNull())
+    size = F.octet_length("w")
+    counted = cut(words.groupBy("w").agg(F.count(F.lit(1)).alias("uses")).filter(size <= LONG_BYTES))
+    short, long = counted.filter(size <= FREQUENT_BYTES), counted.filter(size > FREQUENT_BYTES)
+    return _at_most(short, FREQUENT).unionByName(_at_most(long, FREQUENT_LONG)).select("w")
 
 
 def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every row; other columns are ignored.
 
-    A NULL text counts as empty: no bytes and no tokens. Repeated rows come out as often as they go in. The counted
-    pre-tokens are stored in the checkpoint folder. Frequent ones, a bounded number of bounded length, are
-    looked up where the documents are read; all others travel to their counts as one row per document and pre-token.
+    A NULL text counts as empty: no bytes and no tokens. Repeated rows come out as often as they go in. Which
+    pre-tokens are counted first depends on a sample, what comes out does not: all others are dealt by
+    pre-token, sorted, and counted where they meet.
     """
-    spark = settle(docs.sparkSession)
+    settle(docs.sparkSession)
     with open(model_file, "rb") as f:
         model = f.read()
     check_vocabulary(sentencepiece.SentencePieceProcessor(model_proto=model))
@@ -74,48 +107,18 @@ def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
     spaced = F.concat(F.lit(" "), F.translate(text, SPACE_MARK, " "))
     # An empty text gets no mark in front.
     found = F.when(text == "", F.array().cast("array<string>")).otherwise(F.regexp_extract_all(spaced, F.lit(PRE_TOKEN), F.lit(0)))
-    rows = docs.select(
-        "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.xxhash64(text).alias("digest"), found.alias("found")
-    )
-    path = scratch_path(spark, "pre_tokens")
-    # Outer: an inner explode would match the pattern twice, once to leave out rows without a match.
-    words = rows.select(F.explode_outer("found").alias("w")).filter(F.col("w").isNotNull()).groupBy("w").agg(F.count(F.lit(1)).alias("uses"))
-    with_pieces(words, model).write.parquet(path)
-    counted = spark.read.parquet(path)
-    # The smallest power of two that at most FREQUENT pre-tokens reach in uses.
-    short = counted.filter(F.octet_length("w") <= FREQUENT_BYTES)
-    sizes = short.groupBy(F.floor(F.log2("uses")).cast("int").alias("power")).count().orderBy(F.desc("power")).collect()
-    least, total = 63, 0
-    for power, n in sizes:
-        total += n
-        if total > FREQUENT:
-            break
-        least = power
-    frequent = short.filter(F.col("uses") >= (1 << least)) if least < 63 else short.limit(0)
+    rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.xxhash64(text).alias("digest"), found.alias("found"))
+    frequent = cut(with_pieces(frequent_words(rows, docs.count()), model))
     near = F.broadcast(frequent.select(F.col("w").alias("near_w"), F.col("pieces").alias("near_pieces")))
-    is_row = F.col("w") == ROW
-    used = rows.select("doc_id", "n_bytes", "digest", F.explode(F.concat(F.array(F.lit(ROW)), "found")).alias("w")).join(
-        near, F.col("w") == F.col("near_w"), "left"
-    )
-    # A row for each document with all that was looked up, and one for each of its other pre-tokens.
-    far = F.when(~is_row & F.col("near_pieces").isNull(), F.col("w"))
-    per_document = used.groupBy("doc_id", "n_bytes", "digest", far.alias("far_w")).agg(
-        F.sum(F.coalesce("near_pieces", F.lit(0))).alias("near_pieces"),
-        F.count(F.lit(1)).alias("uses"),
-        F.sum(is_row.cast("long")).alias("copies"),
-    )
-    # Rows without a far pre-token spread over the join by a key that none has.
-    spread = F.coalesce("far_w", F.concat(F.lit(ROW), F.col("digest").cast("string")))
-    rare = counted.select(F.col("w").alias("join_w"), F.col("pieces").alias("far_pieces"))
-    if least < 63:
-        rare = counted.filter((F.col("uses") < (1 << least)) | (F.octet_length("w") > FREQUENT_BYTES)).select(
-            F.col("w").alias("join_w"), F.col("pieces").alias("far_pieces")
-        )
-    joined = per_document.withColumn("join_w", spread).join(rare, "join_w", "left")
-    totals = joined.groupBy("doc_id", "n_bytes", "digest").agg(
-        F.sum(F.col("near_pieces") + F.when(F.col("far_w").isNull(), 0).otherwise(F.col("uses") * F.col("far_pieces"))).alias("all_tokens"),
-        F.sum("copies").alias("copies"),
+    used = rows.select(*KEYS, F.explode(F.concat(F.array(F.lit(ROW)), "found")).alias("w"))
+    known = used.join(near, F.col("w") == F.col("near_w"), "left")
+    looked_up = known.groupBy(*KEYS).agg(
+        F.sum(F.coalesce("near_pieces", F.lit(0))).alias("pieces"), F.sum((F.col("w") == ROW).cast("long")).alias("copies")
     )
+    others = used.filter(F.col("w") != ROW).join(near, F.col("w") == F.col("near_w"), "left_anti")
+    met = with_pieces(others.repartition("w").sortWithinPartitions("w"), model)
+    parts = looked_up.unionByName(met.select(*KEYS, "pieces", F.lit(0).cast("long").alias("copies")))
+    totals = parts.groupBy(*KEYS).agg(F.sum("pieces").alias("all_tokens"), F.sum("copies").alias("copies"))
     n_tokens = F.expr("all_tokens div copies")
     return totals.select(
         "doc_id", "n_bytes", n_tokens.alias("n_tokens"), (n_tokens > TOKEN_LIMIT).alias("over_limit"),

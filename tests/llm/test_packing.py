@@ -46,7 +46,7 @@ def test_ids_of_real_texts(encoder, library, spark, folder):
 def test_pieces_cover_documents_and_fill_sequences(spark, library, folder):
     rng = random.Random(4)
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
-    rows += [(9001, None), (9002, ""), (9003, prose(rng, ["alpha", "beta", "gamma."], 60_000)), (9004, rows[0][1]), (9004, rows[0][1]), (None, "no id")]
+    rows += [(9001, None), (9002, ""), (9003, prose(rng, ["alpha", "beta", "gamma."], 60_000)), (9004, rows[0][1]), (9004, rows[0][1]), (None, "no id"), (2**60 + 1, "large id")]
     docs = documents(spark, rows, "row_no length sequence_id group_no offset start")
     found = packing.pack(docs, VOCABULARY, RANKS, PATTERN).collect()
     pieces, copies = collections.defaultdict(list), collections.Counter(i for i, _ in rows)
