@@ -250,7 +250,7 @@ def identify(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-def keep_identified(docs: DataFrame, least_score: float = 0.35) -> DataFrame:
+def keep_identified(docs: DataFrame, least_score: float = 0.25) -> DataFrame:
     """The rows of ``docs`` whose language is known with at least ``least_score``, all columns kept.
 
     Rows without letters go. Without any language to learn from nothing can be judged, and all rows stay.

@@ -44,7 +44,7 @@ def test_run_equals_the_plain_stages(spark, folder):
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     rows = {r["doc_id"]: r for r in docs.collect()}
     judged = {r["doc_id"]: r for r in language.identify(docs).collect()}
-    rows = {i: r for i, r in rows.items() if judged[i]["lang_pred"] != "und" and judged[i]["score"] >= 0.35}
+    rows = {i: r for i, r in rows.items() if judged[i]["lang_pred"] != "und" and judged[i]["score"] >= 0.25}
     scored = {r["doc_id"]: r["score"] for r in quality.score(docs.filter(docs.doc_id.isin(list(rows))), labels).collect()}
     rows = deduplicated({i: r for i, r in rows.items() if scored[i] >= 0.5})
     assert 0 < len(rows) < docs.count()
