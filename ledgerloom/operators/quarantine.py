@@ -77,11 +77,8 @@ def quarantine_payments(payments: DataFrame, brands: DataFrame, creators: DataFr
 
 
 def unmatched_events(events: DataFrame, brands: DataFrame) -> DataFrame:
-    """Events without a known brand, both reasons in one pass over the events."""
-    # A NULL id matches no brand, so the anti join keeps it.
-    bad = events.join(brands.select("brand_external_id"), "brand_external_id", "left_anti")
-    reason = F.when(F.col("brand_external_id").isNull(), REASON_MISSING_BRAND).otherwise(REASON_UNRESOLVED)
-    return _quarantined(bad, "raw_subscription_events", "event_id", reason, _EVENT_PAYLOAD)
+    """Events without a known brand. Those without an id need no join and are kept out of its shuffle."""
+    return quarantine_missing_brand(events).unionByName(quarantine_ghost_brand(events, brands))
 
 
 def unmatched_rows(events: DataFrame, keyed_payments: DataFrame, brands: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ def test_query_equals_its_sql(spark, con, folder, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(entry_points.oracle_sql())
 
 
 def test_entry_runs(spark):
