@@ -4,6 +4,10 @@ A line is a sequence; its words are labelled with languages. A word's features a
 n-grams and itself (the lexicon), hashed into one weight table; the weights of a language after a language are
 learned too, from lines of one language and from lines spliced of two. Forward-backward gives every word's
 language probabilities; a document's are the means over its words, weighted by their letters.
+
+The probabilities only compare the learned languages with each other. Whether a text is in any of them is judged by
+spelling: a word is known if the letter after each two letters, as counted in learning, explains it better than
+letters drawn one by one do. A text with most of its letters in unknown words has score 0.
 """
 
 from __future__ import annotations
@@ -28,15 +32,28 @@ BATCH_LINES = 256
 # Tokens whose words and scores a task keeps, and characters labelled at a time.
 CACHE_TOKENS = 500_000
 BLOCK_CHARACTERS = 4_000_000
+# Weight of a letter's own frequency where its two letters before were seldom met, and the share of known letters asked for.
+BACK_OFF = 4.0
+LEAST_KNOWN = 0.5
 # Powers of an odd number, to tell the places in a word apart.
 POWERS = np.cumprod(np.full(61, 0x9E3779B97F4A7C15, np.uint64))
 
 
+@dataclass(frozen=True)
+class Spelling:
+    """Letters (and ends of words), pairs and triples of them met in learning, in order, each with its count."""
+
+    letters: tuple[np.ndarray, np.ndarray]
+    pairs: tuple[np.ndarray, np.ndarray]
+    triples: tuple[np.ndarray, np.ndarray]
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     labels: tuple[str, ...]
     weights: np.ndarray
     chain: Chain
+    spelling: Spelling
 
 
 def letters_of(token: str) -> str:
@@ -86,6 +103,42 @@ def word_scores(words: list[str], weights: np.ndarray) -> np.ndarray:
     return sums / np.sqrt(counts)[:, None]
 
 
+def spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The two letters before, the letter and the word of each letter and end of the words."""
+    padded = [f"<<{w}>" for w in words]
+    sizes = np.fromiter(map(len, padded), np.int64, len(padded))
+    points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    word = np.repeat(np.arange(len(words)), sizes)
+    at = np.flatnonzero(np.arange(len(points)) - (np.cumsum(sizes) - sizes)[word] >= 2)
+    return points[at - 2] << 21 | points[at - 1], points[at], word[at]
+
+
+def learn_spelling(words: list[str]) -> Spelling:
+    pairs, letters, _ = spelled(words)
+    return Spelling(*(np.unique(x, return_counts=True) for x in (letters, pairs, pairs << 21 | letters)))
+
+
+def _counted(keys: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
+    return np.where(table[0][at] == keys, table[1][at], 0)
+
+
+def known_words(words: list[str], spelling: Spelling) -> np.ndarray:
+    """True for each word that the learned spelling explains better than letters drawn by frequency or evenly.
+
+    One letter says too little: it is known if it was met at all.
+    """
+    pairs, letters, word = spelled(words)
+    met = _counted(letters, spelling.letters)
+    kinds = len(spelling.letters[0])
+    alone = (met + 0.5) / (spelling.letters[1].sum() + 0.5 * (kinds + 1))
+    after = (_counted(pairs << 21 | letters, spelling.triples) + BACK_OFF * alone) / (_counted(pairs, spelling.pairs) + BACK_OFF)
+    size = np.bincount(word, minlength=len(words))
+    by_spelling, by_letters = np.bincount(word, np.log(after), len(words)), np.bincount(word, np.log(alone), len(words))
+    short = (size == 2) & (np.bincount(word, met == 0, len(words)) == 0)
+    return short | (by_spelling > np.maximum(by_letters, -np.log(kinds) * size))
+
+
 def train(texts: list[str], langs: list[str], seed: int = 7) -> LanguageModel:
     """Fit on text pieces, every word of a piece labelled with the piece's language."""
     labels = tuple(sorted(set(langs)))
@@ -98,6 +151,7 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> LanguageModel:
             if words:
                 lines.append(words)
                 tags.append([labels.index(lang)] * len(words))
+    spelling = learn_spelling([w for line in lines for w in line])
     # Code-switched lines: one in eight is continued by part of another.
     for i in rng.permutation(len(lines))[: len(lines) // 8]:
         j = int(rng.integers(len(lines)))
@@ -125,7 +179,7 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> LanguageModel:
             weights = weights + moves[0].move(gradient / len(chosen))
             start = start + moves[1].move(seen[k] / len(chosen))
             step = step + moves[2].move(seen[:k] / len(chosen))
-    return LanguageModel(labels, weights.astype(np.float32), Chain(start, step))
+    return LanguageModel(labels, weights.astype(np.float32), Chain(start, step), spelling)
 
 
 class Known(dict):
@@ -155,6 +209,7 @@ class Labeller:
 
     def _forget(self) -> None:
         self.known, self.scores, self.letters = Known(), np.zeros((0, len(self.model.labels)), np.float32), np.zeros(0)
+        self.spelled = np.zeros(0, bool)
 
     def _numbers(self, tokens: list[str]) -> np.ndarray:
         if len(self.known) > CACHE_TOKENS:
@@ -164,12 +219,18 @@ class Labeller:
             parts = [word_scores(new[i : i + 20_000], self.model.weights) for i in range(0, len(new), 20_000)]
             self.scores = np.concatenate([self.scores, *parts]).astype(np.float32)
             self.letters = np.concatenate([self.letters, np.fromiter(map(len, new), np.float64, len(new))])
+            told = [known_words(new[i : i + 20_000], self.model.spelling) for i in range(0, len(new), 20_000)]
+            self.spelled = np.concatenate([self.spelled, *told])
             self.known.new = []
         return found
 
     def probabilities(self, texts: list[str]) -> np.ndarray:
         """Language probabilities of each text; a row of zeros for a text without letters."""
-        out = np.zeros((len(texts), len(self.model.labels)))
+        return self.judged(texts)[0]
+
+    def judged(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Language probabilities of each text, and the share of its letters that is in known words."""
+        out, known = np.zeros((len(texts), len(self.model.labels))), np.zeros(len(texts))
         for start, stop in blocks(texts):
             tokens, lengths, owners = [], [], []
             for n in range(start, stop):
@@ -189,8 +250,10 @@ class Labeller:
             letters = self.letters[numbers]
             for c in range(out.shape[1]):
                 out[start:stop, c] = np.bincount(owner, marginals[:, c] * letters, stop - start)
+            whole = np.bincount(owner, letters, stop - start)
+            known[start:stop] = np.bincount(owner, letters * self.spelled[numbers], stop - start) / np.maximum(whole, 1)
         total = out.sum(axis=1, keepdims=True)
-        return np.divide(out, total, out=np.zeros_like(out), where=total > 0)
+        return np.divide(out, total, out=np.zeros_like(out), where=total > 0), known
 
 
 def blocks(texts: list[str]) -> list[tuple[int, int]]:
@@ -222,18 +285,19 @@ def predict(text: Column, model: LanguageModel | None, spark) -> Column:
     if model is None:
         return F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     # Plain arrays: a broadcast is unpickled without the shipped modules.
-    plain = (model.labels, model.weights, model.chain.start, model.chain.step)
+    spelling = model.spelling
+    plain = (model.labels, model.weights, model.chain.start, model.chain.step, (spelling.letters, spelling.pairs, spelling.triples))
     sent, kept = spark.sparkContext.broadcast(plain), {}
 
     @F.pandas_udf("lang_pred string, score double")
     def label(texts: pd.Series) -> pd.DataFrame:
         if "it" not in kept:
-            labels, weights, start, step = sent.value
-            kept["it"] = Labeller(LanguageModel(labels, weights, Chain(start, step)))
-        p = kept["it"].probabilities(list(texts))
+            labels, weights, start, step, tables = sent.value
+            kept["it"] = Labeller(LanguageModel(labels, weights, Chain(start, step), Spelling(*tables)))
+        p, known = kept["it"].judged(list(texts))
         names = np.array([*kept["it"].model.labels, UNKNOWN], dtype=object)
         best = np.where(p.sum(axis=1) > 0, p.argmax(axis=1), len(names) - 1)
-        return pd.DataFrame({"lang_pred": names[best], "score": np.clip(p.max(axis=1), 0.0, 1.0)})
+        return pd.DataFrame({"lang_pred": names[best], "score": np.where(known >= LEAST_KNOWN, np.clip(p.max(axis=1), 0.0, 1.0), 0.0)})
 
     return label(text)
 
@@ -242,8 +306,9 @@ def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row, in any order; other columns are ignored.
 
     A NULL text or one without letters is ``und`` with score 0, and so is every row when no document has both a
-    language and letters to learn from. A NULL doc_id is not held out and is never learned from. Letters never
-    seen in learning still get the language that fits best, with a low score. Repeated rows are labelled alike.
+    language and letters to learn from. A NULL doc_id is not held out and is never learned from. A text with most of
+    its letters in words spelled like no learned language still gets the language that fits best, with score 0.
+    Repeated rows are labelled alike.
     """
     model = fit(docs)
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), predict(F.col("text"), model, docs.sparkSession).alias("p"))
@@ -253,7 +318,8 @@ def identify(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, least_score: float = 0.25) -> DataFrame:
     """The rows of ``docs`` whose language is known with at least ``least_score``, all columns kept.
 
-    Rows without letters go. Without any language to learn from nothing can be judged, and all rows stay.
+    Rows without letters go, and so do those spelled like no learned language, however many are learned; text in
+    several learned languages stays. Without any language to learn from nothing can be judged, and all rows stay.
     """
     model = fit(docs)
     if model is None:

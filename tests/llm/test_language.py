@@ -1,3 +1,5 @@
+import random
+import string
 import zlib
 
 from helpers import by_id, documents
@@ -44,3 +46,18 @@ def test_code_switched_words_are_labelled_one_by_one():
     p = language.Labeller(model).probabilities([spanish, german, f"{spanish} {german}", "42"])
     assert p[0, model.labels.index("es")] > 0.9 and p[1, model.labels.index("de")] > 0.9
     assert 0.25 < p[2, 0] < 0.75 and p[3].sum() == 0
+
+
+def test_text_of_no_learned_language_goes(spark, folder):
+    learned = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
+    rng = random.Random(4)
+    gibberish = " ".join("".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randint(2, 9))) for _ in range(200))
+    of = {r["lang"]: r["text"][:400] for r in learned if r["lang"] and len(r["text"]) > 500}
+    assert len(of) == 4
+    away = ["漢字 かな 日本語 の 文章 です", "это текст на русском языке о погоде", "wczoraj wieczorem poszliśmy do kina żeby obejrzeć film", "asdkfjh qwoeiru zxmcnvb asdlkfj", gibberish]
+    stay = ["\n".join(of.values()), " ".join(x for line in zip(*(t.split() for t in of.values())) for x in line), f"{of['en']}\n{gibberish[:200]}"]
+    docs = documents(spark, [tuple(r) for r in learned] + [(20_000 + n, t, None, None) for n, t in enumerate(away + stay)])
+    found = by_id(language.identify(docs))
+    assert [found[20_000 + n]["score"] for n in range(len(away))] == [0.0] * len(away)
+    ids = {r["doc_id"] for r in language.keep_identified(docs).collect()}
+    assert ids == set(by_id(docs)) - {20_000 + n for n in range(len(away))}
