@@ -19,24 +19,42 @@ from ledgerloom.llm.common import cut, settle, ship
 from ledgerloom.llm.components import components
 
 LEAST_COSINE = 0.93
-# The sample of vectors that serves as pivots; every vector is indexed.
+# Pivots, and about how many vectors they are chosen from; every vector is indexed.
 PIVOTS = 256
+PIVOT_SAMPLE = 2048
 # Nearest pivots that describe a vector, those it is listed at, and those a pair must share.
 DESCRIBED, LISTED, SHARED = 12, 6, 2
 # Vectors of a list that are compared at a time; longer lists are compared in pairs of such blocks.
 BLOCK = 2048
 
 
+def _spread_out(units: np.ndarray) -> list[np.ndarray]:
+    """The first of the vectors, then always the next that is no near copy of one taken; at most PIVOTS.
+
+    A large group of near copies would otherwise own many pivots, all about equally near to each of its members.
+    """
+    out = []
+    while len(units) and len(out) < PIVOTS:
+        out.append(units[0])
+        units = units[units @ units[0] < LEAST_COSINE]
+    return out
+
+
 def _pivot_table(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """Pivots for each dimension: unit vectors chosen by hash, filled up with random directions where too few."""
-    picked = vectors.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(PIVOTS).collect()
-    sizes = [r[0] for r in vectors.select(F.size("embedding")).distinct().collect()]
+    """Pivots for each dimension: spread-out unit vectors of a sample by hash, filled up with random directions."""
+    sizes = {r[0]: r[1] for r in vectors.groupBy(F.size("embedding")).count().collect()}
+    buckets = 1 << 30
+    keep, place = F.lit(False), F.xxhash64("embedding")
+    for d, n in sorted(sizes.items()):
+        keep = keep | ((F.size("embedding") == d) & (F.pmod(place, F.lit(buckets)) < min(buckets, -(-buckets * PIVOT_SAMPLE // n))))
+    # Equal vectors of two labels are near copies too: the order among them changes nothing.
+    picked = sorted((r[0], r[1]) for r in vectors.filter(keep).select(place, "embedding").collect()) if sizes else []
     table = {}
     for d in sizes:
-        own = [np.array(r[0], np.float64) for r in picked if len(r[0]) == d]
-        rng = np.random.default_rng(d)
-        own += list(rng.standard_normal((PIVOTS - len(own), d)))
-        table[d] = np.stack([v / np.linalg.norm(v) for v in own])
+        own = [np.array(v, np.float64) for _, v in picked if len(v) == d]
+        units = _spread_out(np.stack([v / np.linalg.norm(v) for v in own])) if own else []
+        drawn = np.random.default_rng(d).standard_normal((PIVOTS - len(units), d))
+        table[d] = np.stack([*units, *(v / np.linalg.norm(v) for v in drawn)])
     return table
 
 

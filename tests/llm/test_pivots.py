@@ -84,3 +84,31 @@ def test_recall_on_the_table(spark):
         total += ((m @ m.T >= 0.93).sum() - len(m)) // 2
     found = sum(x["n_links"] for x in pivots.near_duplicates(rows).collect()) / 2
     assert 0.95 * total <= found <= total + 1e-6 * total
+
+
+@pytest.mark.parametrize("size,typical", [(64, 0.94), (64, 0.97), (256, 0.97)])
+def test_recall_with_a_third_of_the_rows_in_one_group_of_near_copies(spark, size, typical):
+    rng = np.random.default_rng(5)
+    m = rng.standard_normal((6000, size))
+    m[::3] = m[0] + rng.standard_normal((2000, size)) * np.sqrt((1 - typical) / typical)
+    m = m.astype(np.float32)
+    found = pivots.near_duplicates(table(spark, [(i, v, 1) for i, v in enumerate(m)]))
+    found = {r["vec_id"]: r["n_links"] for r in found.collect()}
+    units = m.astype(np.float64)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    links = (units @ units.T >= 0.93).sum(axis=1) - 1
+    assert all(found[i] <= n for i, n in enumerate(links)) and links.sum() > 1_000_000
+    assert sum(found.values()) >= 0.95 * links.sum()
+
+
+def test_recall_over_all_labels(spark):
+    rows = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").select("vec_id", "embedding", "label")
+    r = [x for x in rows.collect() if x["label"] is not None and x["embedding"] is not None and all(v is not None and math.isfinite(v) for v in x["embedding"])]
+    total = 0
+    for label in {x["label"] for x in r}:
+        m = np.array([x["embedding"] for x in r if x["label"] == label], np.float64)
+        m = m[np.abs(m).sum(1) > 0]
+        m /= np.linalg.norm(m, axis=1, keepdims=True)
+        total += ((m @ m.T >= 0.93).sum() - len(m)) // 2
+    found = sum(x["n_links"] for x in pivots.near_duplicates(rows).collect()) / 2
+    assert 0.95 * total <= found <= total + 1e-6 * total
