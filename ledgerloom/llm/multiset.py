@@ -4,7 +4,8 @@ A document is a multiset of paragraphs (its lines that are not blank). Every par
 20-bit lanes, and the fingerprint is the sum of the vectors, each lane modulo 2^20. So paragraphs can come in any
 order, be added with ``+`` and taken away with ``-`` without reading the others. A paragraph's vector has 24 lanes
 drawn from a hash of the whole paragraph, which tell multisets apart, and 63 lanes that count the set bits of the
-hashes of its runs of four words, which show how much two documents share.
+hashes of its runs of four words, one from every word on, which show how much two documents share. A word put in or
+taken out changes the runs that reach over it, and no others.
 
 Three lanes share a long, each with a spare bit that takes the carry of a sum before it is cleared.
 """
@@ -23,8 +24,8 @@ MASK = sum(LANE << s for s in SHIFTS)
 ONES = sum(1 << s for s in SHIFTS)
 EXACT_LONGS = 8
 SIGN_LONGS = 21
-# Up to four words of a line with the blanks behind them.
-RUN_PATTERN = r"(?:[^\s]+[ \t]*){1,4}"
+# At the start of every word: it and up to three words behind it in the line, looked at without being used up.
+RUN_PATTERN = r"(?<!\S)(?=(\S+(?:[ \t]+\S+){0,3}))\S"
 # Documents that are put in order together, on average.
 ROWS_PER_RANGE = 2048
 
@@ -64,7 +65,7 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     hashed = df.withColumns(
         {
             lines: F.filter(F.split(value, "\n"), lambda line: F.trim(line) != ""),
-            runs: F.transform(F.regexp_extract_all(value, F.lit(RUN_PATTERN), F.lit(0)), lambda run: F.xxhash64(run)),
+            runs: F.transform(F.regexp_extract_all(value, F.lit(RUN_PATTERN), F.lit(1)), lambda run: F.xxhash64(run)),
         }
     )
     exact = [_exact_sum(F.col(lines), n) for n in range(EXACT_LONGS)]

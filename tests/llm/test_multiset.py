@@ -1,8 +1,9 @@
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 
-from helpers import by_id, documents
+from helpers import by_id, documents, prose
 from ledgerloom.llm import multiset
 
 
@@ -64,3 +65,21 @@ def test_repeated_ids_one_row_and_none(spark):
     assert alone[0]["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest()
     same = multiset.edited_fingerprints(documents(spark, [(1, "abcd"), (1, "abcd"), (1, "abcd")])).collect()
     assert len(same) == 3 and {r["near_next"] for r in same} == {1.0}
+
+
+def test_likeness_of_copies_with_a_word_put_in_front(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    texts = [prose(rng, words, 300) for _ in range(10)]
+    rows = [(2 * n + k, f"new {t}" if k else t) for n, t in enumerate(texts) for k in (0, 1)]
+    found = by_id(multiset.edited_fingerprints(documents(spark, rows)))
+    assert min(found[2 * n]["near_next"] for n in range(10)) > 0.9
+    assert sum(found[2 * n + 1]["near_next"] for n in range(10)) / 10 < 0.3
+
+
+def test_runs_stay_within_their_line_and_leave_out_blanks_at_its_end(spark):
+    table = spark.createDataFrame([("a b c d e \t\n\nf  g\r\nh",)], "text string")
+    runs = table.select(F.regexp_extract_all("text", F.lit(multiset.RUN_PATTERN), F.lit(1))).first()[0]
+    assert runs == ["a b c d", "b c d e", "c d e", "d e", "e", "f  g", "g", "h"]
+    long = spark.createDataFrame([("x" * 3_000_000 + " y",)], "text string")
+    assert long.select(F.size(F.regexp_extract_all("text", F.lit(multiset.RUN_PATTERN), F.lit(1)))).first()[0] == 2
