@@ -147,18 +147,25 @@ def reports_of(run: RunFolder) -> str:
     return f"{run.root}/reports"
 
 
+def file_report(
+    spark: SparkSession, run: RunFolder, raw: RawTables, generated_at: dt.datetime, params: Params = DEFAULTS
+) -> list[str]:
+    """Run all checks over a build, file the report with those of earlier runs and name the checks that failed."""
+    prepare(spark)
+    texts = checks.descriptions(params.payout_discrepancy, params.take_rate)
+    results = checks.run_checks(spark, check_plans(run, raw, params), texts)
+    checks.write_report(results, reports_of(run), generated_at)
+    return [r["name"] for r in results.where(F.col("status") != "pass").orderBy("name").collect()]
+
+
 def validate(
     spark: SparkSession, run: RunFolder, raw: RawTables, generated_at: dt.datetime, params: Params = DEFAULTS
 ) -> DataFrame:
-    """Run all checks over a build and file the report with those of earlier runs.
+    """Run all checks over a build and give the filed report.
 
     The report is filed either way; a failed check raises and leaves the run unpublishable.
     """
-    prepare(spark)
-    texts = checks.descriptions(params.payout_discrepancy, params.take_rate)
-    results = checks.run_checks(spark, check_plans(run, raw, params), texts)
-    checks.write_report(results, reports_of(run), generated_at)
-    failed = [r["name"] for r in results.where(F.col("status") != "pass").orderBy("name").collect()]
+    failed = file_report(spark, run, raw, generated_at, params)
     if failed:
         raise guards.CheckError(f"checks failed: {', '.join(failed)}")
     run.checked = True

@@ -1,9 +1,13 @@
 """Every registered query against its SQL, and the shape of the plans."""
 
+from dataclasses import replace
+
 import pytest
 
 import __spark_entry__ as entry_points
+from ledgerloom.params import DEFAULTS, Band
 from ledgerloom.plans import catalog
+from ledgerloom.plans.frames import Frames
 from tools.compare import compare, connect
 
 NAMES = list(catalog.queries())
@@ -19,6 +23,13 @@ def test_query_equals_its_sql(spark, con, folder, name):
     assert compare(spark, con, folder, name) == []
 
 
+def test_the_report_shows_a_failed_check(spark, folder):
+    unmet = replace(DEFAULTS, payout_discrepancy=Band(0.90, 0.95))
+    rows = catalog.validation_report(Frames(spark, folder, unmet)).collect()
+    assert {r["name"]: r["status"] for r in rows} == {f"V{n}": "fail" if n == 4 else "pass" for n in range(1, 8)}
+    assert {(r["total"], r["passed"], r["failed"]) for r in rows} == {(7, 6, 1)}
+
+
 def test_every_query_has_sql():
     assert set(NAMES) <= set(entry_points.oracle_sql())
 
