@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import language, licenses, mixing, multiset, packing, pivots, quality, simhash, tokens, urls, vocabularies
+from ledgerloom.llm import language, licenses, mixing, multiset, packing, pivots, quality, recipes, simhash, tokens, urls, vocabularies
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,10 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return recipes.exact_duplicates(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_license_scan,
@@ -67,6 +71,7 @@ def queries() -> dict[str, Query]:
         op8_url_filter,
         op9_source_mixing,
         op10_quality_classifier,
+        op12_exact_dedup,
     )
     return {f.__name__: f for f in found}
 
@@ -105,6 +110,13 @@ FROM q
 """
 
 
+EXACT_DEDUP = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 def statements() -> dict[str, str]:
     """DuckDB SQL of the queries it can express: the others hash, learn or encode."""
-    return {"op9_source_mixing": MIXING}
+    return {"op9_source_mixing": MIXING, "op12_exact_dedup": EXACT_DEDUP}
