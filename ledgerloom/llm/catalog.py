@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import language, licenses, mixing, multiset, packing, pivots, quality, recipes, simhash, tokens, urls, vocabularies
+from ledgerloom.llm import language, licenses, mixing, multiset, packing, pivots, quality, recipes, simhash, spelling, tokens, urls, vocabularies
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,10 @@ def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return recipes.exact_duplicates(_table(spark, folder, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_license_scan,
@@ -72,6 +76,7 @@ def queries() -> dict[str, Query]:
         op9_source_mixing,
         op10_quality_classifier,
         op12_exact_dedup,
+        op13_spelling_variants,
     )
     return {f.__name__: f for f in found}
 
@@ -117,6 +122,52 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+# The CRC-32 of a text, bit by bit over its UTF-8 bytes: DuckDB has no function for it. ``points`` lists its code
+# points, all below U+0100 here.
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(flatten(list_transform({points},
+    lambda u: CASE WHEN u < 128 THEN [u::BIGINT] WHEN u < 192 THEN [194::BIGINT, u::BIGINT] ELSE [195::BIGINT, (u - 64)::BIGINT] END)),
+    lambda b: [b, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))))"""
+
+SPELLING = (
+    r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents
+), low AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS uses
+  FROM runs WHERE length(run) >= 7 GROUP BY ALL
+), marked AS (
+  SELECT run, uses, """
+    + CRC32.format(points="list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda c: unicode(c))")
+    + r""" AS h FROM low
+), v AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word,
+         sum(uses)::BIGINT AS n
+  FROM marked GROUP BY 1 HAVING length(word) >= 7 AND sum(uses) >= 2
+), less AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word)::INT + 1))::INT AS i FROM v)
+), pairs AS (
+  SELECT x.word AS a, v.word AS b FROM less x JOIN v ON x.rest = v.word
+  UNION SELECT v.word, x.word FROM less x JOIN v ON x.rest = v.word
+  UNION SELECT x.word, y.word FROM less x JOIN less y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+), near AS (
+  SELECT a, b, s.n AS n, t.n AS near_n, row_number() OVER (PARTITION BY a ORDER BY t.n DESC, b) AS place,
+         count(*) OVER (PARTITION BY a) AS n_near
+  FROM pairs JOIN v s ON a = s.word JOIN v t ON b = t.word
+), named AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * v.n THEN b END AS form,
+         CASE WHEN near_n >= 10 * v.n THEN near_n END AS form_n
+  FROM v LEFT JOIN near ON v.word = near.a AND place = 1
+), onward AS (
+  SELECT word, word AS root, form AS further FROM named
+  UNION ALL SELECT o.word, o.further, m.form FROM onward o JOIN named m ON o.further = m.word
+)
+SELECT named.word, form, root, n, n_near, form_n FROM named JOIN onward ON named.word = onward.word AND further IS NULL
+"""
+)
+
+
 def statements() -> dict[str, str]:
     """DuckDB SQL of the queries it can express: the others hash, learn or encode."""
-    return {"op9_source_mixing": MIXING, "op12_exact_dedup": EXACT_DEDUP}
+    return {"op9_source_mixing": MIXING, "op12_exact_dedup": EXACT_DEDUP, "op13_spelling_variants": SPELLING}
