@@ -68,6 +68,7 @@ def test_against_brute_force(spark, monkeypatch, symbols, lot):
     words = common * 300 + base * 30 + variants * 3 + further
     rows = [(n, prose(rng, words, 60)) for n in range(120)]
     rows += [(900, "Capital ÀCCENTS accents-accents " * 3), (901, "aaaaaaa aaaaaaaa aaaaaaa aaaaaaaa b" + "a" * 5000 + " b" + "a" * 5000)]
+    rows += [(n, "chaining " * 400 + "chainings " * 40 + "chaininges " * 2) for n in range(910, 914)]
     expected = brute(rows)
     assert found(spark, rows, symbols=symbols) == expected
     assert any(root != form for _, form, root, *_ in expected if form) and any(form is None for _, form, *_ in expected)
