@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import language, licenses, mixing, multiset, packing, pivots, quality, recipes, simhash, spelling, tokens, urls, vocabularies
+from ledgerloom.llm import conversations, language, licenses, mixing, multiset, packing, pivots, quality, recipes, simhash, spelling, tokens, urls, vocabularies
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,10 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.prefix_trie(_table(spark, folder, "conversations"))
+
+
 def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return recipes.exact_duplicates(_table(spark, folder, "documents"))
 
@@ -75,6 +79,7 @@ def queries() -> dict[str, Query]:
         op8_url_filter,
         op9_source_mixing,
         op10_quality_classifier,
+        op11_prefix_trie,
         op12_exact_dedup,
         op13_spelling_variants,
     )
@@ -167,7 +172,51 @@ SELECT named.word, form, root, n, n_near, form_n FROM named JOIN onward ON named
 """
 )
 
+PREFIX_TRIE = (
+    r"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, """
+    + CRC32.format(points="list_transform(string_split(conv_id::VARCHAR, ''), lambda c: unicode(c))")
+    + r""" % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)
+), lent AS (
+  SELECT c.conv_id, o.pos, role, text FROM convs c JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 5 AND o.pos < h
+), rebuilt AS (
+  SELECT * FROM lent
+  UNION ALL
+  SELECT o.conv_id, o.pos - h + (SELECT count(*) FROM lent l WHERE l.conv_id = o.conv_id), role, text
+  FROM own o JOIN convs c ON o.conv_id = c.conv_id AND o.pos >= h
+), prefixes AS (
+  SELECT conv_id, pos + 1 AS depth, strlen(text) AS n_bytes,
+         list({role: role, text: text}) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS turns
+  FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, [] FROM convs
+), nodes AS (
+  SELECT depth, turns, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n_bytes) AS n_bytes FROM prefixes GROUP BY depth, turns
+), above AS (
+  SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id
+  FROM nodes n JOIN nodes p ON p.depth = n.depth - 1 AND p.turns = n.turns[:n.depth - 1]
+), counted AS (
+  SELECT n.*, (SELECT count(*) FROM above a WHERE a.parent_conv_id = n.conv_id AND a.depth = n.depth + 1) AS n_children FROM nodes n
+), sums AS (
+  SELECT top.conv_id, top.depth, count(*) FILTER (low.n_children = 0) AS n_leaves, sum((low.n_convs - 1) * low.n_bytes)::BIGINT AS saved_tokens
+  FROM nodes top JOIN counted low ON low.depth >= top.depth AND low.turns[:top.depth] = top.turns
+  GROUP BY ALL
+), ends AS (
+  SELECT turns, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+  FROM prefixes p WHERE depth = (SELECT max(depth) FROM prefixes q WHERE q.conv_id = p.conv_id) GROUP BY turns
+)
+SELECT c.conv_id, c.depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM counted c JOIN sums USING (conv_id, depth) LEFT JOIN above USING (conv_id, depth) LEFT JOIN ends ON c.turns = ends.turns
+"""
+)
+
 
 def statements() -> dict[str, str]:
     """DuckDB SQL of the queries it can express: the others hash, learn or encode."""
-    return {"op9_source_mixing": MIXING, "op12_exact_dedup": EXACT_DEDUP, "op13_spelling_variants": SPELLING}
+    return {"op9_source_mixing": MIXING, "op11_prefix_trie": PREFIX_TRIE, "op12_exact_dedup": EXACT_DEDUP, "op13_spelling_variants": SPELLING}
