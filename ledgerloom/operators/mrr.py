@@ -49,9 +49,8 @@ def _change(month: Column, cents: Column) -> Column:
     return F.struct(month.alias("month"), cents.alias("delta"))
 
 
-def _levels(subscriptions: DataFrame, calendar: DataFrame) -> DataFrame:
+def _levels(subscriptions: DataFrame, bounds: DataFrame) -> DataFrame:
     """Change months of every brand: month, last month before the next change, level, level before."""
-    bounds = spine_bounds(subscriptions, calendar)
     spans = subscriptions.select(
         "brand_id",
         month_of(F.col("start_date")).alias("_start"),
@@ -96,7 +95,7 @@ def _levels(subscriptions: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def brand_month_mrr(subscriptions: DataFrame, calendar: DataFrame) -> DataFrame:
     """Revenue of every spine month: the subscriptions active on any day of it."""
-    return _levels(subscriptions, calendar).select(
+    return _levels(subscriptions, spine_bounds(subscriptions, calendar)).select(
         "brand_id",
         F.explode(month_sequence(F.col("month"), F.col("until"))).alias("month_start_date"),
         F.col("level").alias("mrr_cents"),
@@ -109,7 +108,12 @@ def mrr_waterfall(subscriptions: DataFrame, calendar: DataFrame) -> DataFrame:
     New revenue exists only in the first month of the spine, where there is no
     month before; a later rise from 0 shows in the closing level alone.
     """
-    levels = _levels(subscriptions, calendar)
+    return waterfall_between(subscriptions, spine_bounds(subscriptions, calendar))
+
+
+def waterfall_between(subscriptions: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The waterfall of some brands over the months of ``bounds`` (first_month, last_month; one row)."""
+    levels = _levels(subscriptions, bounds)
     spread = levels.select(
         "*", F.posexplode(month_sequence(F.col("month"), F.col("until"))).alias("_age", "month_start_date")
     )

@@ -12,14 +12,20 @@ from ledgerloom.functions.keys import with_dense_key
 from ledgerloom.operators import audits, calendar, checks, guards, loading, mrr, quarantine, reports
 from ledgerloom.operators import subscriptions as subs
 from ledgerloom.plans import build as full_build
+from ledgerloom.plans import refresh
 from ledgerloom.plans.frames import Frames, StoredFrames
 from ledgerloom.session import scratch_path
 from ledgerloom.sources.files import load_raw, write_raw
+from ledgerloom.sources.keyed import KeyedTable
 from ledgerloom.sources.schemas import RAW_PAYMENTS
 from ledgerloom.sources.tables import RunFolder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# What the queries over repeated loads hold back at first.
+EARLY_DAY = dt.date(1996, 3, 15)
+LATE_PAYMENT = "payment_id % 997 = 5"
+
 _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {}
 
 
@@ -328,6 +334,51 @@ def validation_report(f: Frames) -> DataFrame:
     )
 
 
+# Repeated loads
+
+
+@_query
+def insert_absent_subscriptions(f: Frames) -> DataFrame:
+    """Spans known on a day, then all spans, then all again: a stored subscription stays as it was first loaded."""
+    table = KeyedTable(f.spark, scratch_path(f.spark, "subscriptions"), ["subscription_id"], f.subscriptions.schema)
+    early = subs.stage_subscriptions(f.resolved.where(F.col("event_date") < F.lit(EARLY_DAY)))
+    for spans in (early, f.subscriptions, f.subscriptions):
+        table.insert_absent(spans)
+    return table.read()
+
+
+@_query
+def insert_absent_days(f: Frames) -> DataFrame:
+    """The calendar of the orders up to a day, then of all orders: days are added at both ends and none twice."""
+    every = calendar.dim_date_around(f.raw.orders, "o_orderdate", 6, 16)
+    table = KeyedTable(f.spark, scratch_path(f.spark, "days"), ["date_day"], every.schema, buckets=4)
+    early = calendar.dim_date_around(f.raw.orders.where(F.col("o_orderdate") < F.lit(EARLY_DAY)), "o_orderdate", 2, 0)
+    for days in (early, every):
+        table.insert_absent(days)
+    return table.read()
+
+
+@_query
+def refresh_daily_financials(f: Frames) -> DataFrame:
+    """The daily mart after some payments arrived late, and which of its days were rebuilt."""
+    table = refresh.daily_table(f.spark, scratch_path(f.spark, "daily"), f.daily.schema)
+    refresh.refresh_daily(table, f.ledger.where(~F.expr(LATE_PAYMENT)))
+    touched = refresh.refresh_daily(table, f.ledger).select(F.col("entry_date").alias("touched"))
+    rebuilt = table.read().join(touched, F.col("entry_date") == F.col("touched"), "left")
+    return rebuilt.withColumn("rebuilt", F.col("touched").isNotNull()).drop("touched")
+
+
+@_query
+def refresh_mrr_waterfall(f: Frames) -> DataFrame:
+    """The waterfall after the subscriptions of some brands were corrected, and which brand groups were rebuilt."""
+    table = refresh.waterfall_table(f.spark, scratch_path(f.spark, "waterfall"), f.waterfall.schema)
+    corrected = F.when(F.col("brand_id") % 50 == 7, F.col("mrr_cents") + 1).otherwise(F.col("mrr_cents"))
+    refresh.refresh_waterfall(table, f.subscriptions.withColumn("mrr_cents", corrected), f.raw.dim_date)
+    touched = refresh.refresh_waterfall(table, f.subscriptions, f.raw.dim_date).select(F.col("brand_group").alias("touched"))
+    rebuilt = table.read().join(touched, F.col("brand_group") == F.col("touched"), "left")
+    return rebuilt.withColumn("rebuilt", F.col("touched").isNotNull()).drop("touched", "brand_group")
+
+
 # Reports
 
 
@@ -451,6 +502,8 @@ _WIDE = {
     "check_gmv_completeness",
     "check_ledger_balance",
     "check_no_test_in_mart",
+    "insert_absent_subscriptions",
+    "refresh_mrr_waterfall",
     "audit_not_null",
     "audit_domain",
     "audit_unique",

@@ -261,6 +261,31 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT * FROM (SELECT *, lead(mrr_start_cents) OVER (PARTITION BY brand_id ORDER BY month_start_date)
             AS next_start FROM waterfall) WHERE next_start <> mrr_end_cents""",
     ),
+    "early_spans": (
+        ("resolved",),
+        """SELECT brand_id, plan_name, billing_period, amount_cents, event_date AS start_date
+        FROM resolved WHERE event_type = 'subscription_created' AND event_date < DATE '1996-03-15' GROUP BY ALL""",
+    ),
+    "early_subscriptions": (
+        ("early_spans", "resolved"),
+        """SELECT sha256(brand_id || '|' || plan_name || '|' || start_date) AS subscription_id, s.*, end_date,
+        CAST(CASE billing_period WHEN 'annual' THEN amount_cents // 12 ELSE amount_cents END AS BIGINT) AS mrr_cents
+        FROM early_spans s LEFT JOIN (SELECT brand_id, plan_name, min(event_date) AS end_date FROM resolved
+            WHERE event_type = 'cancellation' AND event_date < DATE '1996-03-15' GROUP BY ALL) USING (brand_id, plan_name)
+        QUALIFY row_number() OVER (PARTITION BY subscription_id ORDER BY billing_period, amount_cents) = 1""",
+    ),
+    "days_of_orders": (
+        (),
+        """SELECT d AS date_day, year(d)::INT AS year, quarter(d)::INT AS quarter, month(d)::INT AS month,
+        weekofyear(d)::INT AS week, dayofweek(d)::INT AS day_of_week, dayofweek(d) IN (0, 6) AS is_weekend,
+        date_trunc('month', d)::DATE AS month_start, last_day(d) AS month_end, load_no
+        FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY))::DATE AS d, load_no FROM (
+            SELECT date_trunc('month', min(o_orderdate)) - INTERVAL 6 MONTH AS lo,
+            date_trunc('month', max(o_orderdate)) + INTERVAL 17 MONTH - INTERVAL 1 DAY AS hi, 2 AS load_no FROM orders
+            UNION ALL SELECT date_trunc('month', min(o_orderdate)) - INTERVAL 2 MONTH,
+            date_trunc('month', max(o_orderdate)) + INTERVAL 1 MONTH - INTERVAL 1 DAY, 1 FROM orders
+            WHERE o_orderdate < DATE '1996-03-15'))""",
+    ),
     "months": (
         ("daily",),
         """SELECT date_trunc('month', entry_date)::DATE AS month, sum(gmv_cents)::BIGINT AS gmv_cents,
@@ -579,6 +604,22 @@ def statements() -> dict[str, str]:
         "check_no_test_in_mart": _columns("*", "v6"),
         "check_take_rate_range": _columns("*", "v7"),
         "validation_report": _report(),
+        "insert_absent_subscriptions": _statement(
+            ("early_subscriptions", "subscriptions"),
+            """SELECT * EXCLUDE (amount_cents), 1 AS load_no FROM early_subscriptions
+            UNION ALL SELECT * EXCLUDE (sources, amount_cents), 2 FROM subscriptions
+            WHERE subscription_id NOT IN (SELECT subscription_id FROM early_subscriptions)""",
+        ),
+        "insert_absent_days": _statement(
+            ("days_of_orders",),
+            "SELECT * FROM days_of_orders QUALIFY row_number() OVER (PARTITION BY date_day ORDER BY load_no) = 1",
+        ),
+        "refresh_daily_financials": _columns(
+            "*, entry_date IN (SELECT entry_date FROM ledger WHERE payment_id % 997 = 5) AS rebuilt", "daily"
+        ),
+        "refresh_mrr_waterfall": _columns(
+            "*, brand_id % 64 IN (SELECT brand_id % 64 FROM subscriptions WHERE brand_id % 50 = 7) AS rebuilt", "waterfall"
+        ),
         "monthly_financials": _columns("*", "months"),
         "monthly_mrr_waterfall": _columns("*", "movements"),
         "net_revenue_retention": _statement(

@@ -7,6 +7,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any file system that Spark reads."""
+    place, system = _place(spark, path)
+    return system.exists(place)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this library's own tables, if it is there."""
+    place, system = _place(spark, path)
+    system.delete(place, True)
+
+
 class RunFolder:
     """The tables of one build, each written once and read back.
 
@@ -18,7 +35,8 @@ class RunFolder:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.run_id = uuid.uuid4().hex
+        # The letter keeps Spark from taking an id of digits for a number.
+        self.run_id = f"r{uuid.uuid4().hex}"
         self.tables: dict[str, DataFrame] = {}
         self.checked = False
 
