@@ -19,6 +19,8 @@ from ledgerloom.sources.files import load_raw, write_raw
 from ledgerloom.sources.keyed import KeyedTable
 from ledgerloom.sources.schemas import RAW_PAYMENTS
 from ledgerloom.sources.tables import RunFolder
+from ledgerloom.streaming import intake
+from ledgerloom.streaming import staging as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -358,6 +360,19 @@ def insert_absent_days(f: Frames) -> DataFrame:
     return table.read()
 
 
+@_query
+def streamed_subscriptions(f: Frames) -> DataFrame:
+    """Subscriptions of the events as a stream of three batches, in which some rows come again and some far too late."""
+    spark, events = f.spark, f.raw.raw_subscription_events
+    arriving, out, checkpoint = (scratch_path(spark, name) for name in ("arriving", "streamed", "stream"))
+    early, again, late = (F.expr(x) for x in ("year(event_at) <= 1994", "event_id % 10 = 4", "event_id % 50 = 6"))
+    for batch in (early & ~late, ~early | again, late):
+        events.where(batch).write.mode("append").parquet(arriving)
+        stream = intake.event_stream(spark, arriving)
+        streaming.start_staging(stream, out, checkpoint, "30 days").awaitTermination()
+    return streaming.staged_subscriptions(spark, out, f.raw.dim_brand, f.params.as_of)
+
+
 @_query
 def refresh_daily_financials(f: Frames) -> DataFrame:
     """The daily mart after some payments arrived late, and which of its days were rebuilt."""

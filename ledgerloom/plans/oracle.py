@@ -610,6 +610,7 @@ def statements() -> dict[str, str]:
             UNION ALL SELECT * EXCLUDE (sources, amount_cents), 2 FROM subscriptions
             WHERE subscription_id NOT IN (SELECT subscription_id FROM early_subscriptions)""",
         ),
+        "streamed_subscriptions": _columns("* EXCLUDE (sources, amount_cents)", "subscriptions"),
         "insert_absent_days": _statement(
             ("days_of_orders",),
             "SELECT * FROM days_of_orders QUALIFY row_number() OVER (PARTITION BY date_day ORDER BY load_no) = 1",
