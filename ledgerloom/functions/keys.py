@@ -78,3 +78,29 @@ def with_group_sequence(
         .withColumn(name, F.col("_offset") + F.col("_position"))
         .drop("_low", "_high", "_offset", "_position")
     )
+
+
+# Equal rows that are numbered in one array at most.
+RUN_ROWS = 10_000
+
+
+def with_row_key(df: DataFrame, name: str) -> DataFrame:
+    """Add a key of every row: 32 hex characters of the SHA-256 of its values and of its number among equal rows.
+
+    Equal rows shrink to one with a count in the map tasks and are spread out again, so a row with very many copies is
+    no hot key, and the same rows get the same keys in every run, however they are dealt. The key of a row does not
+    depend on other rows than its copies. Key columns must be of types that have a text form.
+    """
+    columns = df.columns
+    counted = df.groupBy(*(f"`{c}`" for c in columns)).agg(F.count(F.lit(1)).alias("_rows"))
+    runs = F.sequence(F.lit(0).cast("long"), F.expr(f"(_rows - 1) div {RUN_ROWS}"))
+    inside = F.least(F.lit(RUN_ROWS).cast("long"), F.col("_rows") - F.col("_run") * RUN_ROWS)
+    spread = (
+        counted.withColumn("_run", F.explode(runs))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), inside)))
+        .withColumn("_copy", F.col("_run") * RUN_ROWS + F.col("_copy"))
+    )
+    # A value and its length: no two rows have one text.
+    values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in columns]
+    text = F.concat_ws("|", *(part for v in values for part in (F.length(v).cast("string"), v)), F.col("_copy").cast("string"))
+    return spread.select(*(f"`{c}`" for c in columns), F.substring(F.sha2(text, 256), 1, 32).alias(name))

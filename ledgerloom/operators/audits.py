@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import month_of
@@ -93,8 +93,8 @@ NOT_NULL: dict[str, tuple[str, ...]] = {
         "mrr_cents",
     ),
     "stg_subscription_source_arrays": ("subscription_id", "part_no", "event_ids"),
-    "stg_unmatched_events": ("source_table", "source_row_id", "reason", "raw_payload"),
-    "stg_ledger_entries": ("payment_id", "entry_type", "amount_cents", "entry_date"),
+    "stg_unmatched_events": ("unmatched_id", "source_table", "source_row_id", "reason", "raw_payload"),
+    "stg_ledger_entries": ("ledger_id", "payment_id", "entry_type", "amount_cents", "entry_date"),
     "mart_daily_financials": (
         "entry_date",
         "gmv_cents",
@@ -152,6 +152,8 @@ UNIQUE: dict[str, tuple[tuple[str, ...], ...]] = {
     "raw_payouts": (("payout_id",),),
     "stg_subscriptions": (("subscription_id",),),
     "stg_subscription_source_arrays": (("subscription_id", "part_no"),),
+    "stg_unmatched_events": (("unmatched_id",),),
+    "stg_ledger_entries": (("ledger_id",),),
     "mart_daily_financials": (("entry_date",),),
     "mart_monthly_subscriptions": (("brand_id", "month_start_date"),),
 }
@@ -221,6 +223,30 @@ def audit_length(tables: Tables) -> DataFrame:
     )
 
 
+def rule_counts(name: str) -> dict[str, Column]:
+    """Aggregates that count the rows of a table and what breaks its NOT NULL, domain and length rules.
+
+    Made to be observed while the table is written, so that no scan follows.
+    """
+    found = {"rows": F.count(F.lit(1))}
+    found |= {f"not_null:{c}": F.count_if(F.col(c).isNull()) for c in NOT_NULL.get(name, ())}
+    found |= {f"domain:{c}": F.count_if(~F.expr(rule)) for c, rule in DOMAINS.get(name, {}).items()}
+    if name in LENGTHS:
+        found[f"length:{LENGTHS[name]}"] = F.count_if(F.length(LENGTHS[name]) > EXTERNAL_ID_LENGTHS[LENGTHS[name]])
+    return found
+
+
+def audit_observed(spark: SparkSession, figures: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """The counts of :func:`rule_counts` of several tables, a row for each rule."""
+    rows = [
+        (table, *key.split(":"), counts["rows"], value)
+        for table, counts in sorted(figures.items())
+        for key, value in counts.items()
+        if ":" in key
+    ]
+    return spark.createDataFrame(rows, "table_name string, rule string, column_name string, total_rows long, violations long")
+
+
 def audit_unique(tables: Tables) -> DataFrame:
     """Keys that occur more than once and the rows too many."""
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.branches import run_together
 from ledgerloom.functions.money import total
 from ledgerloom.operators.mrr import with_next_opening
 from ledgerloom.operators.payments import with_entity_keys
@@ -149,17 +151,19 @@ def as_result(name: str, checked: DataFrame, description: str) -> DataFrame:
 def run_checks(
     spark: SparkSession, checks: Mapping[str, Callable[[], DataFrame]], texts: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Run every check, whatever the others do; an exception is a failed check.
+    """Run every check, whatever the others do, side by side; an exception is a failed check.
 
     Only the one row of each check reaches the driver.
     """
-    rows = []
-    for name, check in checks.items():
+
+    def result(name: str, check: Callable[[], DataFrame]) -> tuple:
         try:
-            rows.append(tuple(as_result(name, check(), (texts or {}).get(name, name)).first()))
+            return tuple(as_result(name, check(), (texts or {}).get(name, name)).first())
         except Exception as error:  # noqa: BLE001 - any failure is a result here
-            rows.append((name, "fail", {"error": str(error)}))
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+            return name, "fail", {"error": str(error)}
+
+    found = run_together(spark, {name: partial(result, name, check) for name, check in checks.items()})
+    return spark.createDataFrame([found[name] for name in checks], RESULT_SCHEMA)
 
 
 def summarise(results: DataFrame, generated_at: dt.datetime) -> DataFrame:

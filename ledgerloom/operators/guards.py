@@ -64,6 +64,12 @@ def broken_months(waterfall: DataFrame) -> DataFrame:
     return continuity_breaks(waterfall).agg(F.count(F.lit(1)).alias("violations"))
 
 
+def require_none(count: int, message: str) -> None:
+    """Raise if a figure gathered while a table was written counts violations."""
+    if count:
+        raise InvariantError(f"{message}: {count}")
+
+
 def require(checked: DataFrame, message: str, error: type[InvariantError] = InvariantError) -> None:
     """Raise if the one row of a guard counts violations."""
     row = checked.first()
@@ -71,7 +77,7 @@ def require(checked: DataFrame, message: str, error: type[InvariantError] = Inva
         raise error(f"{message}: {row.asDict()}")
 
 
-def require_rows(df: DataFrame, message: str) -> None:
+def require_rows(count: int, message: str) -> None:
     """Raise if a table came out empty."""
-    if df.isEmpty():
+    if not count:
         raise InvariantError(message)

@@ -5,11 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, fields, replace
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import checks, financials, guards, ledger, mrr, payments, quarantine, subscriptions
+from ledgerloom.branches import run_together
+from ledgerloom.functions.keys import with_row_key
+from ledgerloom.operators import audits, checks, financials, guards, ledger, mrr, payments, quarantine, subscriptions
 from ledgerloom.operators.calendar import calendar_of, dim_date
 from ledgerloom.params import DEFAULTS, Params
 from ledgerloom.session import prepare
@@ -58,61 +61,130 @@ def read_raw(spark: SparkSession, folder: str, params: Params = DEFAULTS) -> Raw
     )
 
 
+# The audited names of the raw tables.
+AUDITED_AS = {
+    "events": "raw_subscription_events",
+    "payments": "raw_payments",
+    "payouts": "raw_payouts",
+    "brands": "dim_brand",
+    "creators": "dim_creator",
+    "calendar": "dim_date",
+}
+
+
+def _keep(run: RunFolder, name: str, df: DataFrame, **more: Column) -> DataFrame:
+    """Store a table; the counts of its rules are gathered in the same pass."""
+    return run.keep(name, df, audits.rule_counts(name) | more)
+
+
 def load(run: RunFolder, raw: RawTables, expected: Mapping[str, int] | None = None) -> RawTables:
     """Store the raw tables as parquet, so that every step reads typed columns.
 
-    ``expected`` may give the rows a table must have received; the stored files
-    know their row counts, so comparing costs no scan.
+    ``expected`` may give the rows a table must have received. They are counted while the tables are written, as are
+    the rows that break the rules of a table (``run.figures``, by the audited name of the table).
     """
     prepare(run.spark)
     given = {f.name: getattr(raw, f.name) for f in fields(raw) if getattr(raw, f.name) is not None}
-    stored = RawTables(**{name: run.keep(f"raw_{name}", df) for name, df in given.items()})
+
+    def store(name: str) -> DataFrame:
+        stored = run.keep(f"raw_{name}", given[name], audits.rule_counts(AUDITED_AS[name]))
+        run.figures[AUDITED_AS[name]] = run.figures.pop(f"raw_{name}")
+        return stored
+
+    stored = RawTables(**run_together(run.spark, {name: partial(store, name) for name in given}))
     for name, rows in (expected or {}).items():
-        loaded = getattr(stored, name).count()
+        loaded = run.figures[AUDITED_AS[name]]["rows"]
         if loaded != rows:
             raise guards.InvariantError(f"{name}: {loaded} rows loaded, {rows} expected")
     return stored
 
 
-def stage(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> None:
-    """Write the staging tables and the ledger; stop on a broken invariant."""
-    prepare(run.spark)
+def _stage_subscriptions(run: RunFolder, raw: RawTables, params: Params) -> None:
     resolved = run.keep("resolved_events", subscriptions.resolved_events(raw.events, raw.brands, params.as_of))
     sources = run.keep("stg_subscription_sources", subscriptions.subscription_sources(resolved))
-    spans = subscriptions.stage_subscriptions(resolved)
-    spans = run.keep("stg_subscriptions", subscriptions.with_source_counts(spans, sources))
-    run.keep("stg_subscription_source_arrays", subscriptions.source_array_parts(sources))
-    guards.require(guards.missing_brands(spans), "subscriptions without a brand")
-    guards.require(guards.missing_start_dates(spans), "subscriptions without a start date")
 
+    def spans() -> None:
+        made = subscriptions.with_source_counts(subscriptions.stage_subscriptions(resolved), sources)
+        _keep(run, "stg_subscriptions", made)
+        seen = run.figures["stg_subscriptions"]
+        guards.require_none(seen["not_null:brand_id"], "subscriptions without a brand")
+        guards.require_none(seen["not_null:start_date"], "subscriptions without a start date")
+
+    def arrays() -> None:
+        _keep(run, "stg_subscription_source_arrays", subscriptions.source_array_parts(sources))
+
+    run_together(run.spark, {"spans": spans, "arrays": arrays})
+
+
+def _stage_payments(run: RunFolder, raw: RawTables, params: Params) -> None:
     # Staging and quarantine both need the keys, so the two joins run once.
     keyed = run.keep("keyed_payments", payments.with_entity_keys(raw.payments, raw.brands, raw.creators))
-    staged = run.keep("stg_payments", payments.stage_keyed_payments(keyed))
-    guards.require(guards.mixed_case_statuses(staged), "payment statuses that are not lower case")
 
-    run.keep("stg_payouts", payments.stage_payouts(raw.payouts, staged, raw.creators))
-    unmatched = quarantine.unmatched_rows(raw.events, keyed, raw.brands)
-    run.keep("stg_unmatched_events", quarantine.with_quarantine_time(unmatched, params.as_of))
-    entries = run.keep("stg_ledger_entries", ledger.ledger_entries(staged, raw.payouts))
-    guards.require_rows(entries, "the ledger is empty: no live payment was staged")
+    def quarantined() -> None:
+        unmatched = with_row_key(quarantine.unmatched_rows(raw.events, keyed, raw.brands), "unmatched_id")
+        _keep(run, "stg_unmatched_events", quarantine.with_quarantine_time(unmatched, params.as_of))
 
+    def staged() -> None:
+        is_mixed = F.count_if(F.col("status") != F.lower("status"))
+        made = _keep(run, "stg_payments", payments.stage_keyed_payments(keyed), mixed_case=is_mixed)
+        guards.require_none(run.figures["stg_payments"]["mixed_case"], "payment statuses that are not lower case")
+        run_together(
+            run.spark,
+            {
+                "payouts": lambda: _keep(run, "stg_payouts", payments.stage_payouts(raw.payouts, made, raw.creators)),
+                "ledger": lambda: _keep(
+                    run, "stg_ledger_entries", with_row_key(ledger.ledger_entries(made, raw.payouts), "ledger_id")
+                ),
+            },
+        )
+        guards.require_rows(run.figures["stg_ledger_entries"]["rows"], "the ledger is empty: no live payment was staged")
+
+    run_together(run.spark, {"quarantine": quarantined, "payments": staged})
 
-def build_marts(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> None:
-    """Write both marts; stop on a broken invariant."""
-    daily = run.keep("mart_daily_financials", financials.daily_financials(run.tables["stg_ledger_entries"]))
-    guards.require_rows(daily, "the daily mart is empty")
-    guards.require(guards.take_rate_extremes(daily, params.take_rate), "gross take rate outside its band")
 
+def stage(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> None:
+    """Write the staging tables and the ledger, what does not depend on each other side by side.
+
+    Stops on a broken invariant. Guards look at figures gathered while the tables were written.
+    """
+    prepare(run.spark)
+    run_together(
+        run.spark,
+        {
+            "subscriptions": lambda: _stage_subscriptions(run, raw, params),
+            "payments": lambda: _stage_payments(run, raw, params),
+        },
+    )
+
+
+def _build_daily(run: RunFolder, params: Params) -> None:
+    rates = {"low": F.min("take_rate_gross").cast("double"), "high": F.max("take_rate_gross").cast("double")}
+    _keep(run, "mart_daily_financials", financials.daily_financials(run.tables["stg_ledger_entries"]), **rates)
+    seen = run.figures["mart_daily_financials"]
+    guards.require_rows(seen["rows"], "the daily mart is empty")
+    low, high = seen["low"], seen["high"]
+    if low is not None and (low < params.take_rate.low or high > params.take_rate.high):
+        raise guards.InvariantError(f"gross take rate outside its band: {low} to {high}")
+
+
+def _build_waterfall(run: RunFolder, raw: RawTables, params: Params) -> None:
     spans = run.tables["stg_subscriptions"]
     calendar = raw.calendar
     if calendar is None:
         calendar = calendar_of(spans, params.months_before, params.months_after)
     guards.require(guards.spans_outside(spans, calendar), "subscriptions outside the calendar")
-    waterfall = run.keep("mart_monthly_subscriptions", mrr.mrr_waterfall(spans, calendar))
-    guards.require_rows(waterfall, "the monthly mart is empty")
+    waterfall = _keep(run, "mart_monthly_subscriptions", mrr.mrr_waterfall(spans, calendar))
+    guards.require_rows(run.figures["mart_monthly_subscriptions"]["rows"], "the monthly mart is empty")
     guards.require(guards.broken_months(waterfall), "months that do not continue each other", guards.ContinuityError)
 
 
+def build_marts(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> None:
+    """Write both marts side by side; stop on a broken invariant."""
+    run_together(
+        run.spark, {"daily": lambda: _build_daily(run, params), "waterfall": lambda: _build_waterfall(run, raw, params)}
+    )
+
+
 def check_plans(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> dict[str, Callable[[], DataFrame]]:
     """The reconciliation checks over the tables of a run."""
     t = run.tables

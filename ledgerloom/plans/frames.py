@@ -84,51 +84,20 @@ class Frames:
 
 
 class StoredFrames(Frames):
-    """The same tables, each derived once, on first use, and read back from its files by all that need it.
+    """The same tables; events and spans are derived once, on first use, and read back by all that need them.
 
-    For results over many tables: what they share is then computed once. The
-    files lie in one folder under the shared scratch root, to be removed by its owner.
+    For results that read the spans three times or more. The files lie in one
+    folder under the shared scratch root, to be removed by its owner.
     """
 
     def __init__(self, spark: SparkSession, folder: str, params: Params = DEFAULTS):
         super().__init__(spark, folder, params)
         self.run = RunFolder(spark, scratch_path(spark, "stored"))
 
-    def _stored(self, name: str) -> DataFrame:
-        return self.run.keep(name, getattr(Frames, name).func(self))
-
-    @cached_property
-    def campaigns(self) -> DataFrame:
-        return self._stored("campaigns")
-
     @cached_property
     def resolved(self) -> DataFrame:
-        return self._stored("resolved")
+        return self.run.keep("resolved", Frames.resolved.func(self))
 
     @cached_property
     def subscriptions(self) -> DataFrame:
-        return self._stored("subscriptions")
-
-    @cached_property
-    def source_arrays(self) -> DataFrame:
-        return self._stored("source_arrays")
-
-    @cached_property
-    def payments(self) -> DataFrame:
-        return self._stored("payments")
-
-    @cached_property
-    def unmatched(self) -> DataFrame:
-        return self._stored("unmatched")
-
-    @cached_property
-    def ledger(self) -> DataFrame:
-        return self._stored("ledger")
-
-    @cached_property
-    def daily(self) -> DataFrame:
-        return self._stored("daily")
-
-    @cached_property
-    def waterfall(self) -> DataFrame:
-        return self._stored("waterfall")
+        return self.run.keep("subscriptions", Frames.subscriptions.func(self))

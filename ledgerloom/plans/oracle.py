@@ -369,12 +369,28 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
 }
 
+
+
+def _row_key(view: str, columns: str, name: str) -> str:
+    """``view`` with the key of its rows: lengths and values, joined by bars, and the number among equal rows."""
+    values = [f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in columns.split(", ")]
+    text = ", ".join(part for v in values for part in (f"length({v})", v))
+    return f"""SELECT {columns}, substr(sha256(concat_ws('|', {text},
+        row_number() OVER (PARTITION BY {columns}))), 1, 32) AS {name} FROM {view}"""
+
+
+_VIEWS["keyed_ledger"] = (("ledger",), _row_key("ledger", "payment_id, entry_type, amount_cents, entry_date", "ledger_id"))
+_VIEWS["keyed_unmatched"] = (
+    ("unmatched",),
+    _row_key("unmatched", "source_table, source_row_id, reason, raw_payload", "unmatched_id"),
+)
+
 _AUDITED = {
     "raw_subscription_events": "raw_events",
     "stg_subscriptions": "subscriptions",
     "stg_subscription_source_arrays": "source_parts",
-    "stg_unmatched_events": "unmatched",
-    "stg_ledger_entries": "ledger",
+    "stg_unmatched_events": "keyed_unmatched",
+    "stg_ledger_entries": "keyed_ledger",
     "mart_daily_financials": "daily",
     "mart_monthly_subscriptions": "waterfall",
 }
@@ -434,6 +450,19 @@ def _audits() -> dict[str, str]:
         "audit_not_null": _counted({t: {c: f"{c} IS NULL" for c in columns} for t, columns in NOT_NULL.items()}),
         "audit_domain": _counted({t: {c: f"NOT ({rule})" for c, rule in rules.items()} for t, rules in DOMAINS.items()}),
         "audit_length": _counted({t: {c: f"length({c}) > {EXTERNAL_ID_LENGTHS[c]}"} for t, c in LENGTHS.items()}),
+        "audit_observed": _statement(
+            tuple(_audit_view(t) for t in NOT_NULL),
+            "\nUNION ALL ".join(
+                f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{column}' AS column_name, count(*) AS total_rows, "
+                f"count(*) FILTER ({broken}) AS violations FROM {_audit_view(table)}"
+                for table, rule, column, broken in [
+                    *((t, "not_null", c, f"{c} IS NULL") for t, columns in NOT_NULL.items() for c in columns),
+                    *((t, "domain", c, f"NOT ({text})") for t, rules in DOMAINS.items() for c, text in rules.items()),
+                    *((t, "length", c, f"length({c}) > {EXTERNAL_ID_LENGTHS[c]}") for t, c in LENGTHS.items()),
+                ]
+                if table != "raw_campaigns"
+            ),
+        ),
         "audit_unique": _statement(tuple(_audit_view(t) for t in UNIQUE), "\nUNION ALL ".join(unique)),
         "audit_foreign_keys": _statement(linked, "\nUNION ALL ".join(orphans)),
     }
@@ -586,6 +615,8 @@ def statements() -> dict[str, str]:
             }
         ),
         "ledger_entries": _columns("*", "ledger"),
+        "ledger_entry_ids": _columns("*", "keyed_ledger"),
+        "unmatched_row_ids": _columns("*", "keyed_unmatched"),
         "mart_daily_financials": _columns("*", "daily"),
         "assert_take_rate_band": _columns(
             "min(take_rate_gross) AS min_take_rate, max(take_rate_gross) AS max_take_rate, "

@@ -43,6 +43,8 @@ def local_session(cores: int | str = 8, app: str = "ledgerloom", memory: str = "
         .config("spark.sql.shuffle.partitions", str(cores))
         # Small test data still spreads over the cores.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # Branches of a build share the cores.
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in REQUIRED.items():

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def _place(spark: SparkSession, path: str):
@@ -38,15 +40,25 @@ class RunFolder:
         # The letter keeps Spark from taking an id of digits for a number.
         self.run_id = f"r{uuid.uuid4().hex}"
         self.tables: dict[str, DataFrame] = {}
+        self.figures: dict[str, dict[str, object]] = {}
         self.checked = False
 
     def location(self, name: str) -> str:
         return f"{self.root}/{name}/run_id={self.run_id}"
 
-    def keep(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a table and return it as read from its files."""
+    def keep(self, name: str, df: DataFrame, figures: Mapping[str, Column] | None = None) -> DataFrame:
+        """Write a table and return it as read from its files.
+
+        ``figures`` are aggregates over its rows, gathered in the pass that writes them; see ``self.figures``.
+        """
+        schema, seen = df.schema, None
+        if figures:
+            seen = Observation()
+            df = df.observe(seen, *(value.alias(key) for key, value in figures.items()))
         df.write.mode("errorifexists").parquet(self.location(name))
-        self.tables[name] = self.spark.read.schema(df.schema).parquet(self.location(name))
+        if seen is not None:
+            self.figures[name] = dict(seen.get)
+        self.tables[name] = self.spark.read.schema(schema).parquet(self.location(name))
         return self.tables[name]
 
     def publish(self, database: str, names: list[str] | None = None) -> None:

@@ -3,6 +3,7 @@ import decimal
 import pytest
 
 import rows
+from ledgerloom.functions import keys
 from ledgerloom.operators import financials, guards, ledger
 
 PAYMENT = (1, 100_000, 10_000, 3_200, 0, "succeeded", "2023-06-15", False)
@@ -87,3 +88,17 @@ def test_take_rate_band(spark):
     guards.require(extremes(20_000), "band")
     with pytest.raises(guards.InvariantError):
         guards.require(extremes(20_001), "band")
+
+
+def test_row_keys_tell_equal_rows_apart_and_do_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(keys, "RUN_ROWS", 7)
+    made = [(1, "a", None), (1, "a", None), (1, None, "a"), (None, "1|a", ""), (11, "", "a")] + [(2, "hot", "x")] * 50
+    df = spark.createDataFrame(made, "n int, a string, b string")
+    once = rows.plain(keys.with_row_key(df, "key"))
+    assert once == rows.plain(keys.with_row_key(df.repartition(3).orderBy("b"), "key"))
+    assert sorted((r[:3] for r in once), key=repr) == sorted(made, key=repr)
+    assert len({r[3] for r in once}) == len(made)
+    # The keys of a row stay when other rows come and go.
+    fewer = rows.plain(keys.with_row_key(df.where("n = 1"), "key"))
+    assert set(fewer) <= set(once)
+    assert keys.with_row_key(df.limit(0), "key").count() == 0
