@@ -42,6 +42,10 @@ HEADLINE = [
     "audit_length",
     "audit_foreign_keys",
     "validation_report",
+    "audit_observed",
+    "ledger_entry_ids",
+    "insert_absent_days",
+    "refresh_daily_financials",
 ]
 
 

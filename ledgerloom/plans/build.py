@@ -99,7 +99,15 @@ def load(run: RunFolder, raw: RawTables, expected: Mapping[str, int] | None = No
     return stored
 
 
-def _stage_subscriptions(run: RunFolder, raw: RawTables, params: Params) -> None:
+Step = Callable[[], None]
+
+
+def _nothing() -> None:
+    pass
+
+
+def _stage_subscriptions(run: RunFolder, raw: RawTables, params: Params, then: Step = _nothing) -> None:
+    """Spans and their sources; ``then`` begins as soon as the spans stand."""
     resolved = run.keep("resolved_events", subscriptions.resolved_events(raw.events, raw.brands, params.as_of))
     sources = run.keep("stg_subscription_sources", subscriptions.subscription_sources(resolved))
 
@@ -109,6 +117,7 @@ def _stage_subscriptions(run: RunFolder, raw: RawTables, params: Params) -> None
         seen = run.figures["stg_subscriptions"]
         guards.require_none(seen["not_null:brand_id"], "subscriptions without a brand")
         guards.require_none(seen["not_null:start_date"], "subscriptions without a start date")
+        then()
 
     def arrays() -> None:
         _keep(run, "stg_subscription_source_arrays", subscriptions.source_array_parts(sources))
@@ -116,7 +125,14 @@ def _stage_subscriptions(run: RunFolder, raw: RawTables, params: Params) -> None
     run_together(run.spark, {"spans": spans, "arrays": arrays})
 
 
-def _stage_payments(run: RunFolder, raw: RawTables, params: Params) -> None:
+def _stage_payments(run: RunFolder, raw: RawTables, params: Params, then: Step = _nothing) -> None:
+    """Payments, payouts, quarantine and ledger; ``then`` begins as soon as the ledger stands."""
+
+    def entries(made: DataFrame) -> None:
+        _keep(run, "stg_ledger_entries", with_row_key(ledger.ledger_entries(made, raw.payouts), "ledger_id"))
+        guards.require_rows(run.figures["stg_ledger_entries"]["rows"], "the ledger is empty: no live payment was staged")
+        then()
+
     # Staging and quarantine both need the keys, so the two joins run once.
     keyed = run.keep("keyed_payments", payments.with_entity_keys(raw.payments, raw.brands, raw.creators))
 
@@ -132,12 +148,9 @@ def _stage_payments(run: RunFolder, raw: RawTables, params: Params) -> None:
             run.spark,
             {
                 "payouts": lambda: _keep(run, "stg_payouts", payments.stage_payouts(raw.payouts, made, raw.creators)),
-                "ledger": lambda: _keep(
-                    run, "stg_ledger_entries", with_row_key(ledger.ledger_entries(made, raw.payouts), "ledger_id")
-                ),
+                "ledger": lambda: entries(made),
             },
         )
-        guards.require_rows(run.figures["stg_ledger_entries"]["rows"], "the ledger is empty: no live payment was staged")
 
     run_together(run.spark, {"quarantine": quarantined, "payments": staged})
 
@@ -185,6 +198,18 @@ def build_marts(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> No
     )
 
 
+def stage_and_build(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> None:
+    """:func:`stage` and :func:`build_marts` as two branches, each mart as soon as what it reads stands."""
+    prepare(run.spark)
+    run_together(
+        run.spark,
+        {
+            "subscriptions": lambda: _stage_subscriptions(run, raw, params, lambda: _build_waterfall(run, raw, params)),
+            "payments": lambda: _stage_payments(run, raw, params, lambda: _build_daily(run, params)),
+        },
+    )
+
+
 def check_plans(run: RunFolder, raw: RawTables, params: Params = DEFAULTS) -> dict[str, Callable[[], DataFrame]]:
     """The reconciliation checks over the tables of a run."""
     t = run.tables
@@ -209,8 +234,7 @@ def build(
     prepare(spark)
     params = replace(params, as_of=as_of)
     run = RunFolder(spark, root)
-    stage(run, raw, params)
-    build_marts(run, raw, params)
+    stage_and_build(run, raw, params)
     return run
 
 

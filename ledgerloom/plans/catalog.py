@@ -331,8 +331,7 @@ def check_take_rate_range(f: Frames) -> DataFrame:
 def validation_report(f: Frames) -> DataFrame:
     run = RunFolder(f.spark, scratch_path(f.spark, "build"))
     raw = f.raw_tables
-    full_build.stage(run, raw, f.params)
-    full_build.build_marts(run, raw, f.params)
+    full_build.stage_and_build(run, raw, f.params)
     # Failed checks are rows of the report; only publishing asks that there are none.
     full_build.file_report(f.spark, run, raw, dt.datetime.now(dt.timezone.utc), f.params)
     return checks.latest_report(f.spark, full_build.reports_of(run)).select(
@@ -499,8 +498,7 @@ def audit_observed(f: Frames) -> DataFrame:
     """NULLs, values outside their domain and texts too long, counted by a whole build while it writes its tables."""
     run = RunFolder(f.spark, scratch_path(f.spark, "build"))
     raw = full_build.load(run, f.raw_tables)
-    full_build.stage(run, raw, f.params)
-    full_build.build_marts(run, raw, f.params)
+    full_build.stage_and_build(run, raw, f.params)
     return audits.audit_observed(f.spark, run.figures)
 
 
