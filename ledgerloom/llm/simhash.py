@@ -143,18 +143,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its group's smallest, once each; rows without doc_id all stay."""
-    kept = (
-        near_duplicates(docs)
-        .filter(F.col("doc_id") == F.col("component_id"))
-        .select(F.col("doc_id").alias("kept_id"))
-        .distinct()
+    """One row of each group of linked texts: the one with the smallest doc_id, NULL last, then by a hash of the text.
+
+    Rows are told apart by doc_id and text. Two texts under one doc_id are two rows, each with its own group; rows
+    without doc_id take part like others; of repeated rows one stays. All columns are kept.
+    """
+    settle(docs.sparkSession)
+    mark, kept_id, kept_mark, rank = (free_name(docs.columns, n) for n in ("mark", "kept_id", "kept_mark", "copy_no"))
+    text_mark = F.xxhash64(F.col("text").isNull(), F.coalesce("text", F.lit("")))
+    rows = cut(docs.select("doc_id", fingerprint(F.col("text")).alias("fp"), text_mark.alias("mark")))
+    prints = cut(rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("least")))
+    roots = components(links(prints), "a", "b")
+    rooted = prints.join(roots, F.col("fp") == F.col("node"), "left").select("least", F.coalesce("root", "fp").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(
+        F.col("least.doc_id").alias(kept_id), F.col("least.mark").alias(kept_mark)
     )
-    rank, mark = free_name(docs.columns, "copy_no"), free_name(docs.columns, "kept_id")
-    named = docs.join(kept.withColumnRenamed("kept_id", mark), F.col("doc_id") == F.col(mark), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), F.xxhash64("text"))
-    once = named.withColumn(rank, F.row_number().over(first)).filter(F.col(rank) == 1).drop(rank)
-    return once.unionByName(docs.filter(F.col("doc_id").isNull()))
+    marked = docs.withColumn(mark, text_mark)
+    chosen = marked.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(mark) == F.col(kept_mark)), "left_semi")
+    # Only repeated rows are left to tell apart; Spark keeps one of each in every map task.
+    first = Window.partitionBy("doc_id", mark).orderBy(F.lit(1))
+    return chosen.withColumn(rank, F.row_number().over(first)).filter(F.col(rank) == 1).drop(rank, mark)
 
 
 ship(__name__)

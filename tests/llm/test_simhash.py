@@ -5,6 +5,7 @@ import xxhash
 
 from helpers import by_id, documents, prose
 from ledgerloom.llm import simhash
+from ledgerloom.llm.components import components
 
 
 def plain_fingerprint(text):
@@ -52,7 +53,17 @@ def test_fingerprints_groups_and_odd_rows(spark):
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
-    assert ids.count(None) == 1 and 41 not in ids and 6 not in ids and ids.count(5) == 1
+    assert None not in ids and 41 not in ids and 6 not in ids and ids.count(5) == 1
+
+
+def test_one_of_each_tells_rows_apart_by_id_and_text(spark):
+    rng = random.Random(9)
+    words = ["alpha", "beta", "gamma", "delta", "omega"]
+    a, b, c, d = (prose(rng, words, 200) for _ in range(4))
+    rows = [(1, a), (1, b), (1, b), (2, a), (None, c), (None, c), (None, d), (3, d), (4, None), (None, "")]
+    kept = simhash.one_of_each(documents(spark, rows, "mark kept_id copy_no least root node fp kept_mark")).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted([(1, a), (1, b), (None, c), (3, d), (4, None)], key=str)
+    assert simhash.one_of_each(documents(spark, [(None, "x")] * 5)).count() == 1
 
 
 def test_empty_table(spark):
@@ -63,4 +74,6 @@ def test_empty_table(spark):
 def test_a_chain_of_near_fingerprints_is_one_group(spark):
     prints = [(1 << (3 * i)) - 1 for i in range(20)]
     table = spark.createDataFrame([(x,) for x in prints], "fp long")
-    assert simhash.links(table).count() == 19
+    links = simhash.links(table)
+    assert links.count() == 19
+    assert {r["root"] for r in components(links, "a", "b").collect()} == {0}
