@@ -88,7 +88,7 @@ def queries() -> dict[str, Query]:
 
 MIXING = r"""
 WITH d AS (
-  SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS place,
+  SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS place,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents
 ), s AS (

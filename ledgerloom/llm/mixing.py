@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import WORD_PATTERN, cut, free_name, settle
+from ledgerloom.llm.common import WORD_PATTERN, cut, settle
 
 WEIGHTS = (1, 2, 3)
 # How far the weight of a source with each of WEIGHTS moves to either side of its mean over training.
@@ -24,9 +24,10 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-def order_of(doc_id: Column) -> Column:
-    """A document's place in its source's stream: by hash, the same in every run."""
-    return F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+def place_of(doc_id: Column, text: Column) -> Column:
+    """A document's place in its source's stream: by a hash of its id and text, the same in every run."""
+    own = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), own).cast("binary"))
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -53,35 +54,34 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 
 def plan(rows: DataFrame) -> DataFrame:
-    """What the mix takes of every row of ``rows`` (doc_id, source, size and any others).
+    """What the mix takes of every row of ``rows`` (doc_id, source, size, place and any others).
 
     Adds source_size, weight, target, words_before (words of the source's stream before the row), whole (how often
-    the row is taken whole) and part (words of one more, cut take). The stream of a source is passed through whole as
-    often as its target holds its size; the last, partial pass ends inside one document at the target's last word.
+    the row is taken whole), rest (words that the last, partial pass through the stream takes) and part (those of them
+    that are the row's). The stream of a source is passed through whole as often as its target holds its size.
     """
-    names = {n: free_name(rows.columns, n) for n in ("order_key", "bucket")}
-    key, bucket = names["order_key"], names["bucket"]
-    keyed = rows.withColumn(key, order_of(F.col("doc_id"))).withColumn(bucket, F.substring(key, 1, BUCKET_DIGITS))
+    keyed = rows.withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS))
     targets = source_targets(rows.select("source", "size"))
-    over = Window.partitionBy("source").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    over = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        keyed.groupBy("source", bucket)
+        keyed.groupBy("source", "bucket")
         .agg(F.sum("size").alias("words"))
-        .select(F.col("source").alias("of_source"), F.col(bucket).alias("of_bucket"), F.coalesce(F.sum("words").over(over), F.lit(0)).alias("start"))
+        .select(F.col("source").alias("of_source"), F.col("bucket").alias("of_bucket"), F.coalesce(F.sum("words").over(over), F.lit(0)).alias("start"))
     )
     settings = starts.join(targets, F.col("of_source").eqNullSafe(F.col("source"))).drop("source")
-    inside = Window.partitionBy("source", bucket).orderBy(key, "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bucket").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("size").over(inside), F.lit(0))
     placed = keyed.withColumn("before_here", before).join(
-        settings, F.col("source").eqNullSafe(F.col("of_source")) & (F.col(bucket) == F.col("of_bucket"))
+        settings, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("bucket") == F.col("of_bucket"))
     )
     whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(MOST_REPEATS))).otherwise(F.lit(0))
-    rest = F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("long")
+    rest = F.when(F.col("whole") < MOST_REPEATS, F.round(F.col("target") - F.col("whole") * F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     return (
         placed.withColumn("words_before", F.col("start") + F.col("before_here"))
         .withColumn("whole", whole.cast("long"))
-        .withColumn("part", F.when(F.col("whole") < MOST_REPEATS, F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("words_before")))).otherwise(F.lit(0)).cast("long"))
-        .drop(key, bucket, "of_source", "of_bucket", "start", "before_here")
+        .withColumn("rest", rest)
+        .withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("words_before"))).cast("long"))
+        .drop("bucket", "of_source", "of_bucket", "start", "before_here")
     )
 
 
@@ -100,7 +100,8 @@ def mixture(docs: DataFrame) -> DataFrame:
     documents of their own. Rows that are not taken come last, without position. Other columns are ignored.
     """
     settle(docs.sparkSession)
-    rows = cut(docs.select("doc_id", "source", size_of(F.col("text")).alias("size")))
+    place = place_of(F.col("doc_id"), F.col("text"))
+    rows = cut(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), place.alias("place")))
     planned = plan(rows)
     taken = F.col("whole") * F.col("size") + F.col("part")
     when = F.when((F.col("whole") > 0) | (F.col("part") > 0), training_time(F.col("words_before"), F.col("target"), F.col("weight")))
@@ -110,36 +111,23 @@ def mixture(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of the mix in training order, with the columns of ``docs``: a row for each take.
+    """The rows of the mix in training order, with the columns of ``docs`` as they are: a row for each take.
 
-    The one cut take of a source holds the first words of its document, joined by single spaces, and n_chars, where
-    there is such a column, follows. A document without words is taken as often as its source is passed through whole.
+    Documents are taken whole. In the partial pass a document is taken if at least half of it lies before the target's
+    last word, so a source's words come to its target within half a document. One without words is taken as often as
+    its source is passed through whole. Columns of any names are carried along.
     """
     settle(docs.sparkSession)
     columns = docs.columns
-    clash = {"size", "source_size", "weight", "target", "words_before", "whole", "part", "words"} & {c.lower() for c in columns}
-    packed = docs.select("doc_id", "source", "text", F.struct(*columns).alias("row_")) if clash else docs
-    rows = packed.withColumn("size", size_of(F.col("text")))
-    planned = plan(rows)
-    passes = F.transform(
-        F.sequence(F.lit(0), F.col("whole").cast("int")),
-        lambda n: F.struct(n.alias("pass_no"), F.when(n < F.col("whole"), F.col("size")).otherwise(F.col("part")).alias("words")),
+    place = place_of(F.col("doc_id"), F.col("text"))
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row_"), "doc_id", "source", size_of(F.col("text")).alias("size"), place.alias("place")
     )
-    takes = F.filter(passes, lambda p: (p["pass_no"] < F.col("whole")) | (p["words"] > 0))
-    each = planned.withColumn("take", F.explode(takes))
-    begun = F.col("words_before") + F.col("take.pass_no") * F.col("source_size")
+    half_before = (F.col("size") > 0) & (2 * F.col("words_before") + F.col("size") <= 2 * F.col("rest"))
+    passes = F.col("whole") + half_before.cast("long")
+    numbers = F.when(passes > 0, F.sequence(F.lit(0).cast("long"), passes - 1)).otherwise(F.array().cast("array<long>"))
+    each = plan(rows).withColumn("pass_no", F.explode(numbers))
+    begun = F.col("words_before") + F.col("pass_no") * F.col("source_size")
     position = F.when(F.col("target") > 0, training_time(begun, F.col("target"), F.col("weight"))).otherwise(F.lit(0.0))
-    cut_text = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0)), 1, F.col("take.words").cast("int")), " ")
-    is_cut = F.col("take.words") < F.col("size")
-    text = F.when(is_cut, cut_text).otherwise(F.col("text"))
-    own = (lambda c: F.col(f"row_.`{c}`")) if clash else (lambda c: F.col(f"`{c}`"))
-    out = []
-    for c in columns:
-        value = own(c)
-        if c == "text":
-            value = text
-        elif c == "n_chars":
-            value = F.when(is_cut, F.char_length(text)).otherwise(value)
-        out.append(value.cast(docs.schema[c].dataType).alias(c))
-    sort = free_name(columns, "position_")
-    return each.select(*out, position.alias(sort)).orderBy(sort, "doc_id").drop(sort)
+    in_order = each.withColumn("position", position).orderBy("position", "place", "pass_no")
+    return in_order.select(*(F.col(f"row_.`{c}`").alias(c) for c in columns))

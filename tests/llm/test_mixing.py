@@ -60,20 +60,40 @@ def test_targets_and_takes(spark):
     assert collections.Counter(map(tuple, found)) == collections.Counter(map(tuple, again))
 
 
-def test_mixed_documents_hold_the_words_taken(spark):
+CLASHING = (
+    "row_ place size start of_source of_bucket before_here take source_size weight target words_before whole rest part bucket words pass_no position"
+)
+
+
+def test_mixed_documents_are_whole_and_come_near_the_target(spark):
     rows = rows_of(random.Random(3))
-    docs = documents(spark, rows, "size weight target part")
-    plan = mixing.mixture(docs).collect()
-    wanted = collections.Counter()
-    for r in plan:
-        wanted[r["doc_id"], r["source"]] += r["taken"]
+    docs = documents(spark, rows, CLASHING)
+    sizes = collections.Counter()
+    words = lambda text: len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    for _, text, _, source in rows:
+        sizes[source] += words(text)
+    target = shared_out(sizes)
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns and mixed.dtypes == docs.dtypes
-    words = collections.Counter()
-    for r in mixed.collect():
-        words[r["doc_id"], r["source"]] += len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))
-        assert r["n_chars"] == (None if r["text"] is None else len(r["text"]))
-    assert {k: v for k, v in words.items() if v} == {k: v for k, v in wanted.items() if v}
+    found = mixed.collect()
+    given = {(i, text, source) for i, text, _, source in rows}
+    assert {(r["doc_id"], r["text"], r["source"]) for r in found} <= given
+    taken, largest = collections.Counter(), collections.Counter()
+    for r in found:
+        taken[r["source"]] += words(r["text"])
+    for _, text, _, source in rows:
+        largest[source] = max(largest[source], words(text))
+    assert all(abs(taken[s] - target[s]) <= largest[s] / 2 + 1 for s in sizes)
+    assert collections.Counter(map(tuple, found)) == collections.Counter(map(tuple, mixing.mixed_documents(docs.repartition(5)).collect()))
+
+
+def test_rows_of_one_id_are_spread_and_settled_by_their_texts(spark):
+    rows = [(None, f"text number {n} " + "word " * (n % 7), None, "b") for n in range(200)] + [(1, f"other {n}", None, "b") for n in range(100)]
+    docs = documents(spark, rows)
+    buckets = docs.select(F.substring(mixing.place_of(F.col("doc_id"), F.col("text")), 1, mixing.BUCKET_DIGITS)).distinct().count()
+    assert buckets > 200
+    once = collections.Counter(map(tuple, mixing.mixed_documents(docs).collect()))
+    assert once == collections.Counter(map(tuple, mixing.mixed_documents(docs.orderBy("text").repartition(3)).collect()))
 
 
 def test_times_invert_the_demand_of_each_schedule(spark):

@@ -28,15 +28,15 @@ def mixed(rows):
         sizes[r["source"]] += len(words[i])
     out = []
     for source, target in shared_out(sizes).items():
-        own = sorted((i for i, r in rows.items() if r["source"] == source), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+        place = lambda i: f"{i}:{hashlib.md5((rows[i]['text'] or '').encode()).hexdigest()}"
+        own = sorted((i for i, r in rows.items() if r["source"] == source), key=lambda i: hashlib.md5(place(i).encode()).hexdigest())
         whole = min(3, int(target // sizes[source])) if sizes[source] else 0
-        left = round(target - whole * sizes[source]) if whole < 3 else 0
+        rest = round(target - whole * sizes[source]) if whole < 3 else 0
+        before = 0
         for i in own:
-            out += [(i, rows[i]["text"])] * whole
-            part = min(left, len(words[i]))
-            left -= part
-            if part:
-                out.append((i, rows[i]["text"] if part == len(words[i]) else " ".join(words[i][:part])))
+            size = len(words[i])
+            out += [(i, rows[i]["text"])] * (whole + (size > 0 and 2 * before + size <= 2 * rest))
+            before += size
     return out
 
 
