@@ -39,3 +39,28 @@ def test_nothing_to_learn_from(spark):
     assert {r["score"] for r in quality.score(docs, labels).collect()} == {0.5}
     assert quality.keep_good(docs, labels).count() == 2
     assert quality.score(documents(spark, []), labels).count() == 0
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    long = "\n".join(f"This is line {n} of fair text." for n in range(20_000))
+    short = [(i, f"Fair text {i}, in a line or two.\nIt goes on.") for i in range(3)]
+    docs = documents(spark, [(1, long), (2, short[0][1]), (3, None)])
+    found = by_id(docs.select("doc_id", quality.stretches_of(docs.text).alias("s")))
+    assert found[2]["s"] == short[0][1] and found[3]["s"] is None
+    parts = found[1]["s"]
+    assert len(parts) == quality.STRETCHES * (quality.STRETCH + 1) - 1
+    at = [long.index(parts[n * (quality.STRETCH + 1) :][: quality.STRETCH]) for n in range(quality.STRETCHES)]
+    assert [4 * a // len(long) for a in at] == [0, 1, 2, 3]
+    # All good documents are long, and the model still learns from them.
+    rows = [(i, f"{i}\n{long}"[: 120_000 + i]) for i in range(12)] + [(100 + i, f"BUY!! NOW!! {i}\n### $$$ ###") for i in range(12)]
+    labels = spark.createDataFrame([(i, int(i < 100), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    scores = by_id(quality.score(documents(spark, rows), labels))
+    assert all(r["predicted"] == (i < 100) for i, r in scores.items())
+
+
+def test_one_id_with_several_texts_teaches_the_same_in_every_run(spark):
+    rows = [(i % 20, f"Line {i} of fair text." if i % 20 < 10 else f"### {i} $$$") for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i < 10), 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    docs = documents(spark, rows)
+    first, second = quality.fit(docs, labels), quality.fit(docs.orderBy("text").repartition(5), labels)
+    assert (first.weights == second.weights).all() and first.slope == second.slope
