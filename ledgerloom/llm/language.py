@@ -28,9 +28,11 @@ FIT_DOCUMENTS = 600
 FIT_CHARACTERS = 600
 TABLE = 65_521
 EPOCHS = 4
+# Words of a line learned together.
+LINE_WORDS = 40
 BATCH_LINES = 256
 # Tokens whose words and scores a task keeps, and characters labelled at a time.
-CACHE_TOKENS = 500_000
+CACHE_TOKENS = 200_000
 BLOCK_CHARACTERS = 4_000_000
 # Weight of a letter's own frequency where its two letters before were seldom met, and the share of known letters asked for.
 BACK_OFF = 4.0
@@ -147,10 +149,12 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> LanguageModel:
     lines, tags = [], []
     for text, lang in zip(texts, langs):
         for line in text.split("\n"):
-            words = words_of(line)[:40]
-            if words:
-                lines.append(words)
-                tags.append([labels.index(lang)] * len(words))
+            words = words_of(line)
+            # Long lines are learned in parts, all of them.
+            for at in range(0, len(words), LINE_WORDS):
+                part = words[at : at + LINE_WORDS]
+                lines.append(part)
+                tags.append([labels.index(lang)] * len(part))
     spelling = learn_spelling([w for line in lines for w in line])
     # Code-switched lines: one in eight is continued by part of another.
     for i in rng.permutation(len(lines))[: len(lines) // 8]:

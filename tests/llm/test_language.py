@@ -61,3 +61,12 @@ def test_text_of_no_learned_language_goes(spark, folder):
     assert [found[20_000 + n]["score"] for n in range(len(away))] == [0.0] * len(away)
     ids = {r["doc_id"] for r in language.keep_identified(docs).collect()}
     assert ids == set(by_id(docs)) - {20_000 + n for n in range(len(away))}
+
+
+def test_words_behind_the_fortieth_of_a_line_are_learned(monkeypatch):
+    seen = []
+    spelling = language.learn_spelling
+    monkeypatch.setattr(language, "learn_spelling", lambda words: seen.extend(words) or spelling(words))
+    text = " ".join(f"w{chr(97 + n // 26)}{chr(97 + n % 26)}" for n in range(100))
+    language.train([text, "other words"], ["a", "b"])
+    assert set(language.words_of(text)) <= set(seen)
