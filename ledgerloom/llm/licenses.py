@@ -2,7 +2,7 @@
 
 Documents and templates are words; a shingle is five words, and a template of fewer words is one shingle of its
 own length. For every template length there is a window length, and a document's windows overlap by three quarters.
-A window's sketch is the least of its shingle hashes under several permutations, each a band of its own, so one
+A window's sketch is the first of its shingles under several independent hashes, each a band of its own, so one
 agreement retrieves the template. A window can only agree in a band if it holds the template's least shingle of that
 band, so sketches are made around those shingles, which is the same as making all and keeping those that agree. Templates of up to four shingles have windows of exactly their length at every
 place: a full match has the same set of shingles and is retrieved for certain. Longer ones have 16 bands: a verbatim
@@ -12,8 +12,6 @@ barely holds four fifths of its shingles shares at least 0.45, and is missed wit
 
 from __future__ import annotations
 
-import functools
-import random
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -91,13 +89,6 @@ def shingle_hashes(words: Column, width: int) -> Column:
     )
 
 
-@functools.cache
-def permutations() -> tuple[int, ...]:
-    """Numbers to XOR with hashes, the first of them zero: the least result belongs to a hash as good as random."""
-    rng = random.Random(5)
-    return (0, *(rng.getrandbits(63) for _ in range(BANDS - 1)))
-
-
 def window_of(shingles: int) -> int:
     """Window length for a template of so many shingles."""
     if shingles <= EXACT_WINDOWS:
@@ -110,9 +101,10 @@ def _bands(window: int) -> int:
 
 
 def _sketch(hashes: Column, bands: int) -> Column:
-    """The hash that is least under each permutation."""
-    numbers = F.array(*(F.lit(x).cast("long") for x in permutations()[:bands]))
-    return F.transform(numbers, lambda number: F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(number))).bitwiseXOR(number))
+    """The hash that comes first in each band: every band hashes the hashes anew, so their orders are independent."""
+    numbers = F.sequence(F.lit(1), F.lit(bands))
+    ranked = lambda n: F.transform(hashes, lambda h: F.struct(F.xxhash64(n, h).alias("rank"), h.alias("hash")))
+    return F.transform(numbers, lambda n: F.array_min(ranked(n))["hash"])
 
 
 def _places(width: int, window: int, group: list[dict]) -> Column:
@@ -177,8 +169,8 @@ def template_table(spark: SparkSession, templates) -> list[dict]:
 def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """doc_id, license, containment and first_word of every template found in every document.
 
-    ``containment`` is the share of the template's distinct shingles in the best place, at least 0.8, and ``first_word``
-    the number of the first word there, from 0. A row with several licenses comes out for each, one without for
+    ``containment`` is the share of the template's distinct shingles in the best stretch of its own length and four words
+    more, at least 0.8, and ``first_word`` the number of the first word there, from 0. A row with several licenses comes out for each, one without for
     none, a repeated row as often as it goes in. NULL and empty texts hold no license. Words are runs of ASCII letters
     and digits in lower case. Other columns are ignored.
     """
@@ -207,10 +199,16 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
         F.exists(F.zip_with("sketch", "bands", lambda a, b: a == b), lambda same: same)
     )
     met = met.withColumns({"own": F.array_distinct(runs(F.col("template"), F.col("width"))), "seen": runs(F.col("part"), F.col("width"))})
-    shared = F.size(F.array_intersect("own", "seen"))
-    place = F.array_min(F.filter(F.transform("own", lambda s: F.array_position("seen", s)), lambda p: p > 0))
+    # The best stretch of the template's own length, with room for a few words put in; it begins with one of its shingles.
+    begins = F.filter(_between(F.lit(1), F.size("seen")), lambda at: F.array_contains("own", F.get("seen", at - 1)))
+    length = F.size("own") + SHINGLE - 1
+    shared = lambda at: F.size(F.array_intersect("own", F.slice("seen", at, length)))
+    stretch = F.array_max(F.transform(begins, lambda at: F.struct(shared(at).alias("shared"), (-at).alias("nearest"))))
+    met = met.withColumn("stretch", stretch)
     return (
-        met.select("doc_id", "row_no", "license", (shared / F.size("own")).alias("containment"), (F.col("from") + place - 2).alias("first_word"))
+        met.select(
+            "doc_id", "row_no", "license", (F.col("stretch.shared") / F.size("own")).alias("containment"), (F.col("from") - F.col("stretch.nearest") - 2).alias("first_word")
+        )
         .filter(F.col("containment") >= LEAST_CONTAINED)
         .groupBy("doc_id", "row_no", "license")
         .agg(F.max(F.struct("containment", (-F.col("first_word")).alias("nearest"))).alias("best"))
