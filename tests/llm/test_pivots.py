@@ -73,7 +73,7 @@ def test_missing_ids_repeated_rows_and_no_rows(spark):
 
 
 def test_recall_on_the_table(spark):
-    rows = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").filter("label < 3").select("vec_id", "embedding", "label")
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").filter("label < 3").select("vec_id", "embedding", "label")
     r = rows.collect()
     keep = [(x["vec_id"], x["embedding"], x["label"]) for x in r if x["embedding"] is not None and all(v is not None and math.isfinite(v) for v in x["embedding"])]
     total = 0
@@ -102,7 +102,7 @@ def test_recall_with_a_third_of_the_rows_in_one_group_of_near_copies(spark, size
 
 
 def test_recall_over_all_labels(spark):
-    rows = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").select("vec_id", "embedding", "label")
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding", "label")
     r = [x for x in rows.collect() if x["label"] is not None and x["embedding"] is not None and all(v is not None and math.isfinite(v) for v in x["embedding"])]
     total = 0
     for label in {x["label"] for x in r}:
