@@ -40,43 +40,41 @@ def chunks_of(text: Column) -> Column:
 
 
 def shared_hashes(chunks: DataFrame) -> DataFrame:
-    """Chunks (hash, chunk) whose hash other chunks have too, each with its variant number, from 1.
+    """Hashes (hash) that different chunks of ``chunks`` (hash, chunk) have.
 
-    The chunks shrink in the map tasks to distinct ones, which are shuffled once. Only hashes are counted after that,
-    and only chunks that share theirs are put in order.
+    Chunks shrink in the map tasks to distinct ones, which are shuffled once; after that only hashes are counted.
     """
     distinct = chunks.groupBy("hash", "chunk").agg(F.count(F.lit(1)).alias("uses"))
-    shared = distinct.groupBy("hash").agg(F.count(F.lit(1)).alias("contents")).filter(F.col("contents") > 1)
-    variant = F.row_number().over(Window.partitionBy("hash").orderBy("chunk"))
-    return distinct.join(shared, "hash", "left_semi").select("hash", "chunk", variant.alias("variant"))
+    return distinct.groupBy("hash").agg(F.count(F.lit(1)).alias("contents")).filter(F.col("contents") > 1).select("hash")
 
 
 def with_recipes(rows: DataFrame, hash_of: Hash = F.xxhash64) -> DataFrame:
     """``rows`` (row_no, text, ...) with column recipe in place of the text.
 
-    A recipe holds the chunks' hashes in order, and the places and variants of chunks that share a hash with other
-    chunks. Those are few or none: of 10^11 chunks about 300. They are stored, and only if there are any, chunks are
-    joined with them.
+    A recipe holds the chunks' hashes in order, and the places and variant numbers of chunks that share a hash with
+    other chunks. Those are few or none: of 10^11 chunks about 300. Their hashes are stored, and only if there are any,
+    the chunks that have them are put in order and joined.
     """
     spark = rows.sparkSession
     value = F.coalesce("text", F.lit(""))
     chunks = rows.select(F.explode(chunks_of(value)).alias("chunk")).select(hash_of(F.col("chunk")).alias("hash"), "chunk")
     path = scratch_path(spark, "shared_hashes")
     shared_hashes(chunks).write.parquet(path)
-    shared = spark.read.schema("hash long, chunk string, variant int").parquet(path)
+    shared = spark.read.schema("hash long").parquet(path)
     found = rows.withColumn("hashes", F.transform(chunks_of(value), lambda c: hash_of(c))).drop("text")
     none = F.array().cast("array<struct<at: int, variant: int>>")
     if shared.isEmpty():
         found = found.withColumn("variants", none)
     else:
-        told = (
-            rows.select("row_no", F.posexplode(chunks_of(value)).alias("at", "chunk"))
-            .withColumn("hash", hash_of(F.col("chunk")))
-            .join(shared, ["hash", "chunk"])
+        told = chunks.join(shared, "hash", "left_semi").distinct()
+        told = told.withColumn("variant", F.row_number().over(Window.partitionBy("hash").orderBy("chunk")))
+        seen = rows.select("row_no", F.posexplode(chunks_of(value)).alias("at", "chunk")).withColumn("hash", hash_of(F.col("chunk")))
+        variants = (
+            seen.join(told, ["hash", "chunk"])
             .groupBy(F.col("row_no").alias("of_row"))
             .agg(F.sort_array(F.collect_list(F.struct("at", "variant"))).alias("variants"))
         )
-        found = found.join(told, F.col("row_no") == F.col("of_row"), "left").drop("of_row")
+        found = found.join(variants, F.col("row_no") == F.col("of_row"), "left").drop("of_row")
     return found.withColumn("recipe", F.struct("hashes", F.coalesce("variants", none).alias("variants"))).drop("hashes", "variants")
 
 
