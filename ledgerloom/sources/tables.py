@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from collections.abc import Mapping
@@ -20,6 +21,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def folders_in(spark: SparkSession, path: str) -> list[tuple[str, str, dt.datetime]]:
+    """Name, path and time of change of the folders right below ``path``; none if it is not there."""
+    place, system = _place(spark, path)
+    if not system.exists(place):
+        return []
+    found = [s for s in system.listStatus(place) if s.isDirectory()]
+    return [
+        (s.getPath().getName(), s.getPath().toString(), dt.datetime.fromtimestamp(s.getModificationTime() / 1000, dt.timezone.utc))
+        for s in found
+    ]
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of this library's own tables, if it is there."""
     place, system = _place(spark, path)
