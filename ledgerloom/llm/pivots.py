@@ -2,14 +2,14 @@
 
 A vector is described by its nearest reference points (pivots) in order. It is listed at the first few of them;
 vectors that meet in a list and share enough of all their nearest pivots are candidates, whose cosine is then
-computed in double precision. A pair that meets in several lists belongs to the one with the lowest pivot, so
-every list can add up links and join groups by itself, and no pair leaves its task.
+computed in double precision. There are more pivots the more rows there are, so lists stay short. A list that
+grows long all the same is divided by a second pivot: as candidates share two, they still meet. A pair that meets
+in several lists belongs to the one with the lowest pivots, so every list can add up links and join groups by
+itself, and no pair leaves its task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,42 +19,76 @@ from ledgerloom.llm.common import cut, settle, ship
 from ledgerloom.llm.components import components
 
 LEAST_COSINE = 0.93
-# Pivots, and about how many vectors they are chosen from; every vector is indexed.
-PIVOTS = 256
+# A pivot for about so many rows of the largest label, within these bounds and at most so many components in all.
+ROWS_PER_PIVOT = 16
+LEAST_PIVOTS, MOST_PIVOTS, MOST_COMPONENTS = 256, 1 << 14, 1 << 21
+# Pivots are chosen from twice as many vectors, at least so many; every vector is indexed.
 PIVOT_SAMPLE = 2048
-# Nearest pivots that describe a vector, those it is listed at, and those a pair must share.
+# Nearest pivots that describe a vector, those it is listed at, and those a pair must share. Lists are divided by
+# a second pivot, which loses no candidate as long as two must be shared.
 DESCRIBED, LISTED, SHARED = 12, 6, 2
-# Vectors of a list that are compared at a time; longer lists are compared in pairs of such blocks.
+# Vectors of a list that are compared at a time; longer lists are compared in pairs of such blocks. From so many
+# blocks on, each vector would be copied more often than by a list for each second pivot.
 BLOCK = 2048
+BLOCKS_UNDIVIDED = DESCRIBED - 1
+
+
+def pivot_count(rows: int, size: int) -> int:
+    """Pivots for vectors of ``size`` components, of which the largest label has ``rows``: a power of two."""
+    wanted = 1 << max(0, (-(-rows // ROWS_PER_PIVOT) - 1).bit_length())
+    room = 1 << ((MOST_COMPONENTS // size).bit_length() - 1 if size <= MOST_COMPONENTS else 0)
+    return max(LEAST_PIVOTS, min(wanted, MOST_PIVOTS, room))
+
+
+def _units(vectors) -> np.ndarray:
+    """Vectors of one length divided by their norms; those of tiny or huge components are scaled first."""
+    m = np.stack([np.asarray(v, np.float64) for v in vectors])
+    largest = np.abs(m).max(axis=1, keepdims=True)
+    m = np.where((largest < 1e-100) | (largest > 1e100), m / largest, m)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
-def _spread_out(units: np.ndarray) -> list[np.ndarray]:
-    """The first of the vectors, then always the next that is no near copy of one taken; at most PIVOTS.
+def _spread_out(units: np.ndarray, most: int) -> np.ndarray:
+    """The first of the vectors, then always the next that is no near copy of one taken; at most ``most``.
 
     A large group of near copies would otherwise own many pivots, all about equally near to each of its members.
     """
-    out = []
-    while len(units) and len(out) < PIVOTS:
-        out.append(units[0])
-        units = units[units @ units[0] < LEAST_COSINE]
-    return out
+    taken = units[:0]
+    for at in range(0, len(units), 512):
+        block = units[at : at + 512]
+        if len(taken):
+            block = block[(block @ taken.T).max(axis=1) < LEAST_COSINE]
+        alike, own = block @ block.T >= LEAST_COSINE, []
+        for i in range(len(block)):
+            if not alike[i, own].any():
+                own.append(i)
+        taken = np.concatenate([taken, block[own]])[:most]
+        if len(taken) == most:
+            break
+    return taken
 
 
 def _pivot_table(vectors: DataFrame) -> dict[int, np.ndarray]:
     """Pivots for each dimension: spread-out unit vectors of a sample by hash, filled up with random directions."""
-    sizes = {r[0]: r[1] for r in vectors.groupBy(F.size("embedding")).count().collect()}
+    per_label = vectors.groupBy(F.size("embedding").alias("size"), "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r[0]: (r[1], pivot_count(r[2], r[0])) for r in per_label.groupBy("size").agg(F.sum("n"), F.max("n")).collect()}
+    if not sizes:
+        return {}
     buckets = 1 << 30
     keep, place = F.lit(False), F.xxhash64("embedding")
-    for d, n in sorted(sizes.items()):
-        keep = keep | ((F.size("embedding") == d) & (F.pmod(place, F.lit(buckets)) < min(buckets, -(-buckets * PIVOT_SAMPLE // n))))
+    for d, (n, pivots) in sorted(sizes.items()):
+        bound = min(buckets, -(-buckets * max(PIVOT_SAMPLE, 2 * pivots) // n))
+        keep = keep | ((F.size("embedding") == d) & (F.pmod(place, F.lit(buckets)) < bound))
+    picked = vectors.filter(keep).select(place.alias("place"), "embedding").toArrow()
     # Equal vectors of two labels are near copies too: the order among them changes nothing.
-    picked = sorted((r[0], r[1]) for r in vectors.filter(keep).select(place, "embedding").collect()) if sizes else []
+    order = np.argsort(picked["place"].to_numpy(), kind="stable")
+    found = picked["embedding"].to_numpy()[order]
     table = {}
-    for d in sizes:
-        own = [np.array(v, np.float64) for _, v in picked if len(v) == d]
-        units = _spread_out(np.stack([v / np.linalg.norm(v) for v in own])) if own else []
-        drawn = np.random.default_rng(d).standard_normal((PIVOTS - len(units), d))
-        table[d] = np.stack([*units, *(v / np.linalg.norm(v) for v in drawn)])
+    for d, (_, pivots) in sizes.items():
+        own = [v for v in found if len(v) == d]
+        units = _spread_out(_units(own), pivots) if own else np.zeros((0, d))
+        drawn = np.random.default_rng(d).standard_normal((pivots - len(units), d))
+        table[d] = np.concatenate([units, drawn / np.linalg.norm(drawn, axis=1, keepdims=True)])
     return table
 
 
@@ -64,12 +98,17 @@ def described(vectors: DataFrame, table: dict[int, np.ndarray]) -> DataFrame:
 
     @F.pandas_udf("array<int>")
     def nearest(rows: pd.Series) -> pd.Series:
-        out = []
-        for v in rows:
-            v = np.asarray(v, np.float64)
-            near = sent.value[len(v)] @ (v / np.linalg.norm(v))
-            out.append(np.argsort(-near, kind="stable")[:DESCRIBED].astype(np.int32))
-        return pd.Series(out)
+        out, values, lengths = [None] * len(rows), rows.to_numpy(), rows.map(len).to_numpy()
+        for d in np.unique(lengths):
+            places = np.flatnonzero(lengths == d)
+            for at in range(0, len(places), 256):
+                part = places[at : at + 256]
+                far = -(_units(values[part]) @ sent.value[int(d)].T)
+                few = np.argpartition(far, DESCRIBED, axis=1)[:, :DESCRIBED]
+                few = np.take_along_axis(few, np.argsort(np.take_along_axis(far, few, 1), axis=1, kind="stable"), 1)
+                for i, found in zip(part, few.astype(np.int32)):
+                    out[i] = found
+        return pd.Series(out, index=rows.index, dtype=object)
 
     return vectors.withColumn("nearest", nearest("embedding"))
 
@@ -90,60 +129,83 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
+def _candidates(near: np.ndarray, first: np.ndarray, second: np.ndarray):
+    """For each row of ``first``, itself and the rows of ``second`` behind it that share enough pivots with it.
+
+    Shared pivots are counted along inverted lists: where each pivot of the row occurs among ``second``.
+    """
+    codes = np.unique(near, return_inverse=True)[1].reshape(near.shape)
+    order = np.argsort(codes[second].ravel(), kind="stable")
+    holders = order // near.shape[1]
+    ends = np.cumsum(np.bincount(codes[second].ravel(), minlength=codes.max() + 1))
+    starts = np.concatenate([[0], ends[:-1]])
+    for i in first:
+        met = np.concatenate([holders[starts[c] : ends[c]] for c in codes[i]])
+        yield i, second[np.bincount(met, minlength=len(second)) >= SHARED]
+
+
+def _owned(near: np.ndarray, i: int, others: np.ndarray, pivot: int, second_pivot: int) -> np.ndarray:
+    """Those of ``others`` whose pair with row ``i`` belongs to this list: no lower list has both."""
+    lower = near[i, :LISTED][near[i, :LISTED] < pivot]
+    if len(lower):
+        others = others[~(near[others, :LISTED, None] == lower).any(axis=(1, 2))]
+    if second_pivot >= 0:
+        lower = near[i][(near[i] < second_pivot) & (near[i] != pivot)]
+        if len(lower):
+            others = others[~(near[others][:, :, None] == lower).any(axis=(1, 2))]
+    return others
+
+
 def _compare(rows: pd.DataFrame) -> pd.DataFrame:
     """Links of one list, or of two of its blocks: for each vector linked, its links and the group's first vector."""
-    pivot, left, right = int(rows["pivot"].iloc[0]), int(rows["left"].iloc[0]), int(rows["right"].iloc[0])
+    pivot, second_pivot, left, right = (int(rows[c].iloc[0]) for c in ("pivot", "second", "left", "right"))
     rows = rows.sort_values("rep_id", kind="stable").reset_index(drop=True)
-    units = np.stack([np.asarray(v, np.float64) for v in rows["embedding"]])
-    units /= np.linalg.norm(units, axis=1, keepdims=True)
-    near = np.stack([np.asarray(v) for v in rows["nearest"]])
-    held, listed = np.zeros((len(rows), PIVOTS), np.float32), np.zeros((len(rows), PIVOTS), np.float32)
-    held[np.arange(len(rows))[:, None], near] = 1
-    listed[np.arange(len(rows))[:, None], near[:, :LISTED]] = 1
+    units, near = _units(rows["embedding"]), np.stack([np.asarray(v) for v in rows["nearest"]])
     block = rows["block"].to_numpy()
     first, second = np.flatnonzero(block == left), np.flatnonzero(block == right)
-    found_a, found_b = [], []
-    for at in range(0, len(first), 256):
-        part = first[at : at + 256]
-        wanted = held[part] @ held[second].T >= SHARED
-        # Lists below this one that both are in own the pair.
-        if pivot:
-            wanted &= listed[part][:, :pivot] @ listed[second][:, :pivot].T == 0
-        a, b = np.nonzero(wanted)
-        a, b = part[a], second[b]
+    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i, others in _candidates(near, first, second):
         if left == right:
-            a, b = a[a < b], b[a < b]
-        for cut_at in range(0, len(a), 100_000):
-            x, y = a[cut_at : cut_at + 100_000], b[cut_at : cut_at + 100_000]
-            linked = np.einsum("ij,ij->i", units[x], units[y]) >= LEAST_COSINE
-            found_a.append(x[linked])
-            found_b.append(y[linked])
-    a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
-    b = np.concatenate(found_b) if found_b else np.zeros(0, np.int64)
+            others = others[others > i]
+        others = _owned(near, i, others, pivot, second_pivot)
+        linked = others[units[others] @ units[i] >= LEAST_COSINE]
+        if len(linked):
+            found_a.append(np.full(len(linked), i))
+            found_b.append(linked)
+    a, b = np.concatenate(found_a), np.concatenate(found_b)
     copies, ids = rows["copies"].to_numpy(np.int64), rows["rep_id"].to_numpy(np.int64)
     links = np.bincount(a, copies[b], len(rows)) + np.bincount(b, copies[a], len(rows))
     some = np.flatnonzero(links)
     return pd.DataFrame({"rep_id": ids[some], "links": links[some].astype(np.int64), "first_id": ids[_roots(len(rows), a, b)][some]})
 
 
-def _lists(rows: DataFrame) -> DataFrame:
-    """Rows of every list, dealt to the pairs of blocks that are compared."""
+def _with_blocks(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` of lists that hold more than one, with the number of blocks of their list."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    sizes = sizes.select(*(F.col(k).alias(f"of_{k}") for k in keys), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"of_{k}"))
+    return rows.join(sizes, same).drop(*(f"of_{k}" for k in keys))
+
+
+def lists(rows: DataFrame) -> DataFrame:
+    """Described rows in every list, dealt to the pairs of blocks that are compared."""
     listed = rows.select("rep_id", "label", "copies", "embedding", "nearest", F.explode(F.slice("nearest", 1, LISTED)).alias("pivot"))
-    keys = ["label", "pivot", F.size("embedding").alias("size")]
-    sizes = listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    blocks = sizes.select(
-        F.col("label").alias("of_label"), F.col("pivot").alias("of_pivot"), F.col("size").alias("of_size"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
-    )
-    dealt = listed.withColumn("size", F.size("embedding")).join(
-        blocks, (F.col("label") == F.col("of_label")) & (F.col("pivot") == F.col("of_pivot")) & (F.col("size") == F.col("of_size"))
-    )
+    met = _with_blocks(listed.withColumn("size", F.size("embedding")), ["label", "size", "pivot"])
+    whole = met.filter(F.col("blocks") <= BLOCKS_UNDIVIDED).withColumn("second", F.lit(-1))
+    divided = met.filter(F.col("blocks") > BLOCKS_UNDIVIDED).drop("blocks")
+    divided = divided.withColumn("second", F.explode(F.array_remove("nearest", F.col("pivot"))))
+    dealt = whole.unionByName(_with_blocks(divided, ["label", "size", "pivot", "second"]))
     own = F.pmod(F.xxhash64("rep_id"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     return (
         dealt.withColumn("block", own)
-        .withColumn("other", other)
-        .select("label", "size", "pivot", "rep_id", "copies", "embedding", "nearest", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
-    )
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "label", "size", "pivot", "second", "rep_id", "copies", "embedding", "nearest", "block",
+            F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
+        )
+    )
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
@@ -171,7 +233,9 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     )
     table = _pivot_table(distinct)
     found = (
-        _lists(described(distinct, table)).groupBy("label", "size", "pivot", "left", "right").applyInPandas(_compare, "rep_id long, links long, first_id long")
+        lists(cut(described(distinct, table)))
+        .groupBy("label", "size", "pivot", "second", "left", "right")
+        .applyInPandas(_compare, "rep_id long, links long, first_id long")
         if table
         else distinct.select("rep_id", F.lit(0).cast("long").alias("links"), F.col("rep_id").alias("first_id")).limit(0)
     )

@@ -38,9 +38,10 @@ def brute(rows):
     return links, root, pairs
 
 
-@pytest.mark.parametrize("block", [2048, 8])
-def test_against_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,undivided", [(2048, 11), (8, 11), (8, 1)])
+def test_against_brute_force(spark, monkeypatch, block, undivided):
     monkeypatch.setattr(pivots, "BLOCK", block)
+    monkeypatch.setattr(pivots, "BLOCKS_UNDIVIDED", undivided)
     rng = np.random.default_rng(2)
     rows, n = [], 0
     for group in range(60):
@@ -112,3 +113,28 @@ def test_recall_over_all_labels(spark):
         total += ((m @ m.T >= 0.93).sum() - len(m)) // 2
     found = sum(x["n_links"] for x in pivots.near_duplicates(rows).collect()) / 2
     assert 0.95 * total <= found <= total + 1e-6 * total
+
+
+def test_tiny_and_huge_components_link(spark):
+    rows = [(1, [1e-200, 0.0], 1), (2, [2e-200, 0.0], 1), (3, [1e200, 0.0], 1), (4, [0.0, 5e-324], 1), (5, [0.0, 1e308], 1), (6, [1e308, 1e308], 1)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in pivots.near_duplicates(vectors).collect()}
+    assert found == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
+
+
+def test_pivots_grow_with_the_rows_within_their_bounds():
+    assert [pivots.pivot_count(n, 64) for n in (1, 4096, 4097, 100_000, 10**9)] == [256, 256, 512, 8192, 1 << 14]
+    assert pivots.pivot_count(10**9, 1024) == 2048 and pivots.pivot_count(10**9, 1 << 22) == 256
+
+
+def test_candidates_stay_few_as_the_rows_grow():
+    """Pairs that share enough pivots of a common list, for each vector, do not grow with the rows."""
+    rng, met = np.random.default_rng(7), []
+    for n in (4_000, 16_000, 64_000):
+        units = pivots._units(rng.standard_normal((n, 64)))
+        table = pivots._spread_out(units, pivots.pivot_count(n, 64))
+        near = np.concatenate([np.argsort(-(units[i : i + 500] @ table.T), axis=1)[:, : pivots.DESCRIBED] for i in range(0, n, 500)])
+        asked = near[:: n // 200]
+        found = [((near[:, :, None] == a).any(axis=2).sum(axis=1) >= pivots.SHARED) & (near[:, : pivots.LISTED, None] == a[: pivots.LISTED]).any(axis=(1, 2)) for a in asked]
+        met.append(np.mean([f.sum() for f in found]) - 1)
+    assert max(met) < 1.2 * met[0] and met[-1] < 0.01 * 64_000, met
