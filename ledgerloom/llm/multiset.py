@@ -1,21 +1,23 @@
 """Homomorphic multiset fingerprints of documents.
 
 A document is a multiset of paragraphs (its lines that are not blank). Every paragraph is hashed to a wide vector of
-20-bit lanes, and the fingerprint is the sum of the vectors, each lane modulo 2^20. So paragraphs can come in any
+lanes, and the fingerprint is the sum of the vectors, each lane modulo a power of two. So paragraphs can come in any
 order, be added with ``+`` and taken away with ``-`` without reading the others. A paragraph's vector has 24 lanes
-drawn from a hash of the whole paragraph, which tell multisets apart, and 63 lanes that count the set bits of the
-hashes of its runs of four words, one from every word on, which show how much two documents share. A word put in or
-taken out changes the runs that reach over it, and no others.
+modulo 2^20 drawn from a hash of the whole paragraph, which tell multisets apart, and 64 lanes modulo 2^62 that count
+the set bits of the hashes of its runs of four words, one from every word on, which show how much two documents share.
+A word put in or taken out changes the runs that reach over it, and no others.
 
-Three lanes share a long, each with a spare bit that takes the carry of a sum before it is cleared.
+Three of the 24 lanes share a long, each with a spare bit that takes the carry of a sum before it is cleared. Each of
+the 64 has a long of its own, behind them comes the number of runs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import free_name, settle
+from ledgerloom.llm.ordering import with_following
 
 LANE_BITS = 20
 SHIFTS = (0, LANE_BITS + 1, 2 * LANE_BITS + 2)
@@ -23,29 +25,59 @@ LANE = (1 << LANE_BITS) - 1
 MASK = sum(LANE << s for s in SHIFTS)
 ONES = sum(1 << s for s in SHIFTS)
 EXACT_LONGS = 8
-SIGN_LONGS = 21
+COUNT_BITS = 62
+COUNTED = 64
+# The lowest bit of every byte of a long, and how many such bits a byte can add up.
+BYTE_ONES = sum(1 << s for s in range(0, 64, 8))
+RUNS_PER_BLOCK = 127
 # At the start of every word: it and up to three words behind it in the line, looked at without being used up.
 RUN_PATTERN = r"(?<!\S)(?=(\S+(?:[ \t]+\S+){0,3}))\S"
-# Documents that are put in order together, on average.
-ROWS_PER_RANGE = 2048
+# Copies of a row that are written out at a time.
+COPIES_AT_A_TIME = 10_000
+
+
+def _by_lanes(a: Column, b: Column, exact, counts) -> Column:
+    """``exact`` of the longs of three lanes, ``counts`` of the others."""
+    parts = [(F.slice(x, 1, EXACT_LONGS), F.slice(x, EXACT_LONGS + 1, COUNTED + 1)) for x in (a, b)]
+    (a_exact, a_counts), (b_exact, b_counts) = parts
+    return F.concat(F.zip_with(a_exact, b_exact, exact), F.zip_with(a_counts, b_counts, counts))
 
 
 def add(a: Column, b: Column) -> Column:
     """Fingerprint of two multisets together."""
-    return F.zip_with(a, b, lambda x, y: (x + y).bitwiseAND(F.lit(MASK)))
+    wide = F.lit((1 << COUNT_BITS) - 1)
+    return _by_lanes(a, b, lambda x, y: (x + y).bitwiseAND(F.lit(MASK)), lambda x, y: (x + y).bitwiseAND(wide))
 
 
 def take_away(a: Column, b: Column) -> Column:
     """Fingerprint of ``a`` without the paragraphs of ``b``."""
-    # Adding 2^20 to each lane first keeps it from going below zero.
-    return F.zip_with(a, b, lambda x, y: (F.lit(ONES << LANE_BITS) + x - y).bitwiseAND(F.lit(MASK)))
+    # Adding the modulus to each lane first keeps it from going below zero.
+    wide, size = F.lit((1 << COUNT_BITS) - 1), F.lit(1 << COUNT_BITS)
+    return _by_lanes(
+        a, b, lambda x, y: (F.lit(ONES << LANE_BITS) + x - y).bitwiseAND(F.lit(MASK)), lambda x, y: (size + x - y).bitwiseAND(wide)
+    )
+
+
+def _blocks(values: Column) -> Column:
+    """``values`` in arrays of at most RUNS_PER_BLOCK."""
+    n = F.size(values)
+    starts = F.sequence(F.lit(0), n - 1, F.lit(RUNS_PER_BLOCK))
+    inside = lambda at: F.sequence(at, F.least(at + RUNS_PER_BLOCK, n) - 1)
+    return F.when(n == 0, F.array().cast("array<array<bigint>>")).otherwise(
+        F.transform(starts, lambda at: F.transform(inside(at), lambda i: F.get(values, i)))
+    )
+
 
+def _byte_sum(block: Column, bit: int) -> Column:
+    """How often bit ``bit`` of each byte is set in a block of hashes, in the bytes of a long."""
+    return F.aggregate(block, F.lit(0).cast("long"), lambda total, v: total + F.shiftrightunsigned(v, bit).bitwiseAND(F.lit(BYTE_ONES)))
 
-def _lane_sum(values: Column, shift: int) -> Column:
+
+def _lane_sum(sums: Column, bit: int, byte: int) -> Column:
     return F.aggregate(
-        values,
+        sums,
         F.lit(0).cast("long"),
-        lambda total, v: (total + F.shiftrightunsigned(v, shift).bitwiseAND(F.lit(ONES))).bitwiseAND(F.lit(MASK)),
+        lambda total, s: total + F.shiftrightunsigned(F.get(s, F.lit(bit)), 8 * byte).bitwiseAND(F.lit(255)),
     )
 
 
@@ -59,19 +91,22 @@ def _exact_sum(lines: Column, seed: int) -> Column:
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """Add the fingerprint of column ``text`` as an array of longs; NULL counts as empty, all zero."""
-    lines, runs = free_name([*df.columns, name], "lines"), free_name([*df.columns, name], "runs")
+    names = [*df.columns, name]
+    lines, runs, blocks, sums = (free_name(names, n) for n in ("lines", "runs", "blocks", "sums"))
     value = F.coalesce(F.col(text), F.lit(""))
-    # Hashes are made once and then read by many sums, so they are columns of their own.
+    # Hashes are made once and then read by many sums, so they are columns of their own; so are the sums of blocks,
+    # which count eight lanes in one walk.
     hashed = df.withColumns(
         {
             lines: F.filter(F.split(value, "\n"), lambda line: F.trim(line) != ""),
             runs: F.transform(F.regexp_extract_all(value, F.lit(RUN_PATTERN), F.lit(1)), lambda run: F.xxhash64(run)),
         }
     )
+    hashed = hashed.withColumn(blocks, _blocks(F.col(runs)))
+    hashed = hashed.withColumn(sums, F.transform(blocks, lambda block: F.array(*(_byte_sum(block, n) for n in range(8)))))
     exact = [_exact_sum(F.col(lines), n) for n in range(EXACT_LONGS)]
-    signs = [_lane_sum(F.col(runs), n) for n in range(SIGN_LONGS)]
-    count = F.size(runs).cast("long").bitwiseAND(F.lit(LANE))
-    return hashed.withColumn(name, F.array(*exact, *signs, count)).drop(lines, runs)
+    counts = [_lane_sum(F.col(sums), bit, byte) for byte in range(8) for bit in range(8)]
+    return hashed.withColumn(name, F.array(*exact, *counts, F.size(runs).cast("long"))).drop(lines, runs, blocks, sums)
 
 
 def as_hex(fingerprint: Column) -> Column:
@@ -79,16 +114,12 @@ def as_hex(fingerprint: Column) -> Column:
 
 
 def _signed(fingerprint: Column) -> Column:
-    """The 63 counting lanes as sums of plus and minus ones."""
-    half = 1 << (LANE_BITS - 1)
-    count = F.element_at(fingerprint, -1)
-    lanes = F.flatten(
-        F.transform(
-            F.slice(fingerprint, EXACT_LONGS + 1, SIGN_LONGS),
-            lambda x: F.array(*(F.shiftrightunsigned(x, s).bitwiseAND(F.lit(LANE)) for s in SHIFTS)),
-        )
-    )
-    return F.transform(lanes, lambda x: (F.pmod(2 * x - count + half, F.lit(1 << LANE_BITS)) - half).cast("double"))
+    """The 64 counting lanes as sums of plus and minus ones."""
+    half, size = F.lit(1 << (COUNT_BITS - 1)), F.lit(1 << COUNT_BITS)
+    # What was taken away without being there counts below zero.
+    number = lambda x: F.when(x >= half, x - size).otherwise(x).cast("double")
+    count = number(F.element_at(fingerprint, -1))
+    return F.transform(F.slice(fingerprint, EXACT_LONGS + 1, COUNTED), lambda x: 2 * number(x) - count)
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -104,55 +135,26 @@ def with_likeness(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
     return lanes.withColumn(name, F.when(F.col(left) == F.col(right), F.lit(1.0)).otherwise(cosine)).drop(a, b)
 
 
-def _range_of(value: Column, bounds: list[int]) -> Column:
-    """How many of the sorted bounds are at most ``value``, found in two steps; NULL is above all."""
-    if not bounds:
-        return F.lit(0)
-    width = max(1, int(len(bounds) ** 0.5))
-    parts = [bounds[i : i + width] for i in range(0, len(bounds), width)]
-    literal = lambda xs: F.array(*(F.lit(x).cast("long") for x in xs))
-    tops = literal([p[0] for p in parts])
-    part = F.size(F.filter(tops, lambda b: b <= value))
-    inside = F.size(F.filter(F.element_at(F.array(*map(literal, parts)), F.greatest(part, F.lit(1))), lambda b: b <= value))
-    found = F.when(part == 0, F.lit(0)).otherwise((part - 1) * width + inside)
-    return F.when(value.isNull(), F.lit(len(bounds))).otherwise(found)
+def with_next_row(rows: DataFrame, key: str) -> DataFrame:
+    """For each distinct ``row_key`` of ``rows`` (key, row_key, ...): copies, and the row_key next by ``key``, NULL last.
 
+    Rows of one key follow one another by row_key; after the last comes the first. Only keys are put in order, in
+    ranges that Spark draws and stores; a key that holds any share of the rows is spread over as many ranges.
+    """
+    place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("row_key"))
+    light = rows.groupBy(key, "row_key").agg(F.count(F.lit(1)).alias("copies"))
+    light = light.select("row_key", "copies", place.alias("place"), F.lit(0).alias("whole"))
+    light = with_following(light, "whole", "place", "row_key", "next_key", "is_first")
+    start = light.agg(F.min("place").alias("place")).select("place.row_key").scalar()
+    return light.select("row_key", "copies", F.coalesce("next_key", start).alias("next_key"))
 
-def with_next(rows: DataFrame, key: str, tie: Column, lead: dict[str, str]) -> DataFrame:
-    """Add columns of the next row by ``key``, NULL keys last; after the last row comes the first.
 
-    Rows are ranged by quantiles of the key, and the first rows of each range visit the range before, so every
-    range is put in order by itself. Only one key per range comes to the driver.
-    """
-    order, at, guest = (free_name([*rows.columns, *lead.values()], n) for n in ("order_no", "range_no", "is_guest"))
-    ranges = -(-rows.count() // ROWS_PER_RANGE)
-    bounds: list[int] = []
-    if ranges > 1:
-        cuts = rows.select(F.col(key).cast("double").alias(key)).approxQuantile(
-            key, [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)
-        )
-        bounds = sorted({int(x) for x in cuts})
-    place = _range_of(F.col(key), bounds)
-    firsts = dict(rows.select(F.col(key), place.alias(at)).groupBy(at).agg(F.min(key)).collect())
-    if not firsts:
-        return rows.select("*", *(F.col(c).alias(n) for c, n in lead.items()))
-    used = sorted(firsts)
-    first, before = [None] * (len(bounds) + 1), [None] * (len(bounds) + 1)
-    for i, r in enumerate(used):
-        first[r], before[r] = firsts[r], used[i - 1]
-    spot = place + 1
-    is_first = F.col(key).eqNullSafe(F.element_at(F.array(*(F.lit(x).cast("long") for x in first)), spot))
-    visit = F.element_at(F.array(*(F.lit(x).cast("int") for x in before)), spot)
-    homes = F.array(F.struct(place.alias("at"), F.lit(0).alias("guest")))
-    visits = F.when(is_first, F.array(F.struct(visit.alias("at"), F.lit(1).alias("guest")))).otherwise(F.slice(homes, 1, 0))
-    dealt = rows.withColumn(order, tie).select("*", F.explode(F.concat(homes, visits)).alias("spot"))
-    dealt = dealt.withColumns({at: F.col("spot.at"), guest: F.col("spot.guest")}).drop("spot")
-    following = Window.partitionBy(at).orderBy(guest, F.col(key).asc_nulls_last(), order)
-    return (
-        dealt.withColumns({n: F.lead(c).over(following) for c, n in lead.items()})
-        .filter(F.col(guest) == 0)
-        .drop(order, at, guest)
-    )
+def _copies(rows: DataFrame, times: str) -> DataFrame:
+    """Each row as often as ``times`` says, without an array of that length."""
+    at = F.explode(F.sequence(F.lit(0).cast("long"), F.col(times) - 1, F.lit(COPIES_AT_A_TIME).cast("long"))).alias("at")
+    some = rows.select("*", at)
+    inside = F.sequence(F.col("at"), F.least(F.col("at") + COPIES_AT_A_TIME, F.col(times)) - 1)
+    return some.withColumn("at", F.explode(inside)).drop("at", times)
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -160,21 +162,36 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text has the last quarter of the code points replaced by the first as many of the next document by
     doc_id. A NULL text counts as empty. Rows without doc_id come last, rows of one doc_id in the order of a hash of
-    their texts; a lone document is its own next. Blank lines and blanks at a line's end leave the likeness alone, and
+    id and text; a lone document is its own next. Blank lines and blanks at a line's end leave the likeness alone, and
     blank lines the fingerprint too. Texts of blanks only have the fingerprint zero. Other columns are ignored.
+
+    A row and its copies are one until the end. Its text moves once; the part of it that another row takes and its
+    fingerprint visit that row.
     """
     settle(docs.sparkSession)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_fingerprint(rows, "text", "own")
-    rows = with_next(rows, "doc_id", F.xxhash64("text"), {"text": "next_text", "own": "next_own"})
+    rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
+    rows = rows.withColumn("row_key", F.sha2(name, 256))
     size = F.char_length("text")
     part = F.floor(size / 4).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), size - part), F.substring("next_text", F.lit(1), part))
-    rows = rows.select("doc_id", size.cast("long").alias("n_chars"), "own", "next_own", edited.alias("edited"))
+    order = with_next_row(rows.select("doc_id", "row_key"), "doc_id")
+    own = with_fingerprint(rows, "text", "own").groupBy("row_key").agg(*(F.first(c).alias(c) for c in ("doc_id", "text", "own")))
+    known = own.join(order, "row_key")
+    asked = known.select(F.col("next_key").alias("row_key"), F.col("row_key").alias("asked_by"), part.alias("part"))
+    given = own.join(asked, "row_key").select(
+        F.col("asked_by").alias("row_key"), F.substring("text", F.lit(1), F.col("part")).alias("next_part"), F.col("own").alias("next_own")
+    )
+    by_next = F.struct("next_part", "next_own", F.lit(1).cast("long").alias("times"))
+    # All copies but the last are followed by one like them.
+    by_itself = F.struct(F.substring("text", F.lit(1), part).alias("next_part"), F.col("own").alias("next_own"), (F.col("copies") - 1).alias("times"))
+    both = F.when(F.col("copies") > 1, F.array(by_next, by_itself)).otherwise(F.array(by_next))
+    rows = known.join(given, "row_key").select("doc_id", "text", "own", F.inline(both))
+    edited = F.concat(F.substring("text", F.lit(1), size - part), F.substring("next_part", F.lit(1), part))
+    rows = rows.select("doc_id", size.cast("long").alias("n_chars"), "own", "next_own", "times", edited.alias("edited"))
     rows = with_fingerprint(rows, "edited", "changed").withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
     rows = with_likeness(rows, "own", "changed", "near_edited")
     rows = with_likeness(rows, "own", "next_own", "near_next")
-    return rows.select(
+    rows = rows.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
@@ -182,4 +199,6 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         as_hex(F.col("changed")).alias("edited_fingerprint"),
         "near_edited",
         "near_next",
+        "times",
     )
+    return _copies(rows, "times")

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -39,11 +40,10 @@ def plain_edits(rows):
     return out
 
 
-def test_edited_texts_and_likeness(spark, folder, monkeypatch):
+def test_edited_texts_and_likeness(spark, folder):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     rows += [(5000, None), (5001, ""), (5002, "🙂é\n" * 30), (5003, " \n "), (None, "the last one, without id"), (5004, rows[0][1]), (5005, rows[0][1])]
-    monkeypatch.setattr(multiset, "ROWS_PER_RANGE", 16)
-    docs = documents(spark, rows, "own lines runs range_no order_no is_guest next_text lanes_a")
+    docs = documents(spark, rows, "own lines runs blocks sums row_key next_key copies place times at range_no order_no is_guest next_text lanes_a")
     found = by_id(multiset.edited_fingerprints(docs))
     edits = plain_edits(rows)
     assert len(found) == len(rows)
@@ -83,3 +83,49 @@ def test_runs_stay_within_their_line_and_leave_out_blanks_at_its_end(spark):
     assert runs == ["a b c d", "b c d e", "c d e", "d e", "e", "f  g", "g", "h"]
     long = spark.createDataFrame([("x" * 3_000_000 + " y",)], "text string")
     assert long.select(F.size(F.regexp_extract_all("text", F.lit(multiset.RUN_PATTERN), F.lit(1)))).first()[0] == 2
+
+
+def test_copies_of_a_row_are_written_out_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(multiset, "COPIES_AT_A_TIME", 4)
+    rows = [(1, "abcdefgh ij")] * 13 + [(None, None)] * 9 + [(None, "no id, no copy")] + [(2, "the end of it")] * 4
+    found = [(r["doc_id"], r["edited_sha256"], r["near_next"]) for r in multiset.edited_fingerprints(documents(spark, rows)).collect()]
+    assert [sum(r[0] == i for r in found) for i in (1, 2, None)] == [13, 4, 10]
+    ends = [hashlib.sha256(b"abcdefgh " + end).hexdigest() for end in (b"ab", b"th")]
+    assert [sum(r[1] == end for r in found) for end in ends] == [12, 1]
+
+
+def plain_fingerprint(spark, text):
+    """Lanes counted one by one; only the hashes are Spark's."""
+    lines = [line for line in (text or "").split("\n") if line.strip(" ")]
+    words = [re.findall(r"\S+", line) for line in lines]
+    runs = [" ".join(w[n : n + 4]) for w in words for n in range(len(w))]
+    table = spark.createDataFrame([(runs, lines)], "runs array<string>, lines array<string>")
+    hashed = lambda seed: F.transform("lines", lambda line: F.xxhash64(F.lit(seed), line))
+    seeds = [hashed(n).alias(f"e{n}") for n in range(8)]
+    r = table.select(F.transform("runs", lambda x: F.xxhash64(x)).alias("hashes"), *seeds).first()
+    exact = []
+    for n in range(8):
+        lanes = [sum((h >> s) & 0xFFFFF for h in r[f"e{n}"]) % (1 << 20) for s in (0, 21, 42)]
+        exact.append(sum(v << s for v, s in zip(lanes, (0, 21, 42))))
+    return exact + [sum((h >> bit) & 1 for h in r["hashes"]) for bit in range(64)] + [len(runs)]
+
+
+def test_lanes_equal_those_counted_one_by_one(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(90)]
+    texts = [None, "", "a", "\n".join(prose(rng, words, n) for n in (1, 126, 127, 128, 700)), prose(rng, words, 254), prose(rng, words, 127)]
+    assert prints(spark, texts) == [plain_fingerprint(spark, t) for t in texts]
+
+
+def test_likeness_of_very_long_repetitive_texts(spark):
+    rows = [(1, "a b c\n" * 400_000), (2, "a b c\n" * 600_000), (3, "d e f g\n" * 10)]
+    found = by_id(multiset.edited_fingerprints(documents(spark, rows)))
+    assert found[1]["near_next"] > 0.99 and found[1]["near_edited"] > 0.99 and found[2]["near_next"] < 0.9
+
+
+def test_counts_below_zero_keep_their_sign(spark):
+    a, b = prints(spark, ["one two three", "four five six seven\neight nine"])
+    table = spark.createDataFrame([(a, b)], "x array<bigint>, y array<bigint>")
+    table = table.withColumn("back", multiset.add(multiset.take_away(F.col("x"), F.col("y")), F.col("y")))
+    table = multiset.with_likeness(table.withColumn("less", multiset.take_away(F.lit([0] * len(a)).cast("array<bigint>"), F.col("x"))), "less", "x", "near")
+    assert table.select("back", "near").first() == (a, 0.0)
