@@ -136,17 +136,17 @@ def with_likeness(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
 
 
 def with_next_row(rows: DataFrame, key: str) -> DataFrame:
-    """For each distinct ``row_key`` of ``rows`` (key, row_key, ...): copies, and the row_key next by ``key``, NULL last.
+    """For each distinct ``row_key`` of ``rows`` (key, row_key, n_chars): copies, n_chars, the row_key next by ``key``.
 
-    Rows of one key follow one another by row_key; after the last comes the first. Only keys are put in order, in
+    NULL keys are last, rows of one key follow one another by row_key; after the last comes the first. Only keys are put in order, in
     ranges that Spark draws and stores; a key that holds any share of the rows is spread over as many ranges.
     """
     place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("row_key"))
-    light = rows.groupBy(key, "row_key").agg(F.count(F.lit(1)).alias("copies"))
-    light = light.select("row_key", "copies", place.alias("place"), F.lit(0).alias("whole"))
+    light = rows.groupBy(key, "row_key").agg(F.count(F.lit(1)).alias("copies"), F.max("n_chars").alias("n_chars"))
+    light = light.select("row_key", "copies", "n_chars", place.alias("place"), F.lit(0).alias("whole"))
     light = with_following(light, "whole", "place", "row_key", "next_key", "is_first")
     start = light.agg(F.min("place").alias("place")).select("place.row_key").scalar()
-    return light.select("row_key", "copies", F.coalesce("next_key", start).alias("next_key"))
+    return light.select("row_key", "copies", "n_chars", F.coalesce("next_key", start).alias("next_key"))
 
 
 def _copies(rows: DataFrame, times: str) -> DataFrame:
@@ -173,21 +173,25 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
     rows = rows.withColumn("row_key", F.sha2(name, 256))
     size = F.char_length("text")
-    part = F.floor(size / 4).cast("int")
-    order = with_next_row(rows.select("doc_id", "row_key"), "doc_id")
-    own = with_fingerprint(rows, "text", "own").groupBy("row_key").agg(*(F.first(c).alias(c) for c in ("doc_id", "text", "own")))
-    known = own.join(order, "row_key")
-    asked = known.select(F.col("next_key").alias("row_key"), F.col("row_key").alias("asked_by"), part.alias("part"))
+    part = F.floor(F.col("n_chars") / 4).cast("int")
+    order = with_next_row(rows.select("doc_id", "row_key", size.alias("n_chars")), "doc_id")
+    # One struct: both joins below read the same columns, so the texts are fingerprinted and shuffled once for both.
+    whole = F.first(F.struct("doc_id", "text", "own")).alias("whole")
+    own = with_fingerprint(rows, "text", "own").groupBy("row_key").agg(whole)
+    asked = order.select(F.col("next_key").alias("row_key"), F.col("row_key").alias("asked_by"), part.alias("part"))
     given = own.join(asked, "row_key").select(
-        F.col("asked_by").alias("row_key"), F.substring("text", F.lit(1), F.col("part")).alias("next_part"), F.col("own").alias("next_own")
+        F.col("asked_by").alias("row_key"),
+        F.substring("whole.text", F.lit(1), F.col("part")).alias("next_part"),
+        F.col("whole.own").alias("next_own"),
     )
+    known = own.join(order, "row_key").select("row_key", "copies", "n_chars", "whole.*")
     by_next = F.struct("next_part", "next_own", F.lit(1).cast("long").alias("times"))
     # All copies but the last are followed by one like them.
     by_itself = F.struct(F.substring("text", F.lit(1), part).alias("next_part"), F.col("own").alias("next_own"), (F.col("copies") - 1).alias("times"))
     both = F.when(F.col("copies") > 1, F.array(by_next, by_itself)).otherwise(F.array(by_next))
-    rows = known.join(given, "row_key").select("doc_id", "text", "own", F.inline(both))
-    edited = F.concat(F.substring("text", F.lit(1), size - part), F.substring("next_part", F.lit(1), part))
-    rows = rows.select("doc_id", size.cast("long").alias("n_chars"), "own", "next_own", "times", edited.alias("edited"))
+    rows = known.join(given, "row_key").select("doc_id", "text", "n_chars", "own", F.inline(both))
+    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars") - part), "next_part")
+    rows = rows.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), "own", "next_own", "times", edited.alias("edited"))
     rows = with_fingerprint(rows, "edited", "changed").withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
     rows = with_likeness(rows, "own", "changed", "near_edited")
     rows = with_likeness(rows, "own", "next_own", "near_next")
