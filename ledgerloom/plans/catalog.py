@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import with_dense_key, with_row_key
-from ledgerloom.operators import audits, calendar, checks, guards, loading, mrr, quarantine, reports
+from ledgerloom.operators import audits, calendar, checks, guards, loading, mrr, payments, quarantine, reports
 from ledgerloom.operators import subscriptions as subs
 from ledgerloom.plans import build as full_build
 from ledgerloom.plans import refresh
 from ledgerloom.plans.frames import Frames, StoredFrames
 from ledgerloom.session import scratch_path
+from ledgerloom.sources import colocated
 from ledgerloom.sources.files import load_raw, write_raw
 from ledgerloom.sources.keyed import KeyedTable
 from ledgerloom.sources.schemas import RAW_PAYMENTS
@@ -198,6 +200,20 @@ def stg_payouts(f: Frames) -> DataFrame:
     return f.payouts
 
 
+@_query
+def colocated_payouts(f: Frames) -> DataFrame:
+    """Staged payouts out of payments and payouts that were stored in buckets of the payment."""
+    folder, mark = scratch_path(f.spark, "buckets"), uuid.uuid4().hex
+    names = f"payouts_{mark}", f"payments_{mark}"
+    # As many buckets as shuffle partitions: a later shuffle of one side alone would fit the other, too.
+    buckets = int(f.spark.conf.get("spark.sql.shuffle.partitions"))
+    sides = f.raw.raw_payouts, f.payments.select("payment_id", "brand_id")
+    stored = colocated.store(f.spark, dict(zip(names, sides)), folder, "payment_id", buckets)
+    return colocated.together(
+        *(stored[n] for n in names), lambda payouts, paid: payments.stage_payouts(payouts, paid, f.raw.dim_creator)
+    )
+
+
 @_query
 def quarantine_missing_brand(f: Frames) -> DataFrame:
     return quarantine.quarantine_missing_brand(f.raw.raw_subscription_events)

@@ -595,6 +595,7 @@ def statements() -> dict[str, str]:
         ),
         "stg_payments": _columns(f"* REPLACE ({_text('paid_at')} AS paid_at)", "payments"),
         "stg_payouts": _columns(f"* REPLACE ({_text('payout_at')} AS payout_at)", "payouts"),
+        "colocated_payouts": _columns(f"* REPLACE ({_text('payout_at')} AS payout_at)", "payouts"),
         "quarantine_missing_brand": _statement(
             ("bad_events",), "SELECT * FROM bad_events WHERE reason = 'missing_brand_external_id'"
         ),
