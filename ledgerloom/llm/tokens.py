@@ -2,7 +2,8 @@
 
 The vocabulary has no piece with a space behind another character and none with a line break, so the pieces of a
 text are those of its pre-tokens: a run of spaces with the characters up to the next space or line break, or a
-line break. Every distinct pre-token is counted once and joined to the documents' pre-tokens; only sums remain.
+line break. Every distinct pre-token is counted once and joined to the documents' pre-token frequencies; only sums
+remain.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import cut, settle, ship
@@ -47,25 +48,44 @@ def check_vocabulary(processor: sentencepiece.SentencePieceProcessor) -> None:
 
 
 def with_pieces(words: DataFrame, model: bytes) -> DataFrame:
-    """``words`` (column w) with the number of pieces of each; equal words that follow each other are counted once."""
+    """Distinct pre-tokens (the only column, w) with the number of pieces of each."""
     sent = words.sparkSession.sparkContext.broadcast(model)
     kept: dict[str, sentencepiece.SentencePieceProcessor] = {}
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if "it" not in kept:
             kept["it"] = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
-        last, last_pieces = None, 0
         for batch in batches:
-            words = batch.column("w").dictionary_encode()
-            distinct = words.dictionary.to_pylist()
-            begun = len(distinct) > 0 and distinct[0] == last
-            pieces = [last_pieces] * begun + count_pieces(distinct[int(begun) :], kept["it"])
-            if distinct:
-                last, last_pieces = distinct[-1], pieces[-1]
-            yield batch.append_column("pieces", pa.array(pieces, pa.int64()).take(words.indices))
+            pieces = count_pieces(batch.column("w").to_pylist(), kept["it"])
+            yield batch.append_column("pieces", pa.array(pieces, pa.int64()))
 
-    return words.mapInArrow(count, f"{fields}, pieces long")
+    return words.mapInArrow(count, "w string, pieces long")
+
+
+def frequencies(rows: DataFrame) -> DataFrame:
+    """KEYS, w and n: how often each pre-token is in each row of ``rows`` (KEYS, found).
+
+    The pre-tokens of a row are sorted and counted inside the row, so nothing is shuffled.
+    """
+    ordered = rows.select(*KEYS, F.sort_array("found").alias("ordered"), F.size("found").alias("size"))
+    # Beyond the ends get() gives NULL, which no pre-token equals.
+    places = F.filter(
+        F.sequence(F.lit(0), F.greatest(F.col("size") - 1, F.lit(0))),
+        lambda i: ~F.get("ordered", i).eqNullSafe(F.get("ordered", i - 1)),
+    )
+    begun = ordered.select(*KEYS, "ordered", "size", places.alias("places"))
+    runs = F.transform(
+        "places",
+        lambda at, k: F.struct(
+            F.get("ordered", at).alias("w"), (F.coalesce(F.get("places", k + 1), F.col("size")) - at).cast("long").alias("n")
+        ),
+    )
+    return begun.select(*KEYS, F.inline(runs))
+
+
+def _key(w: Column) -> Column:
+    """``w`` itself if short, else a digest that no short one equals: what joins move has a bounded width."""
+    return F.when(F.octet_length(w) <= FREQUENT_BYTES, w).otherwise(F.sha2(w, 256))
 
 
 def _at_most(counted: DataFrame, most: int) -> DataFrame:
@@ -81,23 +101,32 @@ def _at_most(counted: DataFrame, most: int) -> DataFrame:
 
 
 def frequent_words(rows: DataFrame, documents: int) -> DataFrame:
-    """Frequent pre-tokens of a sample of ``rows`` (digest, found), chosen by a hash of the text."""
+    """Frequent pre-tokens of a sample of ``rows`` (KEYS, found), chosen by a hash of the text."""
     buckets = 1 << 30
     bound = min(buckets, -(-buckets * SAMPLE_DOCUMENTS // max(1, documents)))
-    sample = rows.filter(F.pmod(F.xxhash64("digest"), F.lit(buckets)) < bound)
-    words = sample.select(F.explode_outer("found").alias("w")).filter(F.col("w").isNotNull())
+    sample = frequencies(rows.filter(F.pmod(F.xxhash64("digest"), F.lit(buckets)) < bound))
     size = F.octet_length("w")
-    counted = cut(words.groupBy("w").agg(F.count(F.lit(1)).alias("uses")).filter(size <= LONG_BYTES))
+    counted = cut(sample.filter((F.col("w") != ROW) & (size <= LONG_BYTES)).groupBy("w").agg(F.sum("n").alias("uses")))
     short, long = counted.filter(size <= FREQUENT_BYTES), counted.filter(size > FREQUENT_BYTES)
     return _at_most(short, FREQUENT).unionByName(_at_most(long, FREQUENT_LONG)).select("w")
 
 
+def repeated(rows: DataFrame, copies: str) -> DataFrame:
+    """Every row as often as its column ``copies`` says, without that column; no array is longer than needed for a block."""
+    block = 1 << 12
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({copies} - 1) div {block}")))
+    kept = [c for c in rows.columns if c != copies]
+    blocks = rows.select(*kept, copies, parts.alias("part"))
+    within = F.least(F.col(copies) - F.col("part") * block, F.lit(block).cast("long"))
+    return blocks.select(*kept, F.explode(F.sequence(F.lit(1).cast("long"), within)).alias("part")).drop("part")
+
+
 def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every row; other columns are ignored.
 
     A NULL text counts as empty: no bytes and no tokens. Repeated rows come out as often as they go in. Which
-    pre-tokens are counted first depends on a sample, what comes out does not: all others are dealt by
-    pre-token, sorted, and counted where they meet.
+    pre-tokens are joined by broadcast depends on a sample, what comes out does not: the others are counted once
+    each and joined by shuffle to the rows' frequencies, and Spark splits those that very many rows share.
     """
     settle(docs.sparkSession)
     with open(model_file, "rb") as f:
@@ -107,23 +136,26 @@ def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
     spaced = F.concat(F.lit(" "), F.translate(text, SPACE_MARK, " "))
     # An empty text gets no mark in front.
     found = F.when(text == "", F.array().cast("array<string>")).otherwise(F.regexp_extract_all(spaced, F.lit(PRE_TOKEN), F.lit(0)))
-    rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.xxhash64(text).alias("digest"), found.alias("found"))
+    rows = docs.select(
+        "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.xxhash64(text).alias("digest"),
+        F.concat(F.array(F.lit(ROW)), found).alias("found"),
+    )
+    used = frequencies(rows)
     frequent = cut(with_pieces(frequent_words(rows, docs.count()), model))
     near = F.broadcast(frequent.select(F.col("w").alias("near_w"), F.col("pieces").alias("near_pieces")))
-    used = rows.select(*KEYS, F.explode(F.concat(F.array(F.lit(ROW)), "found")).alias("w"))
-    known = used.join(near, F.col("w") == F.col("near_w"), "left")
-    looked_up = known.groupBy(*KEYS).agg(
-        F.sum(F.coalesce("near_pieces", F.lit(0))).alias("pieces"), F.sum((F.col("w") == ROW).cast("long")).alias("copies")
+    is_row = F.col("w") == ROW
+    looked_up = used.join(near, F.col("w") == F.col("near_w"), "left").select(
+        *KEYS, (F.coalesce("near_pieces", F.lit(0)) * F.col("n")).alias("pieces"), is_row.cast("long").alias("copies")
     )
-    others = used.filter(F.col("w") != ROW).join(near, F.col("w") == F.col("near_w"), "left_anti")
-    met = with_pieces(others.repartition("w").sortWithinPartitions("w"), model)
-    parts = looked_up.unionByName(met.select(*KEYS, "pieces", F.lit(0).cast("long").alias("copies")))
+    others = used.filter(~is_row).join(near, F.col("w") == F.col("near_w"), "left_anti")
+    counted = cut(with_pieces(others.select("w").distinct(), model).select(_key(F.col("w")).alias("key"), "pieces"))
+    met = others.select(*KEYS, "n", _key(F.col("w")).alias("key")).join(counted, "key")
+    parts = looked_up.unionByName(met.select(*KEYS, (F.col("pieces") * F.col("n")).alias("pieces"), F.lit(0).cast("long").alias("copies")))
     totals = parts.groupBy(*KEYS).agg(F.sum("pieces").alias("all_tokens"), F.sum("copies").alias("copies"))
     n_tokens = F.expr("all_tokens div copies")
-    return totals.select(
-        "doc_id", "n_bytes", n_tokens.alias("n_tokens"), (n_tokens > TOKEN_LIMIT).alias("over_limit"),
-        F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"),
-    ).drop("copy")
+    return repeated(
+        totals.select("doc_id", "n_bytes", n_tokens.alias("n_tokens"), (n_tokens > TOKEN_LIMIT).alias("over_limit"), "copies"), "copies"
+    )
 
 
 ship(__name__)

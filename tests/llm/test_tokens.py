@@ -38,3 +38,29 @@ def test_with_and_without_frequent_words(spark, folder, monkeypatch):
 
 def test_empty_table(spark):
     assert tokens.token_counts(documents(spark, []), MODEL).count() == 0
+
+
+def test_frequencies_of_a_row(spark):
+    rows = [(1, 0, 0, ["b", " a", "b", "\n", "b"]), (2, 0, 0, ["x"]), (3, 0, 0, []), (None, 0, 0, ["", "", "é"])]
+    given = spark.createDataFrame(rows, "doc_id long, n_bytes long, digest long, found array<string>")
+    found = collections.Counter({(r["doc_id"], r["w"]): r["n"] for r in tokens.frequencies(given).collect()})
+    assert found == {(1, "b"): 3, (1, " a"): 1, (1, "\n"): 1, (2, "x"): 1, (None, ""): 2, (None, "é"): 1}
+
+
+def test_a_long_rare_word_that_a_third_of_the_rows_share(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "SAMPLE_DOCUMENTS", 0)
+    shared = "ab" * 10_000
+    texts = [f"row {i} {shared} end" if i % 3 == 0 else f"row {i} of others" for i in range(600)]
+    found = {r["doc_id"]: r["n_tokens"] for r in tokens.token_counts(documents(spark, list(enumerate(texts))), MODEL).collect()}
+    assert found == dict(enumerate(wanted(texts)))
+
+
+def test_what_the_join_moves_is_short(spark):
+    words = spark.createDataFrame([("a" * 48,), ("a" * 49,), ("é" * 20_000,)], "w string")
+    assert [len(r[0]) for r in words.select(tokens._key(words["w"])).collect()] == [48, 64, 64]
+
+
+def test_copies_in_blocks(spark):
+    rows = spark.createDataFrame([(1, 1), (2, 4096), (3, 4097), (4, 9000)], "doc_id long, copies long")
+    found = {r["doc_id"]: r["count"] for r in tokens.repeated(rows, "copies").groupBy("doc_id").count().collect()}
+    assert found == {1: 1, 2: 4096, 3: 4097, 4: 9000}
