@@ -29,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # What the queries over repeated loads hold back at first.
 EARLY_DAY = dt.date(1996, 3, 15)
 LATE_PAYMENT = "payment_id % 997 = 5"
+# The payments whose status is written with line breaks.
+NOTED_PAYMENT = "payment_id % 7 = 3"
 
 _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {}
 
@@ -61,6 +63,16 @@ def load_raw_payments(f: Frames) -> DataFrame:
     return load_raw(f.spark, path, RAW_PAYMENTS)
 
 
+@_query
+def load_raw_multiline(f: Frames) -> DataFrame:
+    """Payments whose status holds line breaks and quotes, written as CSV and read back by several tasks."""
+    path = scratch_path(f.spark, "raw_notes")
+    note = F.concat("status", F.lit('\n"see", no. '), F.col("payment_id").cast("string"), F.lit("\n"))
+    noted = F.when(F.expr(NOTED_PAYMENT), note).otherwise(F.col("status"))
+    write_raw(f.raw.raw_payments.withColumn("status", noted), path, multi_line=True)
+    return load_raw(f.spark, path, RAW_PAYMENTS, multi_line=True)
+
+
 @_query
 def load_row_counts(f: Frames) -> DataFrame:
     raw = f.raw

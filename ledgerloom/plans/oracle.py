@@ -524,6 +524,11 @@ def statements() -> dict[str, str]:
     matrix = ", ".join(f"max(retention_pct) FILTER (month_index = {k}) AS \"M+{k}\"" for k in range(12))
     return {
         "load_raw": _columns(f"* REPLACE ({_text('paid_at')} AS paid_at)", "raw_payments"),
+        "load_raw_multiline": _columns(
+            f"* REPLACE ({_text('paid_at')} AS paid_at, CASE WHEN payment_id % 7 = 3 THEN status || chr(10) || "
+            "'\"see\", no. ' || payment_id || chr(10) ELSE status END AS status)",
+            "raw_payments",
+        ),
         "load_row_counts": _statement(
             ("dim_brand", "dim_creator", "raw_campaigns", "raw_payments", "payout_requests", "raw_events"),
             """SELECT *, expected_rows = loaded_rows AS is_complete FROM (

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.records import csv_records
+
 # An unquoted empty field is NULL, a quoted one the empty string; blanks around a
 # value belong to it, and a row that does not fit the schema stops the load
 # instead of turning into NULLs.
@@ -24,13 +26,18 @@ def load_raw(
 ) -> DataFrame:
     """Read headerless CSV files with a fixed column order and fixed types.
 
-    Rows stay on one line each, so large files are split between tasks. With
-    ``multi_line`` texts may hold line breaks, and a file is read by one task.
+    Large files are split between tasks. Texts may hold line breaks only with ``multi_line``; the records are
+    then cut by :func:`csv_records`, which reads the files twice and shuffles their lines once.
     """
     # Spark would take a quoted empty field for NULL; a mark that no file can hold, since it is drawn
     # anew for every read, keeps the two apart.
     mark = f"\u0001{uuid.uuid4().hex}"
-    df = spark.read.schema(schema).options(**_CSV, emptyValue=mark, multiLine=multi_line, mode="FAILFAST").csv(path)
+    options = {**_CSV, "emptyValue": mark, "mode": "FAILFAST"}
+    if multi_line:
+        row = F.from_csv("record", schema, {**options, "multiLine": "true"})
+        df = csv_records(spark, path).select(row.alias("row")).select("row.*")
+    else:
+        df = spark.read.schema(schema).options(**options).csv(path)
     texts = [f.name for f in df.schema if f.dataType.typeName() == "string" and (not columns or f.name in columns)]
     df = df.withColumns({name: F.when(F.col(name) == mark, "").otherwise(F.col(name)) for name in texts})
     return df.select(*columns) if columns else df
