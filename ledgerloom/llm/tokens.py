@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import cut, settle, ship
@@ -48,18 +48,25 @@ def check_vocabulary(processor: sentencepiece.SentencePieceProcessor) -> None:
 
 
 def with_pieces(words: DataFrame, model: bytes) -> DataFrame:
-    """Distinct pre-tokens (the only column, w) with the number of pieces of each."""
+    """``words`` (column w) with the number of pieces of each; equal words that follow each other are counted once."""
     sent = words.sparkSession.sparkContext.broadcast(model)
     kept: dict[str, sentencepiece.SentencePieceProcessor] = {}
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if "it" not in kept:
             kept["it"] = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
+        last, last_pieces = None, 0
         for batch in batches:
-            pieces = count_pieces(batch.column("w").to_pylist(), kept["it"])
-            yield batch.append_column("pieces", pa.array(pieces, pa.int64()))
+            words = batch.column("w").dictionary_encode()
+            distinct = words.dictionary.to_pylist()
+            begun = len(distinct) > 0 and distinct[0] == last
+            pieces = [last_pieces] * begun + count_pieces(distinct[int(begun) :], kept["it"])
+            if distinct:
+                last, last_pieces = distinct[-1], pieces[-1]
+            yield batch.append_column("pieces", pa.array(pieces, pa.int64()).take(words.indices))
 
-    return words.mapInArrow(count, "w string, pieces long")
+    return words.mapInArrow(count, f"{fields}, pieces long")
 
 
 def frequencies(rows: DataFrame) -> DataFrame:
@@ -83,9 +90,18 @@ def frequencies(rows: DataFrame) -> DataFrame:
     return begun.select(*KEYS, F.inline(runs))
 
 
-def _key(w: Column) -> Column:
-    """``w`` itself if short, else a digest that no short one equals: what joins move has a bounded width."""
-    return F.when(F.octet_length(w) <= FREQUENT_BYTES, w).otherwise(F.sha2(w, 256))
+def rare_pieces(others: DataFrame, model: bytes) -> DataFrame:
+    """Frequencies (KEYS, w, n) with the pieces of each pre-token, counted once for each distinct one.
+
+    Frequencies of a short pre-token move to where it is counted. Long ones may be in many rows and are too wide for
+    that: the distinct texts move, and what is joined to their counts is a digest, which Spark splits if it is hot.
+    """
+    is_short = F.octet_length("w") <= FREQUENT_BYTES
+    met = with_pieces(others.where(is_short).repartition("w").sortWithinPartitions("w"), model)
+    long, digest = others.where(~is_short), F.sha2("w", 256).alias("key")
+    counted = cut(with_pieces(long.select("w").distinct(), model).select(digest, "pieces"))
+    joined = long.select(*KEYS, "n", digest).join(counted, "key")
+    return met.select(*KEYS, "n", "pieces").unionByName(joined.select(*KEYS, "n", "pieces"))
 
 
 def _at_most(counted: DataFrame, most: int) -> DataFrame:
@@ -125,8 +141,8 @@ def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every row; other columns are ignored.
 
     A NULL text counts as empty: no bytes and no tokens. Repeated rows come out as often as they go in. Which
-    pre-tokens are joined by broadcast depends on a sample, what comes out does not: the others are counted once
-    each and joined by shuffle to the rows' frequencies, and Spark splits those that very many rows share.
+    pre-tokens are joined by broadcast depends on a sample, what comes out does not: see :func:`rare_pieces` for
+    the others.
     """
     settle(docs.sparkSession)
     with open(model_file, "rb") as f:
@@ -148,8 +164,7 @@ def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
         *KEYS, (F.coalesce("near_pieces", F.lit(0)) * F.col("n")).alias("pieces"), is_row.cast("long").alias("copies")
     )
     others = used.filter(~is_row).join(near, F.col("w") == F.col("near_w"), "left_anti")
-    counted = cut(with_pieces(others.select("w").distinct(), model).select(_key(F.col("w")).alias("key"), "pieces"))
-    met = others.select(*KEYS, "n", _key(F.col("w")).alias("key")).join(counted, "key")
+    met = rare_pieces(others, model)
     parts = looked_up.unionByName(met.select(*KEYS, (F.col("pieces") * F.col("n")).alias("pieces"), F.lit(0).cast("long").alias("copies")))
     totals = parts.groupBy(*KEYS).agg(F.sum("pieces").alias("all_tokens"), F.sum("copies").alias("copies"))
     n_tokens = F.expr("all_tokens div copies")

@@ -55,9 +55,13 @@ def test_a_long_rare_word_that_a_third_of_the_rows_share(spark, monkeypatch):
     assert found == dict(enumerate(wanted(texts)))
 
 
-def test_what_the_join_moves_is_short(spark):
-    words = spark.createDataFrame([("a" * 48,), ("a" * 49,), ("é" * 20_000,)], "w string")
-    assert [len(r[0]) for r in words.select(tokens._key(words["w"])).collect()] == [48, 64, 64]
+def test_short_and_long_words_are_counted_alike(spark):
+    words = ["a" * 48, "b" * 49, " " + "é" * 24, "é" * 20_000, " x"]
+    given = spark.createDataFrame([(i, i, i, w, n) for i in range(3) for n, w in enumerate(words, 1)], "doc_id long, n_bytes long, digest long, w string, n long")
+    with open(MODEL, "rb") as f:
+        found = collections.Counter(tuple(r) for r in tokens.rare_pieces(given, f.read()).select("doc_id", "n", "pieces").collect())
+    pieces = tokens.count_pieces(words, sentencepiece.SentencePieceProcessor(model_file=MODEL))
+    assert found == {(i, n, p): 1 for i in range(3) for n, p in enumerate(pieces, 1)}
 
 
 def test_copies_in_blocks(spark):
