@@ -34,6 +34,7 @@ HEADLINE = [
     "anomaly_profile",
     "fee_audit",
     "load_raw",
+    "load_raw_multiline",
     "subscription_source_arrays",
     "stage_row_counts",
     "audit_not_null",
@@ -53,7 +54,7 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
     catalog, seconds = queries(), {}
-    # Load Spark's join, window and aggregate code before timing;.
+    # Load Spark's join, window and aggregate code before timing.
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     orders.createOrReplaceTempView("o")
     spark.sql(

@@ -264,6 +264,14 @@ def _repeats(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
     )
 
 
+def _in_slots(blocks: DataFrame, block: Column) -> Column:
+    """True for every block among ``blocks`` and few others, by a set of fixed size that keeps rows out of a shuffle."""
+    slot = F.pmod(F.xxhash64(block), F.lit(BLOCK_SLOTS)).cast("int")
+    taken = blocks.agg(F.collect_set(F.pmod(F.xxhash64("block"), F.lit(BLOCK_SLOTS)).cast("int")).alias("taken"))
+    flags = F.transform(F.sequence(F.lit(0), F.lit(BLOCK_SLOTS - 1)), lambda i: F.array_contains("taken", i))
+    return F.get(taken.select(flags).scalar(), slot)
+
+
 def number_repeats(df: DataFrame, column: str) -> DataFrame:
     """The figures of a unique audit for an integer key that numbers rows densely.
 
@@ -287,11 +295,7 @@ def number_repeats(df: DataFrame, column: str) -> DataFrame:
         F.count_if(no_number & (F.col("n") > 1)).alias("null_keys"),
     )
     twice = blocks.where(~no_number & (surplus > 0)).select("block")
-    # A coarse set of fixed size keeps the rows of all other bitmaps out of the shuffle of the join.
-    slot = F.pmod(F.xxhash64("block"), F.lit(BLOCK_SLOTS)).cast("int")
-    slots = twice.agg(F.collect_set(slot).alias("taken"))
-    wanted = slots.select(F.transform(F.sequence(F.lit(0), F.lit(BLOCK_SLOTS - 1)), lambda i: F.array_contains("taken", i))).scalar()
-    candidates = numbers.withColumn("block", block).where(F.get(wanted, slot))
+    candidates = numbers.withColumn("block", block).where(_in_slots(twice, F.col("block")))
     again = candidates.join(twice, "block", "left_semi").groupBy("number").count().where("count > 1")
     repeated = again.agg(F.count(F.lit(1)).alias("keys")).scalar()
     return sums.select("total_rows", (F.col("null_keys") + repeated).alias("duplicate_keys"), "surplus_rows")
@@ -308,6 +312,32 @@ def audit_unique(tables: Tables) -> DataFrame:
     return _stacked([duplicates(name, key) for name, keys in UNIQUE.items() if name in tables for key in keys])
 
 
+def _orphans(named: DataFrame, known: DataFrame) -> DataFrame:
+    """Keys of ``named`` that are not in ``known``, and their rows; both have the column ``key``, and NULL names nothing."""
+    per_key = named.where(F.col("key").isNotNull()).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    lost = per_key.join(known, "key", "left_anti")
+    return lost.agg(F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"))
+
+
+def number_orphans(named: DataFrame, known: DataFrame) -> DataFrame:
+    """The figures of a foreign key audit for integer keys that number rows densely.
+
+    A bitmap of the numbers on either side has more bits than that of the known ones just where keys are missing.
+    Only bitmaps are shuffled, and the numbers that share a bitmap with a missing one, to count their rows.
+    """
+    named, known = (df.select(F.col("key").cast("long").alias("key")).where("key IS NOT NULL") for df in (named, known))
+    block, bit = F.bitmap_bucket_number("key"), F.bitmap_bit_position("key")
+    sides = named.withColumn("is_known", F.lit(False)).unionByName(known.withColumn("is_known", F.lit(True)))
+    blocks = sides.groupBy(block.alias("block")).agg(
+        (
+            F.bitmap_count(F.bitmap_construct_agg(bit)) - F.bitmap_count(F.bitmap_construct_agg(F.when(F.col("is_known"), bit)))
+        ).alias("missing")
+    )
+    wanted = _in_slots(blocks.where("missing > 0"), block)
+    rows = _orphans(named.where(wanted), known.where(wanted)).select("orphan_rows")
+    return blocks.agg(F.coalesce(F.sum("missing"), F.lit(0)).alias("orphan_keys")).withColumn("orphan_rows", rows.scalar())
+
+
 def audit_foreign_keys(tables: Tables) -> DataFrame:
     """Child rows that name a parent which does not exist.
 
@@ -315,14 +345,9 @@ def audit_foreign_keys(tables: Tables) -> DataFrame:
     """
 
     def orphans(child: str, column: str, parent: str, key: str) -> DataFrame:
-        named = tables[child].where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-        known = tables[parent].select(F.col(key).alias(column))
-        lost = named.join(known, column, "left_anti")
-        return lost.agg(
-            F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows")
-        ).select(
-            F.lit(f"{child}.{column}").alias("foreign_key"), F.lit(f"{parent}.{key}").alias("references"), "*"
-        )
+        named, known = tables[child].select(F.col(column).alias("key")), tables[parent].select(F.col(key).alias("key"))
+        figures = number_orphans(named, known) if key in NUMBERED else _orphans(named, known)
+        return figures.select(F.lit(f"{child}.{column}").alias("foreign_key"), F.lit(f"{parent}.{key}").alias("references"), "*")
 
     return _stacked([orphans(*fk) for fk in FOREIGN_KEYS if fk[0] in tables and fk[2] in tables])
 

@@ -13,6 +13,7 @@ from ledgerloom.functions.dates import spaced_text
 from ledgerloom.operators.payments import unresolved, with_entity_keys
 from ledgerloom.params import REASON_MISSING_BRAND, REASON_UNRESOLVED
 
+# The fields of a quarantined row's payload, in their order.
 _EVENT_PAYLOAD = (
     "event_id",
     "raw_event_id",

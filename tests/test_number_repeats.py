@@ -1,4 +1,4 @@
-"""Unique audits of integer keys by bitmaps, against counts by key."""
+"""Unique and foreign key audits of integer keys by bitmaps, against counts by key."""
 
 import random
 
@@ -56,6 +56,21 @@ def test_only_bitmaps_are_shuffled(spark, tmp_path):
     assert 0 < moved < 10_000
 
 
+@pytest.mark.parametrize(
+    "named, known",
+    [
+        ([], []),
+        ([None, 1, 1, 2], []),
+        ([], [1, 2]),
+        ([5, 5, None, -3, 2**63 - 1, -(2**63), 0], [0, 5, None, 32_768]),
+        (list(range(0, 200_000, 3)) * 2, list(range(0, 200_000, 2))),
+    ],
+)
+def test_missing_numbers(spark, named, known):
+    sides = [spark.createDataFrame([(k,) for k in keys], "key long").repartition(3) for keys in (named, known)]
+    assert tuple(audits.number_orphans(*sides).first()) == tuple(audits._orphans(*sides).first())
+
+
 def test_every_rule_is_audited():
     """How many rules each table has, written out, since the SQL takes the rules from the library."""
     assert {t: len(c) for t, c in audits.NOT_NULL.items()} == {
