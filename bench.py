@@ -40,6 +40,8 @@ HEADLINE = [
     "audit_not_null",
     "audit_domain",
     "audit_unique",
+    "audit_unique_bitmaps",
+    "audit_foreign_keys_bitmaps",
     "audit_length",
     "audit_foreign_keys",
     "validation_report",

@@ -301,12 +301,16 @@ def number_repeats(df: DataFrame, column: str) -> DataFrame:
     return sums.select("total_rows", (F.col("null_keys") + repeated).alias("duplicate_keys"), "surplus_rows")
 
 
-def audit_unique(tables: Tables) -> DataFrame:
-    """Keys that occur more than once and the rows too many."""
+def audit_unique(tables: Tables, numbered: tuple[str, ...] = ()) -> DataFrame:
+    """Keys that occur more than once and the rows too many.
+
+    Keys among ``numbered``, say :data:`NUMBERED`, are counted in bitmaps (:func:`number_repeats`). That reads a
+    table twice, so it is meant for stored ones; a table that is derived anew on each read is better counted by key.
+    """
 
     def duplicates(name: str, key: tuple[str, ...]) -> DataFrame:
-        numbered = len(key) == 1 and key[0] in NUMBERED
-        figures = number_repeats(tables[name], key[0]) if numbered else _repeats(tables[name], key)
+        by_bitmaps = len(key) == 1 and key[0] in numbered
+        figures = number_repeats(tables[name], key[0]) if by_bitmaps else _repeats(tables[name], key)
         return figures.select(F.lit(name).alias("table_name"), F.lit("+".join(key)).alias("key_columns"), "*")
 
     return _stacked([duplicates(name, key) for name, keys in UNIQUE.items() if name in tables for key in keys])
@@ -338,15 +342,16 @@ def number_orphans(named: DataFrame, known: DataFrame) -> DataFrame:
     return blocks.agg(F.coalesce(F.sum("missing"), F.lit(0)).alias("orphan_keys")).withColumn("orphan_rows", rows.scalar())
 
 
-def audit_foreign_keys(tables: Tables) -> DataFrame:
+def audit_foreign_keys(tables: Tables, numbered: tuple[str, ...] = ()) -> DataFrame:
     """Child rows that name a parent which does not exist.
 
-    Children are counted per key first; the join then sees every key once.
+    Children are counted per key first; the join then sees every key once. Parents' keys among ``numbered`` are
+    compared in bitmaps (:func:`number_orphans`), which reads both tables twice.
     """
 
     def orphans(child: str, column: str, parent: str, key: str) -> DataFrame:
         named, known = tables[child].select(F.col(column).alias("key")), tables[parent].select(F.col(key).alias("key"))
-        figures = number_orphans(named, known) if key in NUMBERED else _orphans(named, known)
+        figures = number_orphans(named, known) if key in numbered else _orphans(named, known)
         return figures.select(F.lit(f"{child}.{column}").alias("foreign_key"), F.lit(f"{parent}.{key}").alias("references"), "*")
 
     return _stacked([orphans(*fk) for fk in FOREIGN_KEYS if fk[0] in tables and fk[2] in tables])

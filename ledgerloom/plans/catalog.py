@@ -32,6 +32,9 @@ LATE_PAYMENT = "payment_id % 997 = 5"
 # The payments whose status is written with line breaks.
 NOTED_PAYMENT = "payment_id % 7 = 3"
 
+# The tables whose keys are audited in bitmaps.
+NUMBERED_TABLES = ("raw_payments", "raw_payouts")
+
 _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {}
 
 
@@ -535,6 +538,18 @@ def audit_unique(f: Frames) -> DataFrame:
     return audits.audit_unique(_Tables(f))
 
 
+@_query
+def audit_unique_bitmaps(f: Frames) -> DataFrame:
+    """The integer keys of the raw payments and payouts, counted in bitmaps."""
+    return audits.audit_unique({name: _Tables(f)[name] for name in NUMBERED_TABLES}, audits.NUMBERED)
+
+
+@_query
+def audit_foreign_keys_bitmaps(f: Frames) -> DataFrame:
+    """The payments that raw payouts name, compared in bitmaps."""
+    return audits.audit_foreign_keys({name: _Tables(f)[name] for name in NUMBERED_TABLES}, audits.NUMBERED)
+
+
 @_query
 def audit_length(f: Frames) -> DataFrame:
     return audits.audit_length(_Tables(f))

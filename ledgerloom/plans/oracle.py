@@ -464,6 +464,21 @@ def _audits() -> dict[str, str]:
             ),
         ),
         "audit_unique": _statement(tuple(_audit_view(t) for t in UNIQUE), "\nUNION ALL ".join(unique)),
+        "audit_unique_bitmaps": _statement(
+            ("raw_payments", "raw_payouts"),
+            "\nUNION ALL ".join(
+                f"SELECT 'raw_{t}s' AS table_name, '{t}_id' AS key_columns, coalesce(sum(n), 0)::BIGINT AS total_rows, "
+                "count(*) FILTER (n > 1) AS duplicate_keys, coalesce(sum(n - 1) FILTER (n > 1), 0)::BIGINT AS surplus_rows "
+                f"FROM (SELECT count(*) AS n FROM raw_{t}s GROUP BY {t}_id)"
+                for t in ("payment", "payout")
+            ),
+        ),
+        "audit_foreign_keys_bitmaps": _statement(
+            ("raw_payments", "raw_payouts"),
+            "SELECT 'raw_payouts.payment_id' AS foreign_key, 'raw_payments.payment_id' AS \"references\", "
+            "count(DISTINCT payment_id) AS orphan_keys, count(*) AS orphan_rows FROM raw_payouts "
+            "WHERE payment_id IS NOT NULL AND payment_id NOT IN (SELECT payment_id FROM raw_payments)",
+        ),
         "audit_foreign_keys": _statement(linked, "\nUNION ALL ".join(orphans)),
     }
 
