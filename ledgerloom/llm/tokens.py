@@ -8,10 +8,13 @@ remain.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 import sentencepiece
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +25,14 @@ SPACE_MARK = "▁"  # what the vocabulary writes for a space
 PRE_TOKEN = r"[ ]*[^ \n]+|[ ]+|\n"
 # No pre-token: it stands for the row itself, so that rows without tokens are counted too.
 ROW = "\n\n"
-# Pre-tokens that are frequent in a sample of about so many documents are counted first and joined by broadcast:
+# Pre-tokens that are frequent in a sample of about so many documents are counted first and looked up in a broadcast:
 # at most so many short ones of at most so many bytes, and so many long ones. All others are joined by shuffle.
 SAMPLE_DOCUMENTS = 20_000
 FREQUENT, FREQUENT_BYTES = 1 << 18, 48
 FREQUENT_LONG, LONG_BYTES = 1 << 10, 1 << 14
 KEYS = ("doc_id", "n_bytes", "digest")
+# Texts that are taken out of an Arrow batch at once, and frequencies after which a batch is given on.
+TEXTS, BATCH = 64, 1 << 16
 
 
 def count_pieces(words: list[str], processor: sentencepiece.SentencePieceProcessor) -> list[int]:
@@ -90,18 +95,66 @@ def frequencies(rows: DataFrame) -> DataFrame:
     return begun.select(*KEYS, F.inline(runs))
 
 
-def rare_pieces(others: DataFrame, model: bytes) -> DataFrame:
+def text_frequencies(texts: DataFrame, frequent: Broadcast, long: bool) -> DataFrame:
+    """KEYS, w and n: how often each pre-token that is not ``frequent`` (w: pieces) is in each row of ``texts`` (KEYS, text).
+
+    Only those of over FREQUENT_BYTES with ``long``, else only the others; these come with a ROW for each row, whose n
+    are the pieces of all its frequent pre-tokens. The pre-tokens of a row are counted inside the row.
+    """
+    found = re.compile(PRE_TOKEN)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces_of = frequent.value.get
+        for batch in batches:
+            rows, words, uses = [], [], []
+
+            def taken(batch: pa.RecordBatch = batch) -> pa.RecordBatch:
+                keys = [batch.column(k).take(pa.array(rows, pa.int32())) for k in KEYS]
+                return pa.RecordBatch.from_arrays([*keys, pa.array(words, pa.string()), pa.array(uses, pa.int64())], [*KEYS, "w", "n"])
+
+            for begin in range(0, batch.num_rows, TEXTS):
+                for row, text in enumerate(batch.column("text").slice(begin, TEXTS).to_pylist(), begin):
+                    known = 0
+                    # An empty text gets no mark in front.
+                    for w, n in Counter(found.findall(" " + text.replace(SPACE_MARK, " ")) if text else ()).items():
+                        pieces = pieces_of(w)
+                        if pieces is not None:
+                            known += pieces * n
+                        elif (4 * len(w) > FREQUENT_BYTES and len(w.encode()) > FREQUENT_BYTES) is long:
+                            rows.append(row)
+                            words.append(w)
+                            uses.append(n)
+                    if not long:
+                        rows.append(row)
+                        words.append(ROW)
+                        uses.append(known)
+                    if len(rows) >= BATCH:
+                        yield taken()
+                        rows, words, uses = [], [], []
+            yield taken()
+
+    key_types = ", ".join(f"{k} {texts.schema[k].dataType.simpleString()}" for k in KEYS)
+    return texts.select(*KEYS, "text").mapInArrow(count, f"{key_types}, w string, n long")
+
+
+def rare_pieces(others: DataFrame, model: bytes, long: DataFrame | None = None) -> DataFrame:
     """Frequencies (KEYS, w, n) with the pieces of each pre-token, counted once for each distinct one.
 
     Frequencies of a short pre-token move to where it is counted. Long ones may be in many rows and are too wide for
     that: the distinct texts move, and what is joined to their counts is a digest, which Spark splits if it is hot.
+    ``long`` has the long ones if ``others`` has none. A ROW counts one piece and is dealt by its keys.
     """
-    is_short = F.octet_length("w") <= FREQUENT_BYTES
-    met = with_pieces(others.where(is_short).repartition("w").sortWithinPartitions("w"), model)
-    long, digest = others.where(~is_short), F.sha2("w", 256).alias("key")
+    is_short, is_row = F.octet_length("w") <= FREQUENT_BYTES, F.col("w") == ROW
+    short, digest = others, F.sha2("w", 256).alias("key")
+    if long is None:
+        short, long = others.where(is_short), others.where(~is_short)
+    dealt = short.repartition("w", F.when(is_row, F.xxhash64(*KEYS)))
+    met = with_pieces(dealt.sortWithinPartitions("w"), model).withColumn("pieces", F.when(is_row, 1).otherwise(F.col("pieces")))
     counted = cut(with_pieces(long.select("w").distinct(), model).select(digest, "pieces"))
     joined = long.select(*KEYS, "n", digest).join(counted, "key")
-    return met.select(*KEYS, "n", "pieces").unionByName(joined.select(*KEYS, "n", "pieces"))
+    return met.select(*KEYS, "n", "pieces", is_row.alias("is_row")).unionByName(
+        joined.select(*KEYS, "n", "pieces", F.lit(False).alias("is_row"))
+    )
 
 
 def _at_most(counted: DataFrame, most: int) -> DataFrame:
@@ -141,7 +194,7 @@ def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every row; other columns are ignored.
 
     A NULL text counts as empty: no bytes and no tokens. Repeated rows come out as often as they go in. Which
-    pre-tokens are joined by broadcast depends on a sample, what comes out does not: see :func:`rare_pieces` for
+    pre-tokens are looked up depends on a sample, what comes out does not: see :func:`rare_pieces` for
     the others.
     """
     settle(docs.sparkSession)
@@ -154,19 +207,15 @@ def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
     found = F.when(text == "", F.array().cast("array<string>")).otherwise(F.regexp_extract_all(spaced, F.lit(PRE_TOKEN), F.lit(0)))
     rows = docs.select(
         "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.xxhash64(text).alias("digest"),
-        F.concat(F.array(F.lit(ROW)), found).alias("found"),
+        text.alias("text"), F.concat(F.array(F.lit(ROW)), found).alias("found"),
     )
-    used = frequencies(rows)
-    frequent = cut(with_pieces(frequent_words(rows, docs.count()), model))
-    near = F.broadcast(frequent.select(F.col("w").alias("near_w"), F.col("pieces").alias("near_pieces")))
-    is_row = F.col("w") == ROW
-    looked_up = used.join(near, F.col("w") == F.col("near_w"), "left").select(
-        *KEYS, (F.coalesce("near_pieces", F.lit(0)) * F.col("n")).alias("pieces"), is_row.cast("long").alias("copies")
+    first = with_pieces(frequent_words(rows, docs.count()), model).toArrow()
+    frequent = docs.sparkSession.sparkContext.broadcast(dict(zip(first["w"].to_pylist(), first["pieces"].to_pylist())))
+    short, long = text_frequencies(rows, frequent, False), text_frequencies(rows, frequent, True)
+    parts = rare_pieces(short, model, long)
+    totals = parts.groupBy(*KEYS).agg(
+        F.sum(F.col("pieces") * F.col("n")).alias("all_tokens"), F.count_if("is_row").alias("copies")
     )
-    others = used.filter(~is_row).join(near, F.col("w") == F.col("near_w"), "left_anti")
-    met = rare_pieces(others, model)
-    parts = looked_up.unionByName(met.select(*KEYS, (F.col("pieces") * F.col("n")).alias("pieces"), F.lit(0).cast("long").alias("copies")))
-    totals = parts.groupBy(*KEYS).agg(F.sum("pieces").alias("all_tokens"), F.sum("copies").alias("copies"))
     n_tokens = F.expr("all_tokens div copies")
     return repeated(
         totals.select("doc_id", "n_bytes", n_tokens.alias("n_tokens"), (n_tokens > TOKEN_LIMIT).alias("over_limit"), "copies"), "copies"

@@ -68,3 +68,24 @@ def test_copies_in_blocks(spark):
     rows = spark.createDataFrame([(1, 1), (2, 4096), (3, 4097), (4, 9000)], "doc_id long, copies long")
     found = {r["doc_id"]: r["count"] for r in tokens.repeated(rows, "copies").groupBy("doc_id").count().collect()}
     assert found == {1: 1, 2: 4096, 3: 4097, 4: 9000}
+
+
+def test_texts_are_cut_and_counted_in_one_small_pass(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "TEXTS", 2)
+    monkeypatch.setattr(tokens, "BATCH", 3)
+    rows = [(1, 5, 0, "a b  b\nb▁c"), (2, 0, 0, ""), (None, 1, 0, " "), (3, 9, 0, "x" * 60 + " a " + "é" * 25 + "\n" + "x" * 60), (4, 1, 0, "é" * 24)]
+    texts = spark.createDataFrame(rows, "doc_id long, n_bytes long, digest long, text string")
+    frequent = spark.sparkContext.broadcast({" a": 10, "\n": 100})
+
+    def found(long):
+        return collections.Counter((r["doc_id"], r["w"], r["n"]) for r in tokens.text_frequencies(texts, frequent, long).collect())
+
+    x, é = "x" * 60, "é"
+    assert found(False) == collections.Counter([
+        (1, tokens.ROW, 110), (1, " b", 1), (1, "  b", 1), (1, "b", 1), (1, " c", 1), (2, tokens.ROW, 0),
+        (None, tokens.ROW, 0), (None, "  ", 1), (3, tokens.ROW, 110),
+        (4, tokens.ROW, 0),
+    ])
+    assert found(True) == collections.Counter([(3, " " + x, 1), (3, x, 1), (3, " " + é * 25, 1), (4, " " + é * 24, 1)])
+    plan = tokens.token_counts(documents(spark, [(1, "a b"), (2, None)]), MODEL)._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract_all" not in plan
