@@ -178,10 +178,30 @@ def source_array_parts(sources: DataFrame, part_size: int = PART_EVENTS) -> Data
     events. So the ids of a span are numbered in order and cut into parts of at
     most ``part_size``: every span has all its ids, and no value is larger than
     a part. ``sources`` is the long form, with unique event ids.
+
+    A span of up to PART_EVENTS events is gathered at once, by one shuffle, and
+    its array cut; only the events of longer ones are numbered range by range.
     """
-    numbered = with_group_sequence(sources.where(F.col("subscription_id").isNotNull()), "subscription_id", "event_id", "_seq")
+    known = sources.where(F.col("subscription_id").isNotNull() & F.col("event_id").isNotNull())
+    # Spans that share a hash are counted together, so no long one is missed; a mark stands for over PART_EVENTS rows.
+    marked = known.withColumn("_mark", F.xxhash64("subscription_id"))
+    counts = marked.groupBy("_mark").agg(F.count(F.lit(1)).alias("_events"))
+    long_marks = F.broadcast(counts.where(F.col("_events") > PART_EVENTS).select("_mark"))
+    gathered = (
+        marked.join(long_marks, "_mark", "left_anti")
+        .groupBy("subscription_id")
+        .agg(F.sort_array(F.collect_list("event_id")).alias("_ids"))
+    )
+    parts = F.sequence(F.lit(0).cast("long"), F.expr(f"(size(_ids) - 1) div {part_size}"))
+    short = gathered.withColumn("part_no", F.explode(parts)).select(
+        "subscription_id", "part_no", F.expr(f"slice(_ids, int(part_no * {part_size}) + 1, {part_size})").alias("event_ids")
+    )
+    long = marked.join(long_marks, "_mark", "left_semi").drop("_mark")
+    numbered = with_group_sequence(long, "subscription_id", "event_id", "_seq")
     part = F.expr(f"(_seq - 1) div {part_size}").alias("part_no")
-    return numbered.groupBy("subscription_id", part).agg(F.sort_array(F.collect_list("event_id")).alias("event_ids"))
+    return short.unionByName(
+        numbered.groupBy("subscription_id", part).agg(F.sort_array(F.collect_list("event_id")).alias("event_ids"))
+    )
 
 
 def with_source_counts(subscriptions: DataFrame, sources: DataFrame) -> DataFrame:

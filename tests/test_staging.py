@@ -248,3 +248,16 @@ def test_payouts_of_test_payments_count_in_the_discrepancy_rate(spark):
     kept = payments.stage_payments(raw, rows.brands(spark, 1), creators)
     seen = checks.payout_discrepancy_rate(payments.stage_payouts(outs, kept, creators), Band(0.03, 0.07)).first()
     assert (seen.mismatch_rows, seen.total_rows, seen.rate, seen.status) == (1, 4, 0.25, "fail")
+
+
+def test_only_spans_longer_than_a_part_are_numbered_by_ranges(spark, monkeypatch):
+    given, real = [], subs.with_group_sequence
+    monkeypatch.setattr(subs, "with_group_sequence", lambda df, *args: given.append(df) or real(df, *args))
+    monkeypatch.setattr(subs, "PART_EVENTS", 3)
+    events = {"one": [7], "full": [1, 2**40, 5], "long": [9, 2**50, 3, 2**21, 4, 8, 2**21 + 1, -6]}
+    listed = [(s, e) for s, ids in events.items() for e in ids] + [(None, 11), ("unknown", None)]
+    sources = spark.createDataFrame(listed, "subscription_id string, event_id long")
+    for size in (1, 2, 3, 5, 100):
+        found = {(r.subscription_id, r.part_no): list(r.event_ids) for r in subs.source_array_parts(sources, size).collect()}
+        assert found == {(s, k // size): sorted(ids)[k : k + size] for s, ids in events.items() for k in range(0, len(ids), size)}
+    assert {r.subscription_id for df in given for r in df.collect()} == {"long"}
